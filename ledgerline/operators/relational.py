@@ -94,9 +94,9 @@ def cooccurring_pairs(bridge: DataFrame, group: str, item: str, blocks: int = 1)
     ``blocks`` so that one matrix stays small (a few thousand items per block); with more than one
     block every pair of blocks is a separate piece of work.
     """
-    spark_item = F.pmod(F.xxhash64(item), F.lit(blocks)).alias("b")
+    block = F.pmod(F.xxhash64(item), F.lit(blocks)).alias("b")
     sets = (
-        bridge.select(group, item, spark_item)
+        bridge.select(group, item, block)
         .distinct()
         .groupBy(group, "b")
         .agg(F.collect_set(item).alias("items"))  # at most one block of items
@@ -107,7 +107,9 @@ def cooccurring_pairs(bridge: DataFrame, group: str, item: str, blocks: int = 1)
         # Every ordered pair of this group's blocks meets once, keyed by (group, block pair).
         left = sets.select(group, F.explode(F.sequence(F.col("b"), F.lit(blocks - 1))).alias("bj"), F.col("b").alias("bi"), F.col("items").alias("xs"))
         right = sets.select(group, F.explode(F.sequence(F.lit(0), F.col("b"))).alias("bi"), F.col("b").alias("bj"), F.col("items").alias("ys"))
-        work = left.join(right, [group, "bi", "bj"]).select("bi", "bj", "xs", "ys").repartition("bi", "bj", F.floor(F.rand(7) * 16))
+        work = left.join(right, [group, "bi", "bj"])
+        # A block pair is spread over 16 tasks by group, so no pair is bound to one task.
+        work = work.repartition("bi", "bj", F.pmod(F.xxhash64(group), F.lit(16))).select("bi", "bj", "xs", "ys")
 
     def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple[int, int], pd.Series] = {}
