@@ -45,3 +45,28 @@ def brand_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").withColumnRenamed("p_brand", "brand")
     branded = attach(per_part, parts, "l_partkey", "p_partkey", ["brand"], "inner")
     return daily_series(branded, "brand", "day", "amount").withColumn("sales", F.round("sales", 2)).select("brand", "d", "sales")
+
+
+# Holidays the other way round: weekdays are counted inside each month of a generated calendar.
+HOLIDAYS = """hcal as (select unnest(generate_series(date '1994-12-01', date '2025-02-01', interval 1 day))::date as hd),
+hnum as (select hd, month(hd) as m, day(hd) as dd, isodow(hd) as wd, row_number() over (partition by year(hd), month(hd), isodow(hd) order by hd) as nth,
+  row_number() over (partition by year(hd), month(hd), isodow(hd) order by hd desc) as back from hcal),
+hfix as (select hd, wd from hnum where (m = 1 and dd = 1) or (m = 6 and dd = 19 and year(hd) >= 2021) or (m = 7 and dd = 4) or (m = 11 and dd = 11) or (m = 12 and dd = 25)),
+hol as (select hd from hfix union select (hd - interval 1 day)::date from hfix where wd = 6 union select (hd + interval 1 day)::date from hfix where wd = 7
+  union select hd from hnum where (m = 1 and wd = 1 and nth = 3) or (m = 2 and wd = 1 and nth = 3) or (m = 5 and wd = 1 and back = 1)
+    or (m = 9 and wd = 1 and nth = 1) or (m = 10 and wd = 1 and nth = 2) or (m = 11 and wd = 4 and nth = 4))"""
+
+# Error table of the previous-hour forecast.
+ERRORS = f"""{GRID}, {HOLIDAYS},
+lagged as (select hr, event_type, n, lag(n) over (partition by event_type order by hr) as predicted from grid),
+err as (select hr, event_type, n as actual, predicted, n - predicted as signed, abs(n - predicted) as abs_error,
+  hour(hr)::int as hour_of_day, (isodow(hr) - 1)::int as day_of_week, (isodow(hr) >= 6)::int as is_weekend,
+  (hour(hr) in (7, 8, 9, 16, 17, 18, 19) and isodow(hr) < 6)::int as is_rush_hour, (cast(hr as date) in (select hd from hol))::int as is_holiday
+  from lagged where predicted is not null)"""
+
+
+def baseline_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous-hour forecast against what came: one row per (hour, type)."""
+    from ledgerline.operators.evaluation import forecast_errors
+
+    return forecast_errors(events_grid(spark, sf_dir), "event_type", "hr", "n")
