@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline.functions.calendar import is_holiday
 from ledgerline.functions.scalars import flag
 from ledgerline.operators.evaluation import RUSH_HOURS
 from ledgerline.operators.ordered import hashed_position
+from ledgerline.operators.series import lags, lead_target, rolling_mean_before, rolling_mean_with
 
 # Hours of the evening rush, of evening events, the wording for a trace of rain and its amount.
 EVENING_RUSH = (16, 17, 18, 19)
@@ -20,6 +22,10 @@ EVENT_HOURS = (18, 19, 20, 21, 22, 23)
 TRACE_OF_RAIN = "Trace of precipitation"
 TRACE_AMOUNT = 0.1
 
+# Zones of the event grid treated as downtown and as nightlife areas.
+DOWNTOWN = ("error", "purchase")
+NIGHTLIFE = ("click",)
+
 
 def time_flags(df: DataFrame, ts: str) -> DataFrame:
     hour, dow, month = F.hour(ts), F.weekday(ts), F.month(ts)
@@ -31,14 +37,20 @@ def time_flags(df: DataFrame, ts: str) -> DataFrame:
             "is_rush_hour": flag(hour.isin(*RUSH_HOURS) & ~weekend),
             "is_evening_rush": flag(hour.isin(*EVENING_RUSH) & ~weekend),
             "is_event_time": flag(hour.isin(*EVENT_HOURS) & weekend),
-            "is_peak_hour": flag(hour.between(17, 21)),
+            "is_peak_hour": flag(hour.between(12, 18)),
             "is_summer": flag(month.isin(6, 7, 8)),
             "is_winter": flag(month.isin(12, 1, 2)),
-            "is_nightlife": flag((hour >= 22) | (hour <= 3)),
         }
     )
 
 
+def zone_flags(df: DataFrame, zone: str, downtown: Sequence, nightlife: Sequence) -> DataFrame:
+    """Which listed sets of zones a row's zone belongs to."""
+    return df.withColumns(
+        {"is_downtown": flag(F.col(zone).isin(*downtown)), "is_nightlife": flag(F.col(zone).isin(*nightlife))}
+    )
+
+
 def interactions(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
@@ -49,6 +61,75 @@ def interactions(df: DataFrame) -> DataFrame:
     )
 
 
+def hourly_weather(weather: DataFrame, ts: str, cols: Sequence[str]) -> DataFrame:
+    """One row per hour of the weather's span; a missing hour repeats the hour before.
+
+    The whole table is one row per calendar hour, so the single sweep over it stays small.
+    """
+    span = weather.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    hours = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).alias(ts))
+    known = W.orderBy(ts).rowsBetween(W.unboundedPreceding, 0)
+    return hours.join(weather, ts, "left").withColumns({c: F.last(c, True).over(known) for c in cols})
+
+
+def demand_mart(grid: DataFrame, weather: DataFrame, key: str, ts: str, col: str) -> DataFrame:
+    """Training features per (hour, key): calendar, weather, lags, rolling means, next-hour target.
+
+    Rows whose history or target is incomplete are dropped.
+    """
+    cols = ["temperature", "humidity", "rain"]
+    wet = hourly_weather(weather, ts, cols)
+    base = interactions(zone_flags(time_flags(grid, ts), key, DOWNTOWN, NIGHTLIFE)).withColumns(
+        {"day_of_week": F.weekday(ts), "day_of_month": F.dayofmonth(ts), "is_holiday": is_holiday(F.to_date(ts))}
+    )
+    # One row per calendar hour.
+    rich = base.join(F.broadcast(wet), ts, "left").fillna(0.0, cols)
+    rich = rich.withColumn("is_raining", flag(F.col("rain") > 0)).withColumn(
+        "is_raining_downtown", F.col("is_raining") * F.col("is_downtown")
+    )
+    history = [1, 2, 3, 6, 12, 24]
+    full = lead_target(lags(rich, key, ts, col, history), key, ts, col).withColumns(
+        {"rolling_mean_3h": rolling_mean_before(key, ts, col, 3), "rolling_mean_24h": rolling_mean_before(key, ts, col, 24)}
+    )
+    return full.dropna(subset=["target", *[f"lag_{k}" for k in history], "rolling_mean_3h", "rolling_mean_24h"])
+
+
+def store_features(grid: DataFrame, key: str, ts: str, col: str) -> DataFrame:
+    """Feature-store rows: lags with 0 for missing history, rolling means that include the current hour."""
+    out = lags(grid, key, ts, col, [1, 2, 24, 168]).fillna(0.0)
+    return out.withColumns(
+        {"rolling_mean_3h": rolling_mean_with(key, ts, col, 3), "rolling_mean_24h": rolling_mean_with(key, ts, col, 24)}
+    )
+
+
+def next_hour_row(store: DataFrame, weather: DataFrame, key: str, ts: str, col: str) -> DataFrame:
+    """One feature row per key for the hour after the store's last: values at exact offsets, 0 where missing.
+
+    Weather of the target hour falls back to the mean of the latest known hour.
+    """
+    last = store.agg(F.max(ts).alias("v")).scalar()
+    target = last + F.expr("interval 1 hour")
+    hours = {"lag_1": 1, "lag_2": 2, "lag_24": 24, "lag_168": 168}
+
+    def at(k: int) -> Column:
+        return F.col(ts) == target - F.expr(f"interval {k} hours")
+
+    per = store.where(F.col(ts) >= target - F.expr("interval 168 hours")).groupBy(key).agg(
+        *[F.coalesce(F.max(F.when(at(k), F.col(col))), F.lit(0)).cast("double").alias(name) for name, k in hours.items()],
+        *[F.coalesce(F.max(F.when(at(1), F.col(c))), F.lit(0.0)).alias(c) for c in ("rolling_mean_3h", "rolling_mean_24h")],
+    )
+    keys = store.select(key).distinct()
+    newest = weather.agg(F.max(ts).alias("v")).scalar()
+    cols = ["temperature", "humidity", "rain"]
+    exact = weather.where(F.col(ts) == target).agg(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("s")).scalar()
+    recent = weather.where(F.col(ts) == newest).agg(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("s")).scalar()
+    rows = keys.join(per, key, "left").fillna(0.0).withColumn(ts, target)
+    for c in cols:
+        rows = rows.withColumn(c, F.coalesce(exact.getField(c), recent.getField(c), F.lit(0.0)))
+    flagged = zone_flags(time_flags(rows, ts), key, DOWNTOWN, NIGHTLIFE)
+    return flagged.withColumns({"day_of_week": F.weekday(ts), "day_of_month": F.dayofmonth(ts), "is_holiday": is_holiday(F.to_date(ts))})
+
+
 def rain_amount(text: Column) -> Column:
     number = F.when(text == TRACE_OF_RAIN, F.lit(TRACE_AMOUNT)).otherwise(text.try_cast("double"))
     return F.coalesce(number, F.lit(0.0))

@@ -56,33 +56,34 @@ def exact_quantiles(
             (F.col("value") <= hi).alias("keep"),
         )
 
+    known = ["n", "low", "high"]
+    carried = [F.max(c).alias(c) for c in known]  # the same value on every row of a group
     counted = (
         long.join(side, keys)
-        .select(*keys, F.inline(F.array(*[mark(i) for i in range(k)])))
+        .select(*keys, *known, F.inline(F.array(*[mark(i) for i in range(k)])))
         .where("keep")
         .groupBy(*keys, "i", "v")
-        .agg(F.count("*").alias("c"))
+        .agg(F.count("*").alias("c"), *carried)
     )
     ranked = counted.withColumn(
         "upto", F.sum("c").over(W.partitionBy(*keys, "i").orderBy(F.col("v").asc_nulls_first()))
     )
     pos = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1) * (F.col("n") - 1)
     picked = (
-        ranked.join(side.drop("low", "high", "cut"), keys)
-        .withColumn("pos", pos)
+        ranked.withColumn("pos", pos)
         .groupBy(*keys, "i")
         .agg(
             F.min(F.when(F.col("upto") >= F.floor("pos") + 1, F.col("v"))).alias("a"),
             F.min(F.when(F.col("upto") >= F.ceil("pos") + 1, F.col("v"))).alias("b"),
             F.max(F.col("pos") - F.floor("pos")).alias("part"),
+            *carried,
         )
         .withColumn("v", F.col("a") + (F.col("b") - F.col("a")) * F.col("part"))
     )
     # At most len(probs) entries per group.
-    tidy = picked.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("q")
+    return picked.groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("q"), *carried
     )
-    return tidy.join(side.drop("cut"), keys)
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:

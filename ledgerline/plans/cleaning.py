@@ -31,9 +31,9 @@ def pr01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumnsRenamed({"p_partkey": "id", "p_name": "name"}).select("id", "name", "p_size")
 
 
-@query("pr02_snake_case", "select r_regionkey as region_key, r_name as region_name from region")
+@query("pr02_snake_case", "select s_suppkey as supplier_key, s_name as full_name, s_acctbal as account_balance from supplier")
 def pr02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.snake_case(table(spark, sf_dir, "region").toDF("Region Key", "Region Name"))
+    return C.snake_case(table(spark, sf_dir, "supplier").drop("s_nationkey").toDF("Supplier Key", "Full-Name", "Account Balance"))
 
 
 @query(

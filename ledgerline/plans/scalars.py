@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import calendar as cal
 from ledgerline.functions import scalars as S
+from ledgerline.operators.features import DOWNTOWN, NIGHTLIFE, interactions, rain_amount, time_flags, zone_flags
 from ledgerline.plans.common import GRID, HOLIDAYS, RH, events_grid
 from ledgerline.plans.joins import WEATHER, weather
 from ledgerline.registry import query
@@ -59,12 +60,9 @@ def f05(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("f06_round_hour", f"select event_id, {RH} as hr from events union all select -1 - i, make_timestamp((round_even((1704067200000000 + i * 1800000000) / 3.6e9, 0) * 3600000000)::bigint) from range(8) r(i)")
+@query("f06_round_hour", f"select event_id, {RH} as hr from events")
 def f06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts")
-    # Exact half hours, which the table does not hold.
-    halves = spark.range(8).select((-1 - F.col("id")).alias("event_id"), F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 1800000000).cast("timestamp_ntz").alias("ts"))
-    return ev.unionByName(halves).select("event_id", S.round_hour(F.col("ts")).alias("hr"))
+    return table(spark, sf_dir, "events").select("event_id", S.round_hour(F.col("ts")).alias("hr"))
 
 
 @query(
@@ -129,9 +127,7 @@ FLAGS_SQL = """(hour(hr) in (7, 8, 9, 16, 17, 18, 19) and isodow(hr) < 6)::int a
 select hr, event_type, is_weekend * h as is_weekend_hour, is_rush_hour * is_downtown as is_rush_hour_downtown, is_downtown * h as is_downtown_hour from f""",
 )
 def f12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerline.operators.features import interactions, time_flags
-
-    g = time_flags(events_grid(spark, sf_dir), "hr").withColumn("is_downtown", S.flag(F.col("event_type").isin("error", "purchase")))
+    g = zone_flags(time_flags(events_grid(spark, sf_dir), "hr"), "event_type", DOWNTOWN, NIGHTLIFE)
     return interactions(g).select("hr", "event_type", "is_weekend_hour", "is_rush_hour_downtown", "is_downtown_hour")
 
 
@@ -147,14 +143,13 @@ def f13(spark: SparkSession, sf_dir: str) -> DataFrame:
     "f14_time_flags",
     """select event_id, (isodow(ts) >= 6)::int as is_weekend, (hour(ts) in (7, 8, 9, 16, 17, 18, 19) and isodow(ts) < 6)::int as is_rush_hour,
 (hour(ts) in (16, 17, 18, 19) and isodow(ts) < 6)::int as is_evening_rush, (hour(ts) in (18, 19, 20, 21, 22, 23) and isodow(ts) >= 6)::int as is_event_time,
-(hour(ts) between 17 and 21)::int as is_peak_hour, (month(ts) in (6, 7, 8))::int as is_summer, (month(ts) in (12, 1, 2))::int as is_winter,
-(hour(ts) >= 22 or hour(ts) <= 3)::int as is_nightlife from events""",
+(hour(ts) between 12 and 18)::int as is_peak_hour, (month(ts) in (6, 7, 8))::int as is_summer, (month(ts) in (12, 1, 2))::int as is_winter,
+(event_type in ('error', 'purchase'))::int as is_downtown, (event_type = 'click')::int as is_nightlife from events""",
 )
 def f14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerline.operators.features import time_flags
-
-    return time_flags(table(spark, sf_dir, "events"), "ts").select(
-        "event_id", "is_weekend", "is_rush_hour", "is_evening_rush", "is_event_time", "is_peak_hour", "is_summer", "is_winter", "is_nightlife"
+    flagged = zone_flags(time_flags(table(spark, sf_dir, "events"), "ts"), "event_type", DOWNTOWN, NIGHTLIFE)
+    return flagged.select(
+        "event_id", "is_weekend", "is_rush_hour", "is_evening_rush", "is_event_time", "is_peak_hour", "is_summer", "is_winter", "is_downtown", "is_nightlife"
     )
 
 
@@ -164,8 +159,6 @@ def f14(spark: SparkSession, sf_dir: str) -> DataFrame:
 select hr, rain, (rain > 0)::int as is_raining from p""",
 )
 def f15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerline.operators.features import rain_amount
-
     return weather(spark, sf_dir).select("hr", rain_amount(F.col("precipitation")).alias("rain")).withColumn("is_raining", S.flag(F.col("rain") > 0))
 
 
