@@ -154,18 +154,25 @@ def threshold_sweep(df: DataFrame, label: str, score: str, step: float, low: flo
         F.sum((F.col(label) == 1).cast("long")).alias("p"), F.sum((F.col(label) == 0).cast("long")).alias("q")
     )
     # At most n + 1 rows from here on.
-    cuts = hist.select(F.explode(F.sequence(F.lit(0), F.col("b"))).alias("i"), "p", "q").where(F.col("i") > 0)
+    cuts = hist.where(F.col("b") > 0).select(F.explode(F.sequence(F.lit(1), F.col("b"))).alias("i"), "p", "q")
     at = cuts.groupBy("i").agg(F.sum("p").alias("tp"), F.sum("q").alias("fp"))
+    axis = df.sparkSession.range(1, n + 1).select(F.col("id").cast("int").alias("i"))
     positives = hist.agg(F.sum("p").alias("t")).scalar()
-    return at.select(
+    return axis.join(at, "i", "left").fillna({"tp": 0, "fp": 0}).select(
         F.round(F.lit(low) + (F.col("i") - 1) * F.lit(step), 6).alias("threshold"),
         "tp",
         "fp",
-        F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+        F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0)).alias("precision"),
         F.try_divide(F.col("tp"), positives).alias("recall"),
     )
 
 
+def best_threshold(sweep: DataFrame, floor: float, default: float = 0.5) -> DataFrame:
+    """The lowest cut with the best recall among those precise enough; the default when none is."""
+    ok = F.when(F.col("precision") >= floor, F.struct("recall", (-F.col("threshold")).alias("t")))
+    return sweep.agg(F.coalesce(-F.max(ok)["t"], F.lit(default)).alias("threshold"))
+
+
 def chi_square(df: DataFrame, a: str, b: str, yates: bool = True) -> DataFrame:
     """Independence of two categories from their contingency counts; Yates correction on 2 x 2 tables."""
     cells = df.groupBy(a, b).agg(F.count("*").alias("n"))
@@ -204,3 +211,35 @@ def pooled_t(df: DataFrame, value: str, group: str, first, second) -> DataFrame:
     return m.select(
         "m1", "m2", dof.alias("dof"), ((F.col("m1") - F.col("m2")) / F.sqrt(pooled * (1 / F.col("n1") + 1 / F.col("n2")))).alias("t")
     )
+
+
+def group_parity(df: DataFrame, label: str, predicted: str, group: str) -> DataFrame:
+    """Positive rate and true-positive rate of a flag by group."""
+    hit = F.count_if((F.col(label) == 1) & (F.col(predicted) == 1))
+    return df.groupBy(group).agg(
+        F.count("*").alias("n"), F.avg(predicted).alias("positive_rate"), F.try_divide(hit, F.count_if(F.col(label) == 1)).alias("tpr")
+    )
+
+
+def blend_by_regime(df: DataFrame, actual: str, first: str, second: str, regime: str) -> DataFrame:
+    """Two forecasts weighted by 1 / MAE inside each regime, and the error of the blend."""
+    gap = {c: F.avg(F.abs(F.col(actual) - F.col(c))) for c in (first, second)}
+    weights = df.groupBy(regime).agg(gap[first].alias("_a"), gap[second].alias("_b"))
+    # 1/a over (1/a + 1/b) is b over (a + b); one row per regime.
+    weights = weights.select(regime, (F.col("_b") / (F.col("_a") + F.col("_b"))).alias("weight_1")).withColumn("weight_2", 1 - F.col("weight_1"))
+    blend = F.col("weight_1") * F.col(first) + F.col("weight_2") * F.col(second)
+    return df.join(weights, regime).groupBy(regime, "weight_1", "weight_2").agg(F.avg(F.abs(F.col(actual) - blend)).alias("mae"))
+
+
+def rolling_origin(df: DataFrame, ts: str, initial: int, period: int, horizon: int) -> DataFrame:
+    """(cutoff, part, row...) for cutoffs every ``period`` days back from the last possible one.
+
+    Each row lists the cutoffs it takes part in; train is up to the cutoff, valid the ``horizon`` days after.
+    """
+    span = df.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi")).alias("s")).scalar()
+    last = F.date_sub(span.getField("hi"), horizon)
+    room = F.floor(F.datediff(last, F.date_add(span.getField("lo"), initial)) / F.lit(period)).cast("int")
+    first = F.date_sub(last, room * period)
+    cutoffs = F.when(room >= 0, F.sequence(first, last, F.expr(f"interval {period} days")))
+    rows = df.withColumn("cutoff", F.explode(cutoffs)).where(F.col(ts) <= F.date_add("cutoff", horizon))
+    return rows.withColumn("part", F.when(F.col(ts) <= F.col("cutoff"), "train").otherwise("valid"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import is_holiday
 from ledgerline.functions.scalars import flag
+from ledgerline.functions.text import normalize_text, token_table, tokenize
 from ledgerline.operators.evaluation import RUSH_HOURS
 from ledgerline.operators.ordered import hashed_position
 from ledgerline.operators.series import lags, lead_target, rolling_mean_before, rolling_mean_with
@@ -264,3 +265,19 @@ def oversample_interpolated(
 
     made = cells.groupBy("stretch", "piece").applyInPandas(make, schema="origin bigint, v array<double>")
     return made.withColumn(label, F.lit(minority))
+
+
+def oversample_augmented(df: DataFrame, key: str, text: str, minority: Column, synonyms: DataFrame, share: float = 0.3) -> DataFrame:
+    """(key, copy, body): every text normalised, plus one copy of each minority text with words swapped.
+
+    About ``share`` of the words that have a synonym are swapped, chosen by the hash of (key, position),
+    so reruns give the same copies. ``synonyms`` is a supplied dictionary (token, other).
+    """
+    cut = f"{int(round(share * 256)):02x}"
+    originals = df.select(key, F.lit(0).alias("copy"), F.concat_ws(" ", tokenize(normalize_text(F.col(text)))).alias("body"))
+    words = token_table(df.where(minority), [key], text).join(synonyms, "token", "left")
+    chosen = F.substring(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.col("pos").cast("string"))), 1, 2) < cut
+    word = F.when(chosen, F.coalesce("other", "token")).otherwise(F.col("token")).alias("w")
+    rows = words.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", word))).alias("s"))
+    copies = rows.select(key, F.lit(1).alias("copy"), F.concat_ws(" ", F.transform("s", lambda x: x["w"])).alias("body"))
+    return originals.unionByName(copies)

@@ -1,14 +1,26 @@
-"""Models: the previous-step baseline, MLlib learners behind short helpers, and per-series forecasts."""
+"""Learners as MLlib pipelines, and the tables that describe what they learned."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark import keyword_only
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.evaluation import regression_metrics
+from ledgerline.operators.series import time_blocks
+from ledgerline.tables import materialise
+
 
 class PreviousStep(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Baseline that predicts the last seen value."""
@@ -20,3 +32,113 @@ class PreviousStep(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return dataset.withColumn(self.getOutputCol(), F.col(self.getInputCol()).cast("double"))
+
+
+def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
+
+
+def fit(estimator: Estimator, df: DataFrame, features: Sequence[str]) -> PipelineModel:
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), estimator]).fit(df)
+
+
+def error_row(model: Model, df: DataFrame, label: str, /, **tags) -> DataFrame:
+    """Regression metrics of a model on a frame, tagged."""
+    m = regression_metrics(model.transform(df), label, "prediction").select("n", "mae", "rmse", "r2")
+    return m.select(*[F.lit(v).alias(k) for k, v in tags.items()], "*")
+
+
+def stack_rows(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def named_values(df: DataFrame, names: Sequence[str], values: Sequence[float], value: str) -> DataFrame:
+    """(feature, value): as many rows as the model has features."""
+    rows = [(n, float(v)) for n, v in zip(names, values)]
+    return df.sparkSession.createDataFrame(rows, f"feature string, {value} double")
+
+
+def polynomial(estimator: Estimator, df: DataFrame, features: Sequence[str], degree: int = 2) -> PipelineModel:
+    return Pipeline(
+        stages=[
+            VectorAssembler(inputCols=list(features), outputCol="flat"),
+            PolynomialExpansion(degree=degree, inputCol="flat", outputCol="features"),
+            estimator,
+        ]
+    ).fit(df)
+
+
+def expanding_cv(build, grid: Sequence[Mapping], df: DataFrame, ts: str, features: Sequence[str], label: str, folds: int) -> DataFrame:
+    """(params..., cv_mae) of every grid point over growing training windows."""
+    cut = materialise(time_blocks(assemble(df, features).select(ts, "features", label), ts, folds), "blocks")
+    parts = []
+    for params in grid:
+        errors = []
+        for k in range(1, folds + 1):
+            model = build(**params).fit(cut.where(F.col("block") < k))
+            scored = model.transform(cut.where(F.col("block") == k))
+            errors.append(scored.agg(F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("mae")))
+        mean = stack_rows(errors).agg(F.avg("mae").alias("cv_mae"))
+        parts.append(mean.select(*[F.lit(v).alias(p) for p, v in params.items()], "cv_mae"))
+    return stack_rows(parts)
+
+
+def best_point(runs: DataFrame, params: Sequence[str]) -> dict:
+    """The grid point with the lowest error; the run table has one row per point."""
+    return runs.orderBy("cv_mae", *params).first().asDict()
+
+
+def segment(df: DataFrame, features: Sequence[str], k: int, seed: int = 42):
+    data = assemble(df, features)
+    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment").fit(data)
+    return model, model.transform(data).drop("features")
+
+
+def segment_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 42) -> list[tuple[int, float, float]]:
+    """(k, within-cluster cost, silhouette) for every k."""
+    data = assemble(df, features).select("features").persist()
+    judge = ClusteringEvaluator(featuresCol="features", predictionCol="segment")
+    rows = []
+    for k in ks:
+        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment").fit(data)
+        rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(data)))))
+    data.unpersist()
+    return rows
+
+
+def probability(df: DataFrame, out: str = "p", col: str = "probability") -> DataFrame:
+    return df.withColumn(out, vector_to_array(col)[1])
+
+
+def logistic(label: str, weight: str | None = None, **params) -> LogisticRegression:
+    lr = LogisticRegression(featuresCol="features", labelCol=label, **params)
+    return lr.setWeightCol(weight) if weight else lr
+
+
+def linear(label: str, **params) -> LinearRegression:
+    return LinearRegression(featuresCol="features", labelCol=label, **params)
+
+
+def linear_attributions(df: DataFrame, coefficients: Mapping[str, float]) -> DataFrame:
+    """(feature, attribution): mean of |coefficient * (x - mean x)|, exact for a linear model."""
+    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in coefficients]).alias("m")).scalar()
+    parts = [F.avg(F.abs(F.lit(float(b)) * (F.col(c) - means.getField(c)))).alias(c) for c, b in coefficients.items()]
+    row = df.agg(*parts)
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("attribution")) for c in coefficients])
+    return row.select(F.inline(cells))
+
+
+def score_batch(model: Model, df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Predictions as whole non-negative numbers, written to the shared folder and read back.
+
+    Rows with a missing feature stop the job: they point at a broken feature table.
+    """
+    holes = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first().asDict()
+    broken = {c: n for c, n in holes.items() if n}
+    if broken:
+        raise ValueError(f"missing feature values: {broken}")
+    scored = model.transform(df).select(*keys, F.round(F.greatest("prediction", F.lit(0.0)), 0).cast("int").alias("predicted"))
+    return materialise(scored, "predictions")

@@ -169,20 +169,24 @@ def mark_share(df: DataFrame, key: str, ts: str, share: float) -> DataFrame:
     return df.withColumn("part", F.when(rn <= F.floor(n * F.lit(share)), F.lit("train")).otherwise(F.lit("test")))
 
 
-def expanding_folds(df: DataFrame, ts: str, folds: int) -> DataFrame:
-    """Long (fold, part, row) table: train grows block by block, the next block validates.
+def time_blocks(df: DataFrame, ts: str, folds: int) -> DataFrame:
+    """Adds ``block``: 0 for the first training stretch, then 1 .. folds for the equal blocks after it.
 
     Blocks are cut over the distinct time stamps, so every key shares them. The stamps are a calendar,
     which fits in one task.
     """
     stamps = df.select(ts).distinct()
-    # Positions over the calendar only.
     cal = stamps.withColumn("_i", F.row_number().over(W.orderBy(ts)) - 1).withColumn("_n", F.count("*").over(W.partitionBy()))
     size = F.floor(F.col("_n") / F.lit(folds + 1))
     first = F.col("_n") - size * folds
     block = F.when(F.col("_i") < first, F.lit(0)).otherwise(F.floor((F.col("_i") - first) / size) + 1)
-    tagged = cal.select(ts, block.cast("int").alias("_b"))
-    rows = df.join(tagged, ts)
-    return rows.withColumn(
-        "fold", F.explode(F.sequence(F.greatest(F.col("_b"), F.lit(1)), F.lit(folds)))
-    ).withColumn("part", F.when(F.col("_b") == F.col("fold"), F.lit("valid")).otherwise(F.lit("train"))).drop("_b")
+    return df.join(cal.select(ts, block.cast("int").alias("block")), ts)
+
+
+def expanding_folds(df: DataFrame, ts: str, folds: int) -> DataFrame:
+    """Long (fold, part, row) table: train grows block by block, the next block validates."""
+    rows = time_blocks(df, ts, folds)
+    fold = F.explode(F.sequence(F.greatest(F.col("block"), F.lit(1)), F.lit(folds)))
+    return rows.withColumn("fold", fold).withColumn(
+        "part", F.when(F.col("block") == F.col("fold"), F.lit("valid")).otherwise(F.lit("train"))
+    ).drop("block")
