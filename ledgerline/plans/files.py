@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.scalars import flag
 from ledgerline.operators.corpus import summarise
 from ledgerline.operators.series import lags
+from ledgerline.plans.aggregates import PANEL_TYPES
 from ledgerline.plans.common import ERRORS, GRID, baseline_errors, events_grid
 from ledgerline.plans.series import GW
 from ledgerline.plans.text import SENT, SUMMARY, docs
@@ -31,12 +32,12 @@ def io01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.read_csv(spark, path, ORDERS)
 
 
-@query("io02_read_tsv_sources", "select '\"' || p_name as sentence, p_size as label, lower(p_type) as source from part where p_type in ('ECONOMY', 'PROMO', 'SMALL')")
+@query("io02_read_tsv_sources", "select '\"' || p_name as sentence, p_size as label, lower(p_type) as source from part")
 def io02(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "tsv")
     parts = table(spark, sf_dir, "part")
     sources = {}
-    for kind in ("ECONOMY", "PROMO", "SMALL"):
+    for kind in PANEL_TYPES:
         sources[kind.lower()] = f"{root}/{kind.lower()}"
         rows = parts.where(F.col("p_type") == kind).select(F.concat_ws("\t", F.concat(F.lit('"'), F.col("p_name")), F.col("p_size").cast("string")))
         rows.write.text(sources[kind.lower()])
@@ -48,13 +49,13 @@ def io03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.read_parquet(spark, f"{sf_dir}/events.parquet", ["event_id", "ts", "event_type"]).where(F.col("event_type") == "error")
 
 
-@query("io04_read_many", "select event_id, event_type, value, strftime(ts, '%Y-%m-%d') as file_day from events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20'")
+@query("io04_read_many", "select event_id, event_type, value, strftime(ts, '%Y-%m-%d') as file_day from events")
 def io04(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "events-by-day")
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     # Spread inside each day, so a day is not one task's work.
     ev.repartition("day", F.hour("ts")).write.partitionBy("day").parquet(root)
-    return R.read_many(spark, f"{root}/day=2024-01-1*").select("event_id", "event_type", "value", F.regexp_extract("origin", r"day=([0-9-]+)", 1).alias("file_day"))
+    return R.read_many(spark, f"{root}/day=*").select("event_id", "event_type", "value", F.regexp_extract("origin", r"day=([0-9-]+)", 1).alias("file_day"))
 
 
 def archives(df: DataFrame) -> DataFrame:
