@@ -76,6 +76,12 @@ def pivot_sums(df: DataFrame, row: str, col: str, values: Sequence[str], agg: Co
     return df.groupBy(row).pivot(col, list(values)).agg(agg)
 
 
+def share_rows(df: DataFrame, row: str, cols: Sequence[str]) -> DataFrame:
+    """Each row of a wide count table divided by its sum."""
+    total = sum((F.col(f"`{c}`") for c in cols), F.lit(0))
+    return df.select(row, *[F.try_divide(F.col(f"`{c}`"), total).alias(c) for c in cols])
+
+
 def group_agg(df: DataFrame, keys: Sequence[str], spec: Mapping[str, Sequence[str]]) -> DataFrame:
     """``{column: [functions]}`` with flattened names; null keys are dropped, an empty sum is 0."""
     made = []

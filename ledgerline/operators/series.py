@@ -31,12 +31,14 @@ def hour_grid(df: DataFrame, ts: str, key: str) -> DataFrame:
 
 
 def daily_series(df: DataFrame, key: str, ts: str, amount: str, out: str = "sales") -> DataFrame:
-    """(key, d, sales) for every day of the whole span; days without rows sum to 0."""
-    days = df.groupBy(key, F.to_date(ts).alias("d")).agg(F.sum(amount).alias(out))
-    first = df.agg(F.to_date(F.min(ts)).alias("v")).scalar()
-    last = df.agg(F.to_date(F.max(ts)).alias("v")).scalar()
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return densify(days, keys, "d", first, last, "1 day", {out: 0.0})
+    """(key, d, sales) for every day of the whole span; days without rows sum to 0.
+
+    Ends of the calendar and keys are read off the daily sums, so the raw rows are aggregated once.
+    """
+    days = df.where(F.col(key).isNotNull()).groupBy(key, F.to_date(ts).alias("d")).agg(F.sum(amount).alias(out))
+    first = days.agg(F.min("d").alias("v")).scalar()
+    last = days.agg(F.max("d").alias("v")).scalar()
+    return densify(days, days.select(key).distinct(), "d", first, last, "1 day", {out: 0.0})
 
 
 def series_window(key: str, ts: str):

@@ -9,7 +9,7 @@ from ledgerline.functions.scalars import day
 from ledgerline.operators.cleaning import histogram
 from ledgerline.operators.evaluation import binary_counts
 from ledgerline.operators.quantiles import exact_quantiles, quantile_scalars
-from ledgerline.operators.relational import attach, group_agg, pivot_sums, rfm, rows_of, top_k, value_counts
+from ledgerline.operators.relational import attach, group_agg, pivot_sums, rfm, rows_of, share_rows, top_k, value_counts
 from ledgerline.plans.common import DAILY, ERRORS, baseline_errors, brand_days, brand_lines
 from ledgerline.plans.reports import SKILL_PAY_SQL, skill_pay
 from ledgerline.registry import query
@@ -65,11 +65,12 @@ def a04(spark: SparkSession, sf_dir: str) -> DataFrame:
     + " from orders join customer on o_custkey = c_custkey group by all",
 )
 def a05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
+    # One row per customer with a count per priority: already placed for the join, however hot a customer is.
+    counts = [F.count_if(F.col("o_orderpriority") == p).alias(p) for p in PRIORITIES]
+    per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(*counts)
     seg = attach(per, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey", ["c_mktsegment"], "inner")
-    wide = pivot_sums(seg, "c_mktsegment", "o_orderpriority", PRIORITIES, F.sum("n")).fillna(0)
-    total = sum((F.col(p) for p in PRIORITIES), F.lit(0))
-    return wide.select("c_mktsegment", *[F.round(F.try_divide(F.col(p), total), 6).alias(p) for p in PRIORITIES])
+    wide = seg.groupBy("c_mktsegment").agg(*[F.sum(p).alias(p) for p in PRIORITIES])
+    return share_rows(wide, "c_mktsegment", PRIORITIES).select("c_mktsegment", *[F.round(p, 6).alias(p) for p in PRIORITIES])
 
 
 @query("a06_crosstab", "select quality, count(*) filter (toxic = 0) as toxic_0, count(*) filter (toxic = 1) as toxic_1 from labels group by all")
@@ -259,11 +260,11 @@ def a20(spark: SparkSession, sf_dir: str) -> DataFrame:
 group by grouping sets ((c_mktsegment), (c_nationkey), (o_orderpriority))""",
 )
 def a21(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = attach(
-        table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.sum("o_totalprice").alias("s")),
-        table(spark, sf_dir, "customer"), "o_custkey", "c_custkey", ["c_mktsegment", "c_nationkey"], "inner",
-    )
-    leaf = facts.groupBy("c_mktsegment", "c_nationkey", "o_orderpriority").agg(F.sum("s").alias("s"))
+    sums = [F.sum(F.when(F.col("o_orderpriority") == p, F.col("o_totalprice"))).alias(p) for p in PRIORITIES]
+    per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(*sums)
+    facts = attach(per, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey", ["c_mktsegment", "c_nationkey"], "inner")
+    cells = F.array(*[F.struct(F.lit(p).alias("o_orderpriority"), F.col(p).alias("s")) for p in PRIORITIES])
+    leaf = facts.select("c_mktsegment", "c_nationkey", F.inline(cells)).groupBy("c_mktsegment", "c_nationkey", "o_orderpriority").agg(F.sum("s").alias("s"))
     sets = [[F.col("c_mktsegment")], [F.col("c_nationkey")], [F.col("o_orderpriority")]]
     return leaf.groupingSets(sets, "c_mktsegment", "c_nationkey", "o_orderpriority").agg(F.round(F.sum("s"), 2).alias("total"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.evaluation import forecast_errors
 from ledgerline.operators.relational import attach
 from ledgerline.operators.series import daily_series, hour_grid
 from ledgerline.tables import table
@@ -39,12 +40,11 @@ def brand_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def brand_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sales per brand on a dense calendar."""
-    lines = table(spark, sf_dir, "lineitem")
-    # Summed per part and day before the brand is looked up: the join sees far fewer rows.
-    per_part = lines.groupBy("l_partkey", F.to_date("l_shipdate").alias("day")).agg(F.sum("l_extendedprice").alias("amount"))
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", F.col("l_extendedprice").alias("amount"))
     parts = table(spark, sf_dir, "part").withColumnRenamed("p_brand", "brand")
-    branded = attach(per_part, parts, "l_partkey", "p_partkey", ["brand"], "inner")
-    return daily_series(branded, "brand", "day", "amount").withColumn("sales", F.round("sales", 2)).select("brand", "d", "sales")
+    # The sums per (brand, day) merge right after the lookup, before anything else moves.
+    branded = attach(lines, parts, "l_partkey", "p_partkey", ["brand"], "inner")
+    return daily_series(branded, "brand", "l_shipdate", "amount").withColumn("sales", F.round("sales", 2)).select("brand", "d", "sales")
 
 
 # Holidays the other way round: weekdays are counted inside each month of a generated calendar.
@@ -67,6 +67,4 @@ err as (select hr, event_type, n as actual, predicted, n - predicted as signed,
 
 def baseline_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Previous-hour forecast against what came: one row per (hour, type)."""
-    from ledgerline.operators.evaluation import forecast_errors
-
     return forecast_errors(events_grid(spark, sf_dir), "event_type", "hr", "n")

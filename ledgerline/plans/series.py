@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalars import recode
+from ledgerline.functions.scalars import recode, round_hour
 from ledgerline.operators import series as S
 from ledgerline.operators.cleaning import label_iqr_outliers
 from ledgerline.operators.evaluation import regression_metrics
 from ledgerline.operators.features import demand_mart, next_hour_row, rain_amount, store_features
+from ledgerline.operators.models import PreviousStep
 from ledgerline.operators.ordered import previous_value
 from ledgerline.operators.quantiles import quantile_scalars
 from ledgerline.operators.relational import attach, newest
@@ -78,17 +79,15 @@ def w06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("hr", "event_type", (F.col("lag_1") - F.col("lag_2")).alias("diff_lag1_lag2"), (F.col("lag_1") - F.col("lag_24")).alias("diff_lag1_lag24"))
 
 
-# Hourly mean value per type; silent hours and a fixed pattern of hours are unknown.
-KNOWN = f"""{GRID}, hv as (select {RH} as hr, event_type, avg(value) as v from events group by all),
+# Hourly peak value per type; silent hours and a fixed pattern of hours are unknown.
+KNOWN = f"""{GRID}, hv as (select {RH} as hr, event_type, max(value) as v from events group by all),
 gaps as (select hr, event_type, case when (hour(hr) + day(hr)) % 4 <> 0 then v end as v from grid left join hv using (hr, event_type))"""
 
 
 def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerline.functions.scalars import round_hour
-
     ev = table(spark, sf_dir, "events").select("ts", "event_type", "value")
-    means = ev.groupBy(round_hour(F.col("ts")).alias("hr"), "event_type").agg(F.avg("value").alias("v"))
-    grid = events_grid(spark, sf_dir).drop("n").join(means, ["hr", "event_type"], "left")
+    peaks = ev.groupBy(round_hour(F.col("ts")).alias("hr"), "event_type").agg(F.max("value").alias("v"))
+    grid = events_grid(spark, sf_dir).drop("n").join(peaks, ["hr", "event_type"], "left")
     return grid.withColumn("v", F.when((F.hour("hr") + F.dayofmonth("hr")) % 4 != 0, F.col("v")))
 
 
@@ -354,8 +353,6 @@ select event_type, {METRICS_SQL} from s group by 1""",
 )
 def q16(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mart to held-out error per key for the previous-step baseline."""
-    from ledgerline.operators.models import PreviousStep
-
     test = mart(spark, sf_dir).where("hr >= timestamp_ntz'2024-01-22'")
     scored = PreviousStep(inputCol="lag_1", outputCol="prediction").transform(test)
     m = regression_metrics(scored, "target", "prediction", ["event_type"])
