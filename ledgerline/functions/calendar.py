@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONDAY, THURSDAY, FRIDAY, SATURDAY, SUNDAY = 0, 3, 4, 5, 6
+MONDAY, THURSDAY, FRIDAY = 0, 3, 4
 
 # Month, day and first year of the holidays on fixed dates.
 FIXED = (
@@ -27,8 +31,30 @@ FLOATING = (
 )
 
 
-def _fixed(d: Column, month: int, dom: int, since: int) -> Column:
-    return (F.month(d) == month) & (F.dayofmonth(d) == dom) & (F.year(d) >= since)
+def _day_code(d: Column) -> Column:
+    return F.month(d) * 100 + F.dayofmonth(d)
+
+
+def _shifted(month: int, dom: int, days: int) -> int:
+    """Month and day ``days`` later; no fixed holiday is near the end of February, so any year will do."""
+    other = date(2001, month, dom) + timedelta(days=days)
+    return other.month * 100 + other.day
+
+
+def _rules(d: Column, observed: bool) -> list[tuple[Column, str]]:
+    """(condition, name) per holiday, all on the day's own month, day and weekday."""
+    code, weekday = _day_code(d), F.weekday(d)
+    rules = []
+    for name, month, dom, since in FIXED:
+        known = F.year(d) >= since if since else F.lit(True)
+        rules.append(((code == month * 100 + dom) & known, name))
+        if observed:
+            early = (weekday == FRIDAY) & (code == _shifted(month, dom, -1))
+            late = (weekday == MONDAY) & (code == _shifted(month, dom, 1))
+            rules.append(((early | late) & known, f"{name} (observed)"))
+    for name, month, day, lo, hi in FLOATING:
+        rules.append(((weekday == day) & code.between(month * 100 + lo, month * 100 + hi), name))
+    return rules
 
 
 def holiday_name(d: Column, observed: bool = True) -> Column:
@@ -36,27 +62,38 @@ def holiday_name(d: Column, observed: bool = True) -> Column:
 
     A fixed holiday on a Saturday is also observed on the Friday before, one on a Sunday on the Monday after.
     """
-    cases = [(_fixed(d, m, dom, since), name) for name, m, dom, since in FIXED]
-    cases += [
-        ((F.month(d) == m) & (F.weekday(d) == wd) & F.dayofmonth(d).between(lo, hi), name)
-        for name, m, wd, lo, hi in FLOATING
-    ]
-    if observed:
-        for name, m, dom, since in FIXED:
-            early = (F.weekday(d) == FRIDAY) & _fixed(F.date_add(d, 1), m, dom, since)
-            late = (F.weekday(d) == MONDAY) & _fixed(F.date_sub(d, 1), m, dom, since)
-            cases.append((early | late, f"{name} (observed)"))
-    return F.coalesce(*[F.when(hit, F.lit(name)) for hit, name in cases])
+    first, *rest = _rules(d, observed)
+    out = F.when(first[0], F.lit(first[1]))
+    for hit, name in rest:
+        out = out.when(hit, F.lit(name))
+    return out
+
+
+def _any_rule(d: Column, observed: bool = True) -> Column:
+    """The rules of ``_rules`` folded into a few set lookups, so a date is taken apart only a few times."""
+    code, weekday = _day_code(d), F.weekday(d)
+    always = [m * 100 + dom for _, m, dom, since in FIXED if not since]
+    hits = [code.isin(always)]
+    by_weekday: dict[int, list[int]] = {}
+    for _, month, day, lo, hi in FLOATING:
+        by_weekday.setdefault(day, []).extend(range(month * 100 + lo, month * 100 + hi + 1))
+    for _, month, dom, since in FIXED:
+        if since:
+            hits.append((code == month * 100 + dom) & (F.year(d) >= since))
+        if observed:
+            for day, shift in ((FRIDAY, -1), (MONDAY, 1)):
+                if since:
+                    hits.append((code == _shifted(month, dom, shift)) & (weekday == day) & (F.year(d) >= since))
+                else:
+                    by_weekday.setdefault(day, []).append(_shifted(month, dom, shift))
+    hits += [code.isin(codes) & (weekday == day) for day, codes in by_weekday.items()]
+    return reduce(or_, hits)
 
 
 def is_holiday(d: Column, observed: bool = True) -> Column:
-    return holiday_name(d, observed).isNotNull().cast("int")
+    return _any_rule(d, observed).cast("int")
 
 
 def near_holiday(d: Column, days: int = 1) -> Column:
     """1 when a holiday lies within ``days`` before or after ``d``."""
-    hits = [holiday_name(F.date_add(d, k)).isNotNull() for k in range(-days, days + 1)]
-    out = hits[0]
-    for h in hits[1:]:
-        out = out | h
-    return out.cast("int")
+    return reduce(or_, [_any_rule(F.date_add(d, k)) for k in range(-days, days + 1)]).cast("int")

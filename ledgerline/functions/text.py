@@ -82,6 +82,12 @@ def prepared(text: Column) -> Column:
     return drop_stop_words(tokenize(join_negations(one_spaced(normalize_text(text)))))
 
 
+def prepared_text(text: Column) -> Column:
+    """The prepared tokens as one string; the placeholder when nothing is left."""
+    tokens = prepared(text)
+    return F.when(F.size(tokens) > 0, F.concat_ws(" ", tokens)).otherwise(F.lit(NO_TEXT))
+
+
 def token_table(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     """(keys..., pos, token), one row per normalised word."""
     return df.select(*keys, F.posexplode(tokenize(normalize_text(F.col(text)))).alias("pos", "token"))

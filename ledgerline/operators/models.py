@@ -26,8 +26,9 @@ class PreviousStep(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable
     """Baseline that predicts the last seen value."""
 
     @keyword_only
-    def __init__(self, inputCol: str | None = None, outputCol: str = "prediction"):
+    def __init__(self, inputCol: str | None = None, outputCol: str | None = None):
         super().__init__()
+        self._setDefault(outputCol="prediction")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from ledgerline.plans.aggregates import RFM_SQL, a28
 from ledgerline.plans.common import GRID, events_grid
 from ledgerline.plans.text import DOC_TOKENS, VOCAB, docs
 from ledgerline.registry import query
-from ledgerline.tables import materialise, table
+from ledgerline.tables import spread, table
 
 RFM_COLS = ("recency", "frequency", "monetary")
 
@@ -87,8 +87,9 @@ def combined_frame(spark: SparkSession, sf_dir: str, size: int = 1000) -> DataFr
     """doc_id and one vector: numbers, language flags, embedding, word counts."""
     tokens = X.token_table(docs(spark, sf_dir), ["doc_id"], "text")
     words = [r["token"] for r in K.vocabulary(tokens, size).orderBy("rank").collect()]  # at most ``size`` words
-    base = table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("n_chars").cast("double"), X.tokenize(X.normalize_text(F.col("text"))).alias("tokens"))
-    base = P.one_hot(base, "lang", P.levels(base, "lang")).withColumn("n_words", F.size("tokens").cast("double"))
+    raw = table(spark, sf_dir, "documents")
+    base = spread(raw.select("doc_id", "lang", F.col("n_chars").cast("double"), "text")).withColumn("tokens", X.tokenize(X.normalize_text(F.col("text")))).drop("text")
+    base = P.one_hot(base, "lang", P.levels(raw, "lang")).withColumn("n_words", F.size("tokens").cast("double"))
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("e"))
     wide = base.join(vectors, "doc_id", "left").withColumn("e", F.coalesce("e", F.array_repeat(F.lit(0.0), 64)))
     counted = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="bag").transform(wide.withColumn("dense", array_to_vector("e")))

@@ -9,7 +9,7 @@ from ledgerline.functions import text as X
 from ledgerline.operators import corpus as K
 from ledgerline.operators.quantiles import exact_quantiles
 from ledgerline.registry import query
-from ledgerline.tables import table
+from ledgerline.tables import spread, table
 
 WS = r"[ \t\n\r\f\x0B]"
 
@@ -41,7 +41,8 @@ tok as (select doc_id, unnest(toks) as token, unnest(range(len(toks))) as pos fr
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    """Text work is heavy per row, so even a one-file table should keep every core busy."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,16 @@ def t05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select("doc_id", X.prepared(F.col("text")).alias("tokens"))
 
 
+@query(
+    "t05_prepared_text",
+    f"""with p as (select conv_id, turn, list_filter({tokens_sql(neg_sql(spaced_sql(norm_sql("case when turn % 3 = 0 then 'the of' else text end"))))}, lambda t: not list_contains({STOP}, t)) as toks from conversations)
+select conv_id, turn, case when len(toks) > 0 then array_to_string(toks, ' ') else 'no_review' end as body from p""",
+)
+def t05_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.when(F.col("turn") % 3 == 0, F.lit("the of")).otherwise(F.col("text"))
+    return turns(spark, sf_dir).select("conv_id", "turn", X.prepared_text(body).alias("body"))
+
+
 # Dictionaries are derived from the texts, whose words are invented.
 LEMMAS = f"""lem as (select token as form, regexp_replace(token, '(es|s)$', '') as lemma from (select token, count(*) as n from tok where regexp_matches(token, '.{{3,}}s$') group by 1 order by n desc, token limit 500))"""
 

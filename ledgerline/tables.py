@@ -14,6 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Hand a scan with fewer pieces than cores to all cores; a large table has pieces enough and stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach.
 
