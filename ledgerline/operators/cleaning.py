@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import clip
 from ledgerline.operators.quantiles import iqr_fences, quantile_scalars
+from ledgerline.tables import materialise
 
 
 def snake_case(df: DataFrame) -> DataFrame:
@@ -159,6 +160,7 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 def drop_zscore(df: DataFrame, col: str, limit: float, by: Sequence[str]) -> DataFrame:
     """Drop rows more than ``limit`` population deviations from their group's mean; nulls stay out of both."""
-    stats = df.groupBy(*by).agg(F.avg(col).alias("_m"), F.stddev_pop(col).alias("_s"))
+    # Written first, so that the planner sees the true size of the group table.
+    stats = materialise(df.groupBy(*by).agg(F.avg(col).alias("_m"), F.stddev_pop(col).alias("_s")), "zscore")
     z = F.try_divide(F.col(col) - F.col("_m"), F.col("_s"))
     return df.join(stats, list(by)).where(z.isNull() | (F.abs(z) <= limit)).drop("_m", "_s")

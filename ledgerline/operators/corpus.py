@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import chunks, sentences, tokenize, normalize_text, token_table
+from ledgerline.functions.text import normalize_text, sentences, tokenize
 
 
 def term_counts(tokens: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -243,3 +245,44 @@ def rolling_origin(df: DataFrame, ts: str, initial: int, period: int, horizon: i
     cutoffs = F.when(room >= 0, F.sequence(first, last, F.expr(f"interval {period} days")))
     rows = df.withColumn("cutoff", F.explode(cutoffs)).where(F.col(ts) <= F.date_add("cutoff", horizon))
     return rows.withColumn("part", F.when(F.col(ts) <= F.col("cutoff"), "train").otherwise("valid"))
+
+
+def chi_square_tail(x: float, dof: int) -> float:
+    """P(X >= x) of a chi-square variable, as the finite sum for whole degrees of freedom."""
+    half = x / 2
+    if dof % 2:
+        total, term, k = math.erfc(math.sqrt(half)), math.exp(-half) * math.sqrt(half) / math.gamma(1.5), 1.5
+    else:
+        total, term, k = 0.0, math.exp(-half), 1.0
+    for _ in range(dof // 2):
+        total += term
+        term *= half / k
+        k += 1
+    return min(total, 1.0)
+
+
+def student_tail(t: float, dof: int) -> float:
+    """Two-sided P(|T| >= |t|): the finite sum in the angle; the normal tail, corrected, for many degrees."""
+    t = abs(t)
+    if dof > 5000:
+        return math.erfc(t * (1 - 1 / (4 * dof)) / math.sqrt(1 + t * t / (2 * dof)) / math.sqrt(2))
+    angle = math.atan2(t, math.sqrt(dof))
+    c2, odd = math.cos(angle) ** 2, dof % 2
+    term, total = (math.cos(angle), 0.0) if odd else (1.0, 0.0)
+    k = 2 if odd else 1
+    for _ in range((dof - 1) // 2 if odd else dof // 2):
+        total += term
+        term *= c2 * k / (k + 1)
+        k += 2
+    inside = 2 / math.pi * (angle + math.sin(angle) * total) if odd else math.sin(angle) * total
+    return max(1 - inside, 0.0)
+
+
+def with_p_value(test: DataFrame, statistic: str, tail: Callable[[float, int], float]) -> DataFrame:
+    """Adds the p-value to a one-row test result."""
+
+    @F.pandas_udf("double")
+    def p(stat: pd.Series, dof: pd.Series) -> pd.Series:
+        return pd.Series([tail(float(s), int(d)) for s, d in zip(stat, dof)])
+
+    return test.withColumn("p_value", p(statistic, "dof"))

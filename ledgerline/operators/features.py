@@ -16,6 +16,7 @@ from ledgerline.functions.text import normalize_text, token_table, tokenize
 from ledgerline.operators.evaluation import RUSH_HOURS
 from ledgerline.operators.ordered import hashed_position
 from ledgerline.operators.series import lags, lead_target, rolling_mean_before, rolling_mean_with
+from ledgerline.tables import materialise
 
 # Hours of the evening rush, of evening events, the wording for a trace of rain and its amount.
 EVENING_RUSH = (16, 17, 18, 19)
@@ -243,6 +244,7 @@ def oversample_interpolated(
     projected = ranked.withColumn("copies", copies).withColumn(
         "p", F.aggregate(F.zip_with("v", weights, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     )
+    projected = materialise(projected, "projected")  # read three times below
     # Cells: quantile bounds of the projection, then equal-sized pieces of any crowded stretch by hash.
     cuts = [i / 64 for i in range(1, 64)]
     bounds = projected.agg(F.percentile_approx("p", cuts, 10_000).alias("b")).scalar()

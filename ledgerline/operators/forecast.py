@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import is_holiday, near_holiday
-from ledgerline.operators.evaluation import rolling_origin  # noqa: F401  (the fold table of the same job)
 
 
 def with_future(df: DataFrame, key: str, ts: str, value: str, horizon: int) -> DataFrame:

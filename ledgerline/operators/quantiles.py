@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline.tables import materialise
+
 ACCURACY = 10_000
 SMALL_GROUP = 100_000
 
@@ -43,8 +45,9 @@ def exact_quantiles(
     )
     small = F.col("n") <= small_group
     k = len(probs)
-    # Without group keys the statistics hold one row per listed column, so their size is known.
-    side = stats if by else F.broadcast(stats)
+    # Without group keys the statistics hold one row per listed column. With them they are written first:
+    # the planner then knows their true size and broadcasts them only if that is small.
+    side = materialise(stats, "brackets") if by else F.broadcast(stats)
 
     def mark(i: int) -> Column:
         lo = F.when(small, F.col("low")).otherwise(F.col("cut")[i])

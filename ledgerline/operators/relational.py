@@ -92,12 +92,21 @@ def group_agg(df: DataFrame, keys: Sequence[str], spec: Mapping[str, Sequence[st
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(*made)
 
 
+BLOCK_ITEMS = 2000
+
+
+def item_blocks(items: DataFrame, item: str) -> int:
+    """Into how many blocks an item list has to be cut; read it off the dimension, not the facts."""
+    n = items.agg(F.approx_count_distinct(item).alias("n")).first()["n"]
+    return max(1, -(-int(n * 1.1) // BLOCK_ITEMS))
+
+
 def cooccurring_pairs(bridge: DataFrame, group: str, item: str, blocks: int = 1) -> DataFrame:
     """How many groups hold both items, for every unordered pair: (item_a, item_b, pair_count), a < b.
 
     Each task turns its groups into 0/1 rows and adds up their Gram matrix, so what leaves the task is
     at most one number per pair of items, whatever the number of groups. The item list is cut into
-    ``blocks`` so that one matrix stays small (a few thousand items per block); with more than one
+    ``blocks`` (see ``item_blocks``) so that one matrix stays small; with more than one
     block every pair of blocks is a separate piece of work.
     """
     block = F.pmod(F.xxhash64(item), F.lit(blocks)).alias("b")

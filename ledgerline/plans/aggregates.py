@@ -13,7 +13,7 @@ from ledgerline.operators.relational import attach, group_agg, pivot_sums, rfm,
 from ledgerline.plans.common import DAILY, ERRORS, baseline_errors, brand_days, brand_lines
 from ledgerline.plans.reports import SKILL_PAY_SQL, skill_pay
 from ledgerline.registry import query
-from ledgerline.tables import table
+from ledgerline.tables import materialise, table
 
 # The columns a wide table is asked for.
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -228,7 +228,7 @@ from events join q using (event_type) group by event_type""",
 )
 def a18(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_type", "value")
-    box = exact_quantiles(ev, ["value"], [0.25, 0.5, 0.75], ["event_type"])
+    box = materialise(exact_quantiles(ev, ["value"], [0.25, 0.5, 0.75], ["event_type"]), "box")
     spread = (F.col("q")[2] - F.col("q")[0]) * 1.5
     inside = ev.join(box.select("event_type", "q"), "event_type").groupBy("event_type").agg(
         F.min(F.when(F.col("value") >= F.col("q")[0] - spread, F.col("value"))).alias("whisker_low"),

@@ -198,6 +198,17 @@ def m32_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.chi_square(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority").withColumn("statistic", F.round("statistic", 6))
 
 
+@query("m32_chi_square_test")
+def m32_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.with_p_value(E.chi_square(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority"), "statistic", E.chi_square_tail)
+
+
+@query("m33_t_test")
+def m33_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
+    return E.with_p_value(E.pooled_t(sized, "n_chars", "quality", 0, 1), "t", E.student_tail)
+
+
 @query(
     "m33_pooled_t",
     """with s as (select count(*) filter (quality = 0) as n1, avg(n_chars) filter (quality = 0) as m1, var_samp(n_chars) filter (quality = 0) as v1, count(*) filter (quality = 1) as n2,

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import round_hour
 from ledgerline.operators.ordered import as_of
-from ledgerline.operators.relational import attach, cooccurring_pairs, densify, rows_missing, rows_of, top_k
+from ledgerline.operators.relational import attach, cooccurring_pairs, item_blocks, rows_missing, rows_of, top_k
 from ledgerline.operators.series import hourly_counts
-from ledgerline.plans.common import GRID, RH, events_grid
+from ledgerline.plans.common import GRID, events_grid
 from ledgerline.plans.reports import BRIDGE, bridge
 from ledgerline.registry import query
 from ledgerline.tables import table
@@ -39,7 +39,7 @@ def j02(spark: SparkSession, sf_dir: str) -> DataFrame:
 from bridge a join bridge b on a.o_orderkey = b.o_orderkey and a.brand < b.brand group by all""",
 )
 def j03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cooccurring_pairs(bridge(spark, sf_dir), "o_orderkey", "brand")
+    return cooccurring_pairs(bridge(spark, sf_dir), "o_orderkey", "brand", item_blocks(table(spark, sf_dir, "part"), "p_brand"))
 
 
 @query(

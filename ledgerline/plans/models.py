@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text as X
-from ledgerline.functions.scalars import flag
 from ledgerline.operators import evaluation as E
 from ledgerline.operators import features as P
 from ledgerline.operators import forecast as FC
 from ledgerline.operators import models as M
-from ledgerline.operators.relational import attach, top_k
+from ledgerline.operators.relational import top_k
 from ledgerline.operators.series import lags
-from ledgerline.plans.aggregates import RFM_SQL, a28
+from ledgerline.plans.aggregates import a28
 from ledgerline.plans.common import DAILY, GRID, brand_days, events_grid
 from ledgerline.plans.preparation import RFM_COLS, combined_frame
 from ledgerline.plans.series import GW, mart
@@ -197,7 +196,7 @@ def m11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model per source, each fitted by the whole cluster; a source's size does not matter."""
     sources = table(spark, sf_dir, "documents").select("doc_id", "source")
-    rows = materialise(labelled_frame(spark, sf_dir, 50).join(sources, "doc_id"), "by-source").persist()
+    rows = materialise(labelled_frame(spark, sf_dir, 50).join(sources, "doc_id"), "by-source")
     parts = []
     for name in P.levels(rows, "source"):
         mine = rows.where(F.col("source") == name)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.relational import attach, cooccurring_pairs, top_k
+from ledgerline.operators.relational import attach, cooccurring_pairs, item_blocks, top_k
 from ledgerline.registry import query
 from ledgerline.tables import table
 
@@ -69,9 +69,16 @@ def q02(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.groupBy("brand").agg(F.count("*").alias("frequency"), F.round(F.avg("o_totalprice"), 4).alias("mean_price"))
 
 
+def wanted_brands(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """Distinct (order, brand) of the wanted postings: lines are cut to those orders before the brand lookup."""
+    pay = wanted(orders(spark, sf_dir)).select("o_orderkey", *cols)
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey").join(pay, "o_orderkey")
+    brands = table(spark, sf_dir, "part").withColumnRenamed("p_brand", "brand")
+    return attach(lines, brands, "l_partkey", "p_partkey", ["brand"], "inner").select("o_orderkey", *cols, "brand").distinct()
+
+
 def skill_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pay = wanted(orders(spark, sf_dir)).select("o_orderkey", "o_totalprice")
-    return pay.join(bridge(spark, sf_dir), "o_orderkey").groupBy("brand").agg(
+    return wanted_brands(spark, sf_dir, "o_totalprice").groupBy("brand").agg(
         F.count("*").alias("demand_count"), F.round(F.avg("o_totalprice"), 0).alias("avg_price")
     )
 
@@ -182,8 +189,8 @@ from mine a join mine b on a.o_orderkey = b.o_orderkey and a.brand < b.brand
 group by all having count(*) >= 5 order by pair_count desc, skill_a, skill_b limit 15""",
 )
 def q11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mine = bridge(spark, sf_dir).join(wanted(orders(spark, sf_dir)).select("o_orderkey"), "o_orderkey", "left_semi")
-    pairs = cooccurring_pairs(mine, "o_orderkey", "brand").where(F.col("pair_count") >= 5)
+    blocks = item_blocks(table(spark, sf_dir, "part"), "p_brand")
+    pairs = cooccurring_pairs(wanted_brands(spark, sf_dir), "o_orderkey", "brand", blocks).where(F.col("pair_count") >= 5)
     named = pairs.select(F.col("item_a").alias("skill_a"), F.col("item_b").alias("skill_b"), "pair_count")
     return top_k(named, 15, [F.col("pair_count").desc()], ["skill_a", "skill_b"])
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import recode, round_hour
@@ -153,8 +152,8 @@ def w12(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""with {DAILY}, t as (select *, row_number() over (partition by brand order by d) - 1 as i,
   case when count(*) over f = 31 then (sum(sales) over f - 0.5::double * (lag(sales, 15) over o + lead(sales, 15) over o)) / 30 end as trend from daily
   window f as (partition by brand order by d rows between 15 preceding and 15 following), o as (partition by brand order by d)),
-r as (select brand, i % 30 as p, avg(sales / trend) as raw from t group by 1, 2), c as (select brand, avg(raw) as c from r group by 1)
-select t.brand, d, round(trend, 4) as trend, round(raw / c, 4) as seasonal, round(sales / (trend * raw / c), 4) as resid from t join r on r.brand = t.brand and r.p = t.i % 30 join c on c.brand = t.brand""",
+r as (select brand, i % 30 as p, avg(sales / nullif(trend, 0)) as raw from t group by 1, 2), c as (select brand, avg(raw) as c from r group by 1)
+select t.brand, d, round(trend, 4) as trend, round(raw / c, 4) as seasonal, round(sales / nullif(trend * raw / c, 0), 4) as resid from t join r on r.brand = t.brand and r.p = t.i % 30 join c on c.brand = t.brand""",
 )
 def w12_mult(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = S.decompose(brand_days(spark, sf_dir), "brand", "d", "sales", 30, "multiplicative")

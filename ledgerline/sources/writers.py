@@ -39,12 +39,15 @@ def write_monthly(df: DataFrame, ts: str, path: str) -> None:
     spread.repartition("month", F.dayofmonth(ts)).write.partitionBy("month").parquet(path)
 
 
-def create_monthly_views(df: DataFrame, ts: str, prefix: str) -> list[str]:
-    """Twelve temporary views, one per month of the year."""
+def create_monthly_views(monthly: DataFrame, prefix: str) -> list[str]:
+    """Twelve temporary views over a ``write_monthly`` table, one per month of the year.
+
+    Each view filters the folder column, so it reads the folders of its month and nothing else.
+    """
     names = []
     for m in range(1, 13):
         name = f"{prefix}_{m:02d}"
-        df.where(F.month(ts) == m).createOrReplaceTempView(name)
+        monthly.where(F.col("month").endswith(f"-{m:02d}")).createOrReplaceTempView(name)
         names.append(name)
     return names
 

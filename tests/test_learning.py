@@ -57,6 +57,18 @@ def test_chi_square_and_t_by_hand(spark):
     assert np.isclose(t["t"], -2.0 / np.sqrt(2.5 * 2 / 3)) and t["dof"] == 4
 
 
+# Upper-tail points from printed tables.
+@pytest.mark.parametrize("x,dof,p", [(3.841, 1, 0.05), (5.991, 2, 0.05), (11.345, 3, 0.01), (18.307, 10, 0.05), (24.996, 15, 0.05)])
+def test_chi_square_tail(x, dof, p):
+    assert abs(E.chi_square_tail(x, dof) - p) < 2e-5
+
+
+@pytest.mark.parametrize("t,dof,p", [(12.706, 1, 0.05), (4.303, 2, 0.05), (3.182, 3, 0.05), (2.228, 10, 0.05), (2.750, 30, 0.01), (1.9600, 10**7, 0.05)])
+def test_student_tail(t, dof, p):
+    assert abs(E.student_tail(-t, dof) - p) < 2e-5
+    assert abs(E.student_tail(1.7, 5000) - E.student_tail(1.7, 5001)) < 1e-6
+
+
 def test_class_report_handles_a_class_never_called(spark):
     df = spark.createDataFrame([(0, 0), (0, 0), (1, 0), (2, 2)], "y int, p int")
     rows = {r["cls"]: r for r in E.class_report(df, "y", "p").collect()}
