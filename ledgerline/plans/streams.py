@@ -130,16 +130,19 @@ def st08(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "st09_stateful_lags",
-    """with c as (select date_trunc('hour', ts) as hr, event_type, count(*) as n from events group by all), r as (select event_type, min(hr) as lo, max(hr) as hi from c group by 1),
-g as (select event_type, unnest(generate_series(lo, hi, interval 1 hour)) as hr from r), d as (select g.hr, g.event_type, coalesce(n, 0)::bigint as n from g left join c using (hr, event_type))
+    """with c as (select date_trunc('hour', ts) as hr, event_type, count(*) as n from events group by all), r as (select event_type, min(hr) as lo from c group by 1),
+g as (select event_type, unnest(generate_series(lo, (select max(hr) - interval 3 hour from c), interval 1 hour)) as hr from r), d as (select g.hr, g.event_type, coalesce(n, 0)::bigint as n from g left join c using (hr, event_type))
 select hr, event_type, n, lag(n, 1) over w::double as lag_1, lag(n, 2) over w::double as lag_2, lag(n, 24) over w::double as lag_24 from d window w as (partition by event_type order by hr)""",
 )
 def st09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly counts arrive file by file; only one row per (hour, type) reaches the keyed state."""
+    """Hourly counts arrive as files; only one row per (hour, type) reaches the keyed state.
+
+    An hour is emitted once the watermark, two hours behind the newest one, has passed it.
+    """
     counts = events(spark, sf_dir).groupBy(F.date_trunc("hour", "ts").alias("hr"), "event_type").agg(F.count("*").alias("n"))
     path = J.land(counts, "hr")
     with J.rocks_state(spark):
-        out = J.drain(J.hour_lags(J.read_stream(spark, path, counts.schema), "event_type", [1, 2, 24]))
+        out = J.drain(J.hour_lags(J.read_stream(spark, path, counts.schema), "event_type", [1, 2, 24], "2 hours"))
     return J.local_time(out, "hr")
 
 

@@ -97,30 +97,53 @@ def dedupe(df: DataFrame, ts: str, keys: Sequence[str], delay: str) -> DataFrame
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+HOUR = pd.Timedelta(hours=1)
+EPOCH = pd.Timestamp("1970-01-01")
+
+
 class HourLags(StatefulProcessor):
-    """Lags of an hourly count per key; hours without a row count 0. State: the last 24 counts and their hour."""
+    """Lags of an hourly count per key; hours without a row count 0.
+
+    Counts wait in state until the watermark has passed their hour, so files may arrive in any order
+    within the delay. A timer then emits every settled hour, silent ones included. State per key: the
+    next hour to emit, the last counts, and the waiting ones.
+    """
 
     def __init__(self, key: str, lags: Sequence[int]):
         self.key, self.lags = key, tuple(lags)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "hr timestamp, past array<long>")
+        self.handle = handle
+        self.state = handle.getValueState("series", "next long, past array<long>, hours array<long>, counts array<long>")
+
+    def _load(self) -> tuple[int | None, list[int], dict[int, int]]:
+        if not self.state.exists():
+            return None, [], {}
+        nxt, past, hours, counts = self.state.get()
+        return nxt, list(past), dict(zip(hours, counts))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = self.seen.get() if self.seen.exists() else None
-        last, past = (pd.Timestamp(state[0]), list(state[1])) if state else (None, [])
-        # One key's rows of one batch: at most one per hour of the arrived stretch.
-        arrived = pd.concat(list(rows)).sort_values("hr")
-        counts = dict(zip(pd.to_datetime(arrived["hr"]), arrived["n"]))
-        hour = pd.Timedelta(hours=1)
-        now, end, out = (last + hour if last is not None else min(counts)), max(counts), []
-        while now <= end:
-            n = int(counts.get(now, 0))
-            out.append((now, key[0], n, *[float(past[-k]) if len(past) >= k else None for k in self.lags]))
+        nxt, past, waiting = self._load()
+        for pdf in rows:
+            hours = (pd.to_datetime(pdf["hr"]) - EPOCH) // HOUR
+            for h, n in zip(hours, pdf["n"]):
+                waiting[int(h)] = waiting.get(int(h), 0) + int(n)
+        # Nothing has been emitted yet for a new key, so an earlier hour may still become its first.
+        first = min(waiting) if nxt is None or not past else nxt
+        self.state.update((first, past, list(waiting), list(waiting.values())))
+        self.handle.registerTimer(first * 3_600_000)
+        yield pd.DataFrame(columns=["hr", self.key, "n", *[f"lag_{k}" for k in self.lags]])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        nxt, past, waiting = self._load()
+        settled, out = timerValues.getCurrentWatermarkInMs(), []
+        while nxt * 3_600_000 < settled:
+            n = waiting.pop(nxt, 0)
+            out.append((EPOCH + nxt * HOUR, key[0], n, *[float(past[-k]) if len(past) >= k else None for k in self.lags]))
             past = (past + [n])[-max(self.lags) :]
-            now += hour
-        if out:
-            self.seen.update((end.to_pydatetime(), past))
+            nxt += 1
+        self.state.update((nxt, past, list(waiting), list(waiting.values())))
+        self.handle.registerTimer(nxt * 3_600_000)
         yield pd.DataFrame(out, columns=["hr", self.key, "n", *[f"lag_{k}" for k in self.lags]])
 
     def close(self) -> None:
@@ -141,9 +164,11 @@ def rocks_state(spark: SparkSession):
             spark.conf.set(PROVIDER, before)
 
 
-def hour_lags(counts: DataFrame, key: str, lags: Sequence[int]) -> DataFrame:
+def hour_lags(counts: DataFrame, key: str, lags: Sequence[int], delay: str) -> DataFrame:
     schema = f"hr timestamp, {key} string, n long, " + ", ".join(f"lag_{k} double" for k in lags)
-    return counts.groupBy(key).transformWithStateInPandas(HourLags(key, lags), outputStructType=schema, outputMode="Append", timeMode="None")
+    return counts.withWatermark("hr", delay).groupBy(key).transformWithStateInPandas(
+        HourLags(key, lags), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+    )
 
 
 def match_actuals(predictions: DataFrame, actuals: DataFrame, key: str, delay: str) -> DataFrame:
