@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import normalize_text, sentences, tokenize
+from ledgerline.tables import place
 
 
 def term_counts(tokens: DataFrame) -> DataFrame:
@@ -73,13 +74,16 @@ def top_words_by_class(tokens: DataFrame, label: str, k: int) -> DataFrame:
 
 
 def scored_sentences(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, sent, sentence, score): mean frequency in the document of the sentence's words."""
+    """(key, sent, score): mean frequency in the document of the sentence's words; 0 without words.
+
+    ``df`` is spread by ``key`` and every step below groups inside it, so nothing is exchanged again.
+    """
     parts = df.select(key, F.posexplode(sentences(F.col(text))).alias("sent", "sentence"))
-    words = parts.select(key, "sent", F.explode(tokenize(normalize_text(F.col("sentence")))).alias("token"))
-    per = words.groupBy(key, "sent", "token").agg(F.count("*").alias("c"))
-    tf = per.groupBy(key, "token").agg(F.sum("c").alias("tf"))
-    score = per.join(tf, [key, "token"]).groupBy(key, "sent").agg((F.sum(F.col("c") * F.col("tf")) / F.sum("c")).alias("score"))
-    return parts.join(score, [key, "sent"], "left").fillna({"score": 0.0})
+    words = parts.select(key, "sent", F.explode_outer(tokenize(normalize_text(F.col("sentence")))).alias("token"))
+    per = words.groupBy(key, "sent", "token").agg(F.count("token").alias("c"))
+    tf = F.sum("c").over(W.partitionBy(key, "token"))
+    total = F.sum(F.col("c") * F.col("tf"))
+    return per.withColumn("tf", tf).groupBy(key, "sent").agg(F.coalesce(F.try_divide(total, F.sum("c")), F.lit(0.0)).alias("score"))
 
 
 def _best(df: DataFrame, by: Sequence[str], n: int) -> DataFrame:
@@ -87,36 +91,34 @@ def _best(df: DataFrame, by: Sequence[str], n: int) -> DataFrame:
     return df.withColumn("_r", rank).where(F.col("_r") <= n).drop("_r")
 
 
-def _in_order(df: DataFrame, key: str) -> DataFrame:
-    rows = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("sent", "sentence"))).alias("s"))
-    return rows.select(key, F.concat_ws(" ", F.transform("s", lambda x: x["sentence"])).alias("summary"))
-
-
 def summarise(df: DataFrame, key: str, text: str, how: str, chunk: int = 20, per_chunk: int = 2, n: int = 3) -> DataFrame:
-    """Extractive summary per document.
+    """Extractive summary per document: (key, summary), the chosen sentences in text order.
 
     ``map_reduce``: best sentences of each run of ``chunk`` sentences, then the best of those.
-    ``refine``: the chunk summaries are merged one after the other into a running best list.
+    ``refine``: the chunk winners are merged one chunk after the other into a running best list.
     ``stuff``: the best of the whole document at once.
+    The texts move once, by key; scores, ranks and the final pick-up of sentences stay in place.
     """
-    s = scored_sentences(df, key, text)
+    placed = place(df.select(key, text), key)
+    s = scored_sentences(placed, key, text)
     if how == "stuff":
-        return _in_order(_best(s, [key], n), key)
-    parts = _best(s.withColumn("chunk", F.floor(F.col("sent") / chunk)), [key, "chunk"], per_chunk)
-    if how == "map_reduce":
-        return _in_order(_best(parts, [key], n), key)
-    if how != "refine":
-        raise ValueError(f"unknown way to summarise: {how}")
-    item = F.struct((-F.col("score")).alias("rank"), "sent", "sentence")
-    lists = parts.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"))  # per_chunk items each
-    ordered = lists.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("chunk", "items"))).alias("l"))
-    kept = F.aggregate(
-        F.transform("l", lambda c: c["items"]),
-        F.slice(F.col("l")[0]["items"], 1, n),
-        lambda best, new: F.slice(F.array_sort(F.array_union(best, new)), 1, n),
-    )
-    back = F.array_sort(F.transform(kept, lambda x: F.struct(x["sent"].alias("sent"), x["sentence"].alias("sentence"))))
-    return ordered.select(key, F.concat_ws(" ", F.transform(back, lambda x: x["sentence"])).alias("summary"))
+        chosen = _best(s, [key], n).groupBy(key).agg(F.array_sort(F.collect_list("sent")).alias("pick"))
+    else:
+        winners = _best(s.withColumn("chunk", F.floor(F.col("sent") / chunk)), [key, "chunk"], per_chunk)
+        if how == "map_reduce":
+            chosen = _best(winners, [key], n).groupBy(key).agg(F.array_sort(F.collect_list("sent")).alias("pick"))
+        elif how == "refine":
+            item = F.struct("chunk", (-F.col("score")).alias("rank"), "sent")
+            ordered = winners.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("l"))  # per_chunk items per chunk
+            slim = F.transform("l", lambda x: F.struct(x["rank"].alias("rank"), x["sent"].alias("sent")))
+            kept = F.aggregate(
+                slim, F.slice(slim, 1, 0), lambda best, new: F.slice(F.array_sort(F.array_append(best, new)), 1, n)
+            )
+            chosen = ordered.select(key, F.array_sort(F.transform(kept, lambda x: x["sent"])).alias("pick"))
+        else:
+            raise ValueError(f"unknown way to summarise: {how}")
+    cut = F.concat_ws(" ", F.transform("pick", lambda i: F.get(F.col("_s"), i)))
+    return placed.withColumn("_s", sentences(F.col(text))).join(chosen, key).select(key, cut.alias("summary"))
 
 
 def vector_coverage(vocab: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -103,7 +103,7 @@ def io07(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("io08_write_json", f"with {SENT}, whole as (select * from ranked qualify row_number() over (partition by doc_id order by score desc, sent) <= 3) " + SUMMARY.format(t="whole"))
 def io08(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "summaries-json")
-    Wr.write_json(summarise(docs(spark, sf_dir), "doc_id", "text", "stuff"), path)
+    Wr.write_json(summarise(table(spark, sf_dir, "documents"), "doc_id", "text", "stuff"), path)
     return spark.read.schema("doc_id bigint, summary string").json(path)
 
 

@@ -15,7 +15,7 @@ from ledgerline.plans.aggregates import RFM_SQL, a28
 from ledgerline.plans.common import GRID, events_grid
 from ledgerline.plans.text import DOC_TOKENS, VOCAB, docs
 from ledgerline.registry import query
-from ledgerline.tables import spread, table
+from ledgerline.tables import place, spread, table
 
 RFM_COLS = ("recency", "frequency", "monetary")
 
@@ -151,8 +151,8 @@ def p11(spark: SparkSession, sf_dir: str) -> DataFrame:
     nxt = vocab.select((F.col("rank") - 1).alias("rank"), F.col("token").alias("other"))
     synonyms = vocab.where("rank <= 300 and rank % 2 = 1").join(nxt, "rank").select("token", "other")
     marks = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    labelled = docs(spark, sf_dir).join(marks, "doc_id")
-    return P.oversample_augmented(labelled, "doc_id", "text", F.col("quality") == 0, synonyms)
+    labelled = place(table(spark, sf_dir, "documents").select("doc_id", "text").join(marks, "doc_id"), "doc_id")
+    return P.oversample_augmented(labelled, "doc_id", "text", F.col("quality") == 0, F.broadcast(synonyms))  # 150 pairs
 
 
 @query(

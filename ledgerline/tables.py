@@ -20,6 +20,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def place(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows placed by key in a stated number of pieces.
+
+    The number is stated because work on texts is heavy per byte: left alone, adaptive execution would
+    merge the pieces by their size and idle most cores.
+    """
+    spark = df.sparkSession
+    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(pieces, *keys)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach.
 
