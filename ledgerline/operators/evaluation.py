@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.calendar import is_holiday
 from ledgerline.functions.scalars import flag
 from ledgerline.operators.ordered import running_totals
+from ledgerline.tables import materialise
 
 
 # Hours counted as rush hours on working days.
@@ -177,7 +178,8 @@ def best_threshold(sweep: DataFrame, floor: float, default: float = 0.5) -> Data
 
 def chi_square(df: DataFrame, a: str, b: str, yates: bool = True) -> DataFrame:
     """Independence of two categories from their contingency counts; Yates correction on 2 x 2 tables."""
-    cells = df.groupBy(a, b).agg(F.count("*").alias("n"))
+    # The facts are read once; everything after works on the written contingency counts.
+    cells = materialise(df.groupBy(a, b).agg(F.count("*").alias("n")), "cells")
     rows = cells.groupBy(a).agg(F.sum("n").alias("rn"))
     cols = cells.groupBy(b).agg(F.sum("n").alias("cn"))
     total = cells.agg(F.sum("n").alias("t")).scalar()

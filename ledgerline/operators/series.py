@@ -133,10 +133,10 @@ def decompose(df: DataFrame, key: str, ts: str, col: str, period: int, model: st
     )
     # The index is read off the same partitioning, so it costs no further exchange by key.
     raw = F.avg("_detrended").over(W.partitionBy(key, "_pos"))
-    out = parts.withColumn("_raw", raw)
-    first_cycle = F.when(F.row_number().over(w) <= period, F.col("_raw"))
-    centre = F.avg(first_cycle_col := "_first").over(W.partitionBy(key))
-    out = out.withColumn(first_cycle_col, first_cycle).withColumn("seasonal", spread(F.col("_raw"), centre))
+    # One value per position: those of the first cycle stand for all.
+    cycle = F.when(F.row_number().over(w) <= period, F.col("_raw"))
+    centre = F.avg("_first").over(W.partitionBy(key))
+    out = parts.withColumn("_raw", raw).withColumn("_first", cycle).withColumn("seasonal", spread(F.col("_raw"), centre))
     rest = (
         F.col(col) - F.col("trend") - F.col("seasonal")
         if additive

@@ -234,8 +234,9 @@ select t as hr, event_type, coalesce(max(n) filter (hr = t - interval 1 hour), 0
   (select avg(temperature) from wx where hr = (select max(hr) from wx)) as temperature from st, t group by t, event_type""",
 )
 def p13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = store_features(events_grid(spark, sf_dir), "event_type", "hr", "n")
-    row = next_hour_row(store, numeric_weather(spark, sf_dir), "event_type", "hr", "n")
+    # The feature store is a written table; so is the weather it is read with.
+    store = materialise(store_features(events_grid(spark, sf_dir), "event_type", "hr", "n"), "store")
+    row = next_hour_row(store, materialise(numeric_weather(spark, sf_dir), "weather"), "event_type", "hr", "n")
     return row.select(
         "hr", "event_type", "lag_1", "lag_2", "lag_24", "lag_168", F.round("rolling_mean_3h", 6).alias("rolling_mean_3h"), F.round("rolling_mean_24h", 6).alias("rolling_mean_24h"),
         "hour_of_day", "day_of_week", "is_weekend", "is_holiday", "temperature",
