@@ -386,3 +386,16 @@ def ud07(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return docs.lateralJoin(Pieces(F.col("source").outer())).select("doc_id", "piece", "body")
+
+
+@query("ud05_per_series_model")
+def ud05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model function per series through ``applyInPandas``; the group is a day per row."""
+    return FC.forecast(brand_days(spark, sf_dir), "brand", "d", "sales", 7, level=0.9)
+
+
+@query("ud06_custom_transformer", f"with {GRID} select hr, event_type, n, lag(n, 24) {GW}::double as prediction from grid")
+def ud06(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The persistable transformer as a seasonal baseline: the value a day ago."""
+    known = lags(events_grid(spark, sf_dir), "event_type", "hr", "n", [24])
+    return M.PreviousStep(inputCol="lag_24").transform(known).drop("lag_24")
