@@ -10,7 +10,7 @@ import numpy as np
 #: A space between two characters that no tokenizer rule takes for white space: a word boundary of every rule here.
 CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 #: Stretches that may be encoded side by side in one string.
-PLAIN = re.compile(r" ?[!-}\w]+")
+PLAIN = re.compile(r"[!-}\w]+")
 #: What parts stretches in such a string: each is one id that no plain stretch can yield, whether white space counts or not.
 PARTERS = ("\n", " ~ ")
 TOGETHER = 400
@@ -20,8 +20,9 @@ class Encoder:
     """ids of whole texts by a ``tokenizers`` file, as unsigned integers of ``dtype``.
 
     Both files used here part words before a lone space (one keeps it on the next word, one drops it), so a text's ids
-    are those of its stretches in a row. Stretches repeat, so each is encoded once while it is remembered; at most
-    ``most`` characters are remembered at a time. Texts are encoded whole, never cut short.
+    are those of its stretches in a row: the first as it is, the others with a space before them. Stretches repeat, so
+    each is encoded once while it is remembered. Memory holds two generations of at most ``most`` characters; what is
+    used again moves to the newer one. Texts are encoded whole, never cut short.
     """
 
     def __init__(self, path: str, dtype: str = "<u4", most: int = 8_000_000) -> None:
@@ -30,18 +31,23 @@ class Encoder:
 
         self.tokenizer, self.dtype, self.most = Tokenizer.from_file(path), dtype, most
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
         self.parter, self.part_id = next((p, ids[0]) for p in PARTERS if len(ids := self.ids([p])[0]) == 1)
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def data(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, self.dtype).tobytes() for ids in self.ids(texts)]
+
     def learn(self, new: list[str]) -> None:
         plain, other = [], []
         for p in new:
             (plain if PLAIN.fullmatch(p) else other).append(p)
         groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        for group, ids in zip(groups, self.ids([self.parter.join(g) for g in groups]), strict=True):
+        between = self.parter + " "
+        for group, ids in zip(groups, self.ids([" " + between.join(g) for g in groups]), strict=True):
             array = np.array(ids, self.dtype)
             ends = np.flatnonzero(array == self.part_id)
             if len(ends) != len(group) - 1:
@@ -51,24 +57,24 @@ class Encoder:
             self.known.update(zip(group, (data[a:b] for a, b in zip(starts, stops, strict=True)), strict=True))
         for i in range(0, len(other), 10_000):
             part = other[i : i + 10_000]
-            self.known.update((p, np.array(ids, self.dtype).tobytes()) for p, ids in zip(part, self.ids(part), strict=True))
+            self.known.update(zip(part, self.data([" " + p for p in part]), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian bytes; null counts as empty."""
-        cut = []
-        for text in texts:
-            parts = CUT.split(text) if text else []
-            parts[1:] = [" " + p for p in parts[1:]]
-            cut.append(parts)
+        cut = [CUT.split(text) if text else [""] for text in texts]
+        heads = self.data([parts.pop(0) for parts in cut])
         words = set().union(*cut)
-        new = words.difference(self.known)
-        size = sum(map(len, new))
+        missing = words.difference(self.known)
+        size = sum(map(len, missing))
         if self.held + size > self.most:
-            self.known, self.held = {}, 0
-            new, size = words, sum(map(len, words))
+            self.known, self.older, self.held = {}, self.known, 0
+            missing, size = words, sum(map(len, words))
         self.held += size
-        self.learn(list(new))
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+        again = missing.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in again)
+        self.learn(list(missing.difference(again)))
+        get = self.known.__getitem__
+        return [head + b"".join(map(get, parts)) for head, parts in zip(heads, cut, strict=True)]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
