@@ -17,14 +17,18 @@ TOGETHER = 400
 
 
 def stretches(text: str) -> list[str]:
-    """The text cut at lone spaces.
+    """The text cut at lone spaces, which are left out, and before lone line ends, which stay.
 
-    Where all white space is single spaces and line ends between words, each space is one; else only those between
+    Where all white space is single spaces and line ends between words, each is one; else only spaces between
     characters that are surely no white space.
     """
-    if len(text.split()) == text.count(" ") + text.count("\n") + 1:
-        return text.split(" ")
-    return CUT.split(text)
+    if len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        return CUT.split(text)
+    first, *lines = text.split("\n")
+    out = first.split(" ")
+    for line in lines:
+        out += ("\n" + line).split(" ")
+    return out
 
 
 class Encoder:
@@ -68,7 +72,7 @@ class Encoder:
             self.known.update(zip(group, (data[a:b] for a, b in zip(starts, stops, strict=True)), strict=True))
         for i in range(0, len(other), 10_000):
             part = other[i : i + 10_000]
-            self.known.update(zip(part, self.data([" " + p for p in part]), strict=True))
+            self.known.update(zip(part, self.data([p if p[0] == "\n" else " " + p for p in part]), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian bytes; null counts as empty."""
