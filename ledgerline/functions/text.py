@@ -115,29 +115,20 @@ def chunks(df: DataFrame, keys: Sequence[str], text: str, size: int, overlap: in
 
 
 def parse_summary(text: Column) -> Column:
-    """Struct (main_idea, key_points, conclusion) from a structured summary; later lines continue a section."""
-    lines = F.transform(F.split(F.trim(text), "\n"), lambda s: F.trim(s))
-    start = F.struct(
-        F.lit("").alias("main_idea"),
-        F.array().cast("array<string>").alias("key_points"),
-        F.lit("").alias("conclusion"),
-        F.lit("").alias("section"),
-    )
-
-    def state(old: Column, **new: Column) -> Column:
-        return F.struct(*[new.get(n, old[n]).alias(n) for n in ("main_idea", "key_points", "conclusion", "section")])
+    """Struct (main_idea, key_points, conclusion): the text is cut at its headings, each part read by itself.
 
-    def after(line: Column, head: str) -> Column:
-        return F.trim(F.replace(line, F.lit(head), F.lit("")))
+    The main idea is the rest of its heading's line. Key points are the lines from the first dash up to the conclusion,
+    one point a line, dashes taken off. The conclusion is all lines after its heading as one line. Blank lines do not
+    count; a missing part is empty.
+    """
+    parts = F.split(text, r"(?m)^[ \t]*Conclusion:", 2)
+    listed = F.regexp_extract(parts[0], r"(?ms)^[ \t]*(- .*)", 1)
 
-    def step(s: Column, line: Column) -> Column:
-        return (
-            F.when(line.startswith("Main Idea:"), state(s, main_idea=after(line, "Main Idea:"), section=F.lit("")))
-            .when(line.startswith("- "), state(s, key_points=F.array_append(s["key_points"], F.trim(F.substr(line, F.lit(3)))), section=F.lit("points")))
-            .when(line.startswith("Conclusion:"), state(s, conclusion=after(line, "Conclusion:"), section=F.lit("end")))
-            .when((s["section"] == "points") & (line != ""), state(s, key_points=F.array_append(s["key_points"], line)))
-            .when((s["section"] == "end") & (line != ""), state(s, conclusion=F.concat_ws(" ", s["conclusion"], line)))
-            .otherwise(s)
-        )
+    def lines(part: Column) -> Column:
+        return F.filter(F.transform(F.split(part, "\n"), lambda s: F.trim(F.regexp_replace(F.trim(s), "^- ", ""))), lambda s: s != "")
 
-    return F.aggregate(lines, start, step, lambda s: F.struct(s["main_idea"], s["key_points"], F.trim(s["conclusion"]).alias("conclusion")))
+    return F.struct(
+        F.trim(F.regexp_extract(parts[0], r"(?m)^[ \t]*Main Idea:([^\n]*)", 1)).alias("main_idea"),
+        lines(listed).alias("key_points"),
+        F.array_join(lines(F.coalesce(F.get(parts, F.lit(1)), F.lit(""))), " ").alias("conclusion"),
+    )

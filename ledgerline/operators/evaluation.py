@@ -250,34 +250,56 @@ def rolling_origin(df: DataFrame, ts: str, initial: int, period: int, horizon: i
 
 
 def chi_square_tail(x: float, dof: int) -> float:
-    """P(X >= x) of a chi-square variable, as the finite sum for whole degrees of freedom."""
-    half = x / 2
-    if dof % 2:
-        total, term, k = math.erfc(math.sqrt(half)), math.exp(-half) * math.sqrt(half) / math.gamma(1.5), 1.5
-    else:
-        total, term, k = 0.0, math.exp(-half), 1.0
-    for _ in range(dof // 2):
-        total += term
-        term *= half / k
-        k += 1
-    return min(total, 1.0)
+    """P(X >= x) of a chi-square variable: the regularised incomplete gamma function, scaled in logarithms."""
+    a, half = dof / 2, x / 2
+    if half <= 0:
+        return 1.0
+    scale = math.exp(a * math.log(half) - half - math.lgamma(a))
+    if half < a + 1:  # the series of the lower part converges fast here
+        term = total = 1 / a
+        k = a
+        while abs(term) > 1e-17 * total:
+            k += 1
+            term *= half / k
+            total += term
+        return max(0.0, 1 - scale * total)
+    return scale * continued_fraction(lambda i: (1.0, half + 1 - a) if i == 0 else (-i * (i - a), half + 2 * i + 1 - a))
 
 
 def student_tail(t: float, dof: int) -> float:
-    """Two-sided P(|T| >= |t|): the finite sum in the angle; the normal tail, corrected, for many degrees."""
-    t = abs(t)
-    if dof > 5000:
-        return math.erfc(t * (1 - 1 / (4 * dof)) / math.sqrt(1 + t * t / (2 * dof)) / math.sqrt(2))
-    angle = math.atan2(t, math.sqrt(dof))
-    c2, odd = math.cos(angle) ** 2, dof % 2
-    term, total = (math.cos(angle), 0.0) if odd else (1.0, 0.0)
-    k = 2 if odd else 1
-    for _ in range((dof - 1) // 2 if odd else dof // 2):
-        total += term
-        term *= c2 * k / (k + 1)
-        k += 2
-    inside = 2 / math.pi * (angle + math.sin(angle) * total) if odd else math.sin(angle) * total
-    return max(1 - inside, 0.0)
+    """Two-sided P(|T| >= |t|): the regularised incomplete beta function at dof / (dof + t^2)."""
+    a, b, x = dof / 2, 0.5, dof / (dof + t * t)
+    if t == 0:
+        return 1.0
+    scale = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+
+    def fraction(a: float, b: float, x: float) -> float:
+        def term(i: int) -> tuple[float, float]:
+            m = i // 2
+            if i == 0:
+                return 1.0, 1.0
+            if i % 2 == 0:
+                return m * (b - m) * x / ((a + i - 1) * (a + i)), 1.0
+            return -(a + m) * (a + b + m) * x / ((a + i - 1) * (a + i)), 1.0
+
+        return continued_fraction(term) / a
+
+    # The fraction converges fast below the mean; above it the other tail is taken.
+    return scale * fraction(a, b, x) if x < (a + 1) / (a + b + 2) else 1 - scale * fraction(b, a, 1 - x)
+
+
+def continued_fraction(term: Callable[[int], tuple[float, float]]) -> float:
+    """a0 / (b0 + a1 / (b1 + ...)) for (a, b) = term(i), evaluated front to back until it settles."""
+    tiny = 1e-300
+    value, top, bottom = tiny, tiny, 0.0
+    for i in range(100_000):
+        a, b = term(i)
+        bottom = 1 / ((b + a * bottom) or tiny)
+        top = (b + a / top) or tiny
+        value *= top * bottom
+        if abs(top * bottom - 1) < 1e-16:
+            break
+    return value
 
 
 def with_p_value(test: DataFrame, statistic: str, tail: Callable[[float, int], float]) -> DataFrame:

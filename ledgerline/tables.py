@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,11 +35,14 @@ def place(df: DataFrame, *keys: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. A machine-local folder is used only where that
-    setting is missing, which is the case in a local test session.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is missing, a session on this machine alone uses a
+    local folder; on a cluster that is an error, since executors could not see it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         folder = os.path.join(tempfile.gettempdir(), "ledgerline-local")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
