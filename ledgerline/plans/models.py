@@ -5,9 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,10 +187,11 @@ def m10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m11_feed_forward")
 def m11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled_frame(spark, sf_dir)
+    rows = labelled_frame(spark, sf_dir, 5000)
     width = rows.select("features").first()["features"].size
-    net = MultilayerPerceptronClassifier(labelCol="label", layers=[width, 20, 10, 2], maxIter=30, seed=42)
-    return class_row(net.fit(rows.where(~F.col("holdout"))), rows.where("holdout"), "network")
+    scale = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)  # fitted on the training rows only
+    net = MultilayerPerceptronClassifier(featuresCol="scaled", labelCol="label", layers=[width, 20, 10, 2], maxIter=30, seed=42)
+    return class_row(Pipeline(stages=[scale, net]).fit(rows.where(~F.col("holdout"))), rows.where("holdout"), "network")
 
 
 @query("m12_per_source_classifier")
