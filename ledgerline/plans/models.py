@@ -135,7 +135,7 @@ def m07(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.unionByName(final.select("stage", "stepSize", "maxDepth", F.col("mae").alias("cv_mae")))
 
 
-def labelled_frame(spark: SparkSession, sf_dir: str, size: int = 100) -> DataFrame:
+def labelled_frame(spark: SparkSession, sf_dir: str, size: int = 5000) -> DataFrame:
     """doc_id, vector, both labels and a balancing weight, written once."""
     marks = table(spark, sf_dir, "labels")
     share = marks.agg((F.count_if(F.col("toxic") == 0) / F.count_if(F.col("toxic") == 1)).alias("w")).scalar()
@@ -187,7 +187,7 @@ def m10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m11_feed_forward")
 def m11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled_frame(spark, sf_dir, 5000)
+    rows = labelled_frame(spark, sf_dir)
     width = rows.select("features").first()["features"].size
     scale = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)  # fitted on the training rows only
     net = MultilayerPerceptronClassifier(featuresCol="scaled", labelCol="label", layers=[width, 20, 10, 2], maxIter=30, seed=42)
@@ -198,7 +198,7 @@ def m11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model per source, each fitted by the whole cluster; a source's size does not matter."""
     sources = table(spark, sf_dir, "documents").select("doc_id", "source")
-    rows = materialise(labelled_frame(spark, sf_dir, 50).join(sources, "doc_id"), "by-source")
+    rows = materialise(labelled_frame(spark, sf_dir).join(sources, "doc_id"), "by-source")
     parts = []
     for name in P.levels(rows, "source"):
         mine = rows.where(F.col("source") == name)
@@ -228,7 +228,7 @@ def m15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A seeded draw of grid points, scored by AUC over three folds."""
     import random
 
-    rows = labelled_frame(spark, sf_dir, 50)
+    rows = labelled_frame(spark, sf_dir)
     lr = M.logistic("label", "weight", maxIter=10)
     every = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1, 1.0]).addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).build()
     drawn = random.Random(42).sample(every, 5)
@@ -312,9 +312,9 @@ def m35(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("t18_scored_text")
 def t18(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled_frame(spark, sf_dir, 200)
+    rows = labelled_frame(spark, sf_dir)
     model = M.logistic("label", "weight", maxIter=20, regParam=0.05).fit(rows)
-    every = M.probability(model.transform(combined_frame(spark, sf_dir, 200)))
+    every = M.probability(model.transform(combined_frame(spark, sf_dir, 5000)))
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     threshold = 0.6
     return every.join(texts, "doc_id").select(
@@ -326,7 +326,7 @@ def t18(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q17_training_report")
 def q17(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three classifiers on the same split, with recall, precision and AUC of each."""
-    rows = labelled_frame(spark, sf_dir, 50)
+    rows = labelled_frame(spark, sf_dir)
     train, test = rows.where(~F.col("holdout")), rows.where("holdout")
     makers = {
         "logistic": M.logistic("label", "weight", maxIter=20, regParam=0.01),
