@@ -380,7 +380,7 @@ def ud07(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's own row-to-rows function through a lateral join."""
     from pyspark.sql.functions import udtf
 
-    @udtf(returnType="piece int, body string")
+    @udtf(returnType="piece int, body string", useArrow=True)
     class Pieces:
         def eval(self, text: str):
             for i in range(0, len(text), 2):
