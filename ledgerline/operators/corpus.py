@@ -28,14 +28,18 @@ def bag_of_words(tokens: DataFrame, vocab: DataFrame, keys: Sequence[str]) -> Da
     return counts.join(F.broadcast(vocab.select("token", "rank")), "token").select(*keys, "rank", "count")
 
 
-def encode(tokens: DataFrame, vocab: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+def encode(tokens: DataFrame, vocab: DataFrame, keys: Sequence[str], width: int, every: DataFrame | None = None) -> DataFrame:
     """Word ranks in text order, zero-padded at the end to ``width``; longer rows keep their last ``width``.
 
-    Only words inside the vocabulary are kept. ``n_known`` tells how many there were.
+    Only words inside the vocabulary are kept. ``n_known`` tells how many there were. ``every`` has the keys of all
+    texts: those without a known word, or without words, are all padding. Without it the texts with words are given.
     """
-    known = tokens.join(F.broadcast(vocab.select("token", "rank")), "token")
-    rows = known.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "rank"))).alias("s"))
-    ids = F.transform("s", lambda x: x["rank"])
+    known = tokens.join(F.broadcast(vocab.select("token", "rank")), "token", "left")
+    word = F.when(F.col("rank").isNotNull(), F.struct("pos", "rank"))  # a list takes no nulls
+    rows = known.groupBy(*keys).agg(F.array_sort(F.collect_list(word)).alias("s"))
+    if every is not None:
+        rows = every.join(rows, list(keys), "left")
+    ids = F.coalesce(F.transform("s", lambda x: x["rank"]), F.array().cast("array<int>"))
     tail = F.slice(ids, F.greatest(F.size(ids) - width + 1, F.lit(1)), width)
     padded = F.concat(tail, F.array_repeat(F.lit(0), F.greatest(F.lit(width) - F.size(ids), F.lit(0))))
     return rows.select(*keys, padded.alias("ids"), F.size(ids).alias("n_known"))

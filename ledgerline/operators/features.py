@@ -14,7 +14,7 @@ from ledgerline.functions.calendar import is_holiday
 from ledgerline.functions.scalars import flag
 from ledgerline.functions.text import normalize_text, token_table, tokenize
 from ledgerline.operators.evaluation import RUSH_HOURS
-from ledgerline.operators.ordered import hashed_position
+from ledgerline.operators.ordered import global_position, hashed_position
 from ledgerline.operators.series import lags, lead_target, rolling_mean_before, rolling_mean_with
 from ledgerline.tables import materialise
 
@@ -178,9 +178,12 @@ def min_max_inverse(df: DataFrame, cols: Sequence[str], stats: Column) -> DataFr
     )
 
 
-def levels(df: DataFrame, col: str) -> list:
-    """The sorted levels of a category. The list becomes columns, so it has to be short anyway."""
-    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+def levels(df: DataFrame, col: str, most: int = 1000) -> list:
+    """The sorted levels of a category. The list becomes columns; more than ``most`` levels are an error."""
+    found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{col} has more than {most} levels")
+    return sorted(found)
 
 
 def one_hot(df: DataFrame, col: str, known: Sequence, drop_first: bool = False) -> DataFrame:
@@ -222,51 +225,75 @@ def stratified_split(df: DataFrame, key: str, by: Sequence[str], shares: Mapping
     return ranked.withColumn("part", part.otherwise(names[-1])).drop("pos", "size")
 
 
+def near_neighbours(points: DataFrame, key: str, k: int, cell_rows: int, projections: int, seed: int) -> DataFrame:
+    """(key, near): the k nearest other points of each, as structs (dist, near, nv) in order; ``points`` has (key, v).
+
+    Points are ranked along each of several random projections and cut into cells of ``cell_rows`` by rank, so a
+    cell's size does not depend on how the vectors crowd. A cell also sees the quarter of a cell on either side, so
+    every point meets that many others at least. The best of all projections stay; up to one cell of points they are
+    the exact neighbours. Ties go to the smaller key.
+    """
+    edge = max(k, cell_rows // 4)
+    first = points.select(F.size("v").alias("w")).first()
+    directions = np.random.default_rng(seed).normal(size=(projections, first["w"] if first else 0))
+    rays = F.array(*[F.array(*map(F.lit, map(float, d))) for d in directions])
+    shown = points.select(key, "v", F.posexplode(rays).alias("ray", "d"))
+    ranked = shown.select(key, "v", "ray", F.aggregate(F.zip_with("v", "d", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x).alias("p"))
+    ranked = global_position(ranked, "ray", "p", key).drop("p")
+    starts = ranked.groupBy("ray").agg(F.min("pos").alias("start"), F.max("pos").alias("stop"))  # one row per projection
+    place = F.col("pos") - F.col("start")
+    cell, inside, last = F.floor(place / cell_rows), F.pmod(place, F.lit(cell_rows)), F.floor((F.col("stop") - F.col("start")) / cell_rows)
+    before = F.when((inside < edge) & (cell > 0), F.struct((cell - 1).alias("cell"), F.lit(False).alias("mine")))
+    after = F.when((inside >= cell_rows - edge) & (cell < last), F.struct((cell + 1).alias("cell"), F.lit(False).alias("mine")))
+    own = F.struct(cell.alias("cell"), F.lit(True).alias("mine"))
+    cells = ranked.join(F.broadcast(starts), "ray").select(key, "v", "ray", F.inline(F.array_compact(F.array(before, own, after))))
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, ids = np.stack(pdf["v"].to_numpy()).astype(float), pdf[key].to_numpy()
+        norms, out = (x * x).sum(1), []
+        own = np.flatnonzero(pdf["mine"].to_numpy())
+        for at in range(0, len(own) if len(x) > 1 else 0, 256):
+            rows = own[at : at + 256]
+            rough = norms[rows][:, None] + norms[None, :] - 2 * x[rows] @ x.T
+            rough[np.arange(len(rows)), rows] = np.inf
+            bound = np.partition(rough, min(k, len(x) - 1) - 1, axis=1)[:, min(k, len(x) - 1) - 1]
+            for i, r in enumerate(rows):
+                close = np.flatnonzero(rough[i] <= bound[i] + 1e-9 * (1 + norms[r] + norms.max()))
+                close = close[close != r]
+                dist = np.round(((x[close] - x[r]) ** 2).sum(1), 9)
+                order = np.lexsort((ids[close], dist))[:k]
+                out += [(ids[r], d, ids[j], x[j]) for d, j in zip(dist[order], close[order], strict=True)]
+        return pd.DataFrame(out, columns=[key, "dist", "near", "nv"])
+
+    found = cells.groupBy("ray", "cell").applyInPandas(search, f"{key} bigint, dist double, near bigint, nv array<double>")
+    return found.groupBy(key).agg(F.slice(F.array_sort(F.collect_set(F.struct("dist", "near", "nv"))), 1, k).alias("near"))
+
+
 def oversample_interpolated(
-    df: DataFrame, key: str, vector: str, label: str, minority, ratio: float, k: int = 5, cell_rows: int = 2000, seed: int = 42
+    df: DataFrame, key: str, vector: str, label: str, minority, ratio: float, k: int = 5, cell_rows: int = 2000, projections: int = 3, seed: int = 42
 ) -> DataFrame:
-    """Synthetic minority rows on the line between a row and one of its near neighbours.
+    """(origin, copy, near, v, label): synthetic minority rows between a row and one of its k near neighbours.
 
-    Enough rows are made to bring minority / majority to ``ratio``. Minority rows are ordered along a
-    random projection and cut into cells of about ``cell_rows`` by position, so that a cell's size does
-    not depend on how the vectors crowd; neighbours are searched inside a cell with one matrix product.
+    Enough rows are made to bring minority / majority to ``ratio``: the whole share for every minority row, the
+    remainder by hashed position. Neighbour and place on the line come from the hash of (origin, copy), so reruns give
+    the same rows. Equal vectors count as one point and are not each other's neighbours: no made row is a copy. Rows
+    without a vector take no part; with fewer than two different vectors nothing is made.
     """
-    counts = _row(df, F.count_if(F.col(label) == minority).alias("few"), F.count_if(F.col(label) != minority).alias("many"))
+    known = df.where(F.col(vector).isNotNull())
+    counts = _row(known, F.count_if(F.col(label) == minority).alias("few"), F.count_if(F.col(label) != minority).alias("many"))
     few, many = counts.getField("few"), counts.getField("many")
     wanted = F.greatest(F.ceil(many * F.lit(ratio)) - few, F.lit(0))
-    small = df.where(F.col(label) == minority).select(key, F.col(vector).cast("array<double>").alias("v"))
-    # A row's synthetic copies: the whole share for all, the remainder by hashed position.
-    ranked = hashed_position(small, key)
+    small = known.where(F.col(label) == minority).select(key, F.col(vector).cast("array<double>").alias("v"))
     copies = F.floor(wanted / few) + (F.col("pos") <= wanted % few).cast("long")
-    width = df.select(F.size(vector).alias("w")).first()["w"]
-    direction = np.random.default_rng(seed).normal(size=width)
-    weights = F.array(*[F.lit(float(x)) for x in direction])
-    projected = ranked.withColumn("copies", copies).withColumn(
-        "p", F.aggregate(F.zip_with("v", weights, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    )
-    projected = materialise(projected, "projected")  # read three times below
-    # Cells: quantile bounds of the projection, then equal-sized pieces of any crowded stretch by hash.
-    cuts = [i / 64 for i in range(1, 64)]
-    bounds = projected.agg(F.percentile_approx("p", cuts, 10_000).alias("b")).scalar()
-    stretch = projected.withColumn("_b", bounds).withColumn("stretch", F.expr("size(filter(_b, x -> x < p))")).drop("_b")
-    sizes = stretch.groupBy("stretch").agg(F.ceil(F.count("*") / F.lit(cell_rows)).alias("pieces"))  # at most 64 rows
-    cells = stretch.join(F.broadcast(sizes), "stretch").withColumn("piece", F.pmod(F.xxhash64(key), F.col("pieces")))
-
-    def make(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf["v"].to_numpy()).astype(float)
-        norms = (x * x).sum(1)
-        dist = norms[:, None] + norms[None, :] - 2 * x @ x.T
-        np.fill_diagonal(dist, np.inf)
-        take = min(k, len(x) - 1)
-        near = np.argsort(dist, axis=1, kind="stable")[:, : max(take, 1)] if take > 0 else np.zeros((len(x), 1), int)
-        rows = np.repeat(np.arange(len(x)), pdf["copies"].to_numpy().astype(int))
-        rng = np.random.default_rng([seed, int(pdf["stretch"].iloc[0]), int(pdf["piece"].iloc[0])])
-        pick = near[rows, rng.integers(0, near.shape[1], len(rows))]
-        u = rng.random(len(rows))[:, None]
-        return pd.DataFrame({"origin": pdf[key].to_numpy()[rows], "v": list(x[rows] + u * (x[pick] - x[rows]))})
-
-    made = cells.groupBy("stretch", "piece").applyInPandas(make, schema="origin bigint, v array<double>")
-    return made.withColumn(label, F.lit(minority))
+    ranked = hashed_position(small, key).select(F.col(key).alias("origin"), "v", copies.alias("copies")).where("copies > 0")
+    points = materialise(small.groupBy("v").agg(F.min(key).alias("point")), "points")
+    near = points.join(near_neighbours(points, "point", k, cell_rows, projections, seed), "point").select("v", F.col("near").alias("l"))
+    rows = ranked.join(near, "v").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    h = F.md5(F.concat_ws(":", F.col("origin").cast("string"), F.col("copy").cast("string")))
+    number = [F.conv(F.substring(h, at, 8), 16, 10).cast("long") for at in (1, 9)]
+    picked = rows.select("origin", "copy", "v", F.get("l", (number[0] % F.size("l")).cast("int")).alias("n"), ((number[1] + 0.5) / float(1 << 32)).alias("u"))
+    made = F.zip_with("v", "n.nv", lambda a, b: a + F.col("u") * (b - a))
+    return picked.select("origin", "copy", F.col("n.near").alias("near"), made.alias("v"), F.lit(minority).alias(label))
 
 
 def oversample_augmented(df: DataFrame, key: str, text: str, minority: Column, synonyms: DataFrame, share: float = 0.3) -> DataFrame:

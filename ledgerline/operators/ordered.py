@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline.tables import materialise
+
 
 def time_chunk(ts: str, unit: str) -> Column:
     return F.date_trunc(unit, F.col(ts))
@@ -107,6 +109,20 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], buckets: int
     return out.drop("_bucket", *[f"_o_{c}" for c in sums])
 
 
+def global_position(df: DataFrame, *order: str) -> DataFrame:
+    """``pos`` from 0 in the order of the whole frame; ``order`` has to be unique.
+
+    A range sort places the rows, each task numbers its own, and the tasks' counts are added up: one row per task.
+    """
+    numbered = materialise(df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()), "positions")
+    part = F.shiftright("_m", 33)
+    counts = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_c"))
+    ahead = F.sum("_c").over(W.orderBy("_part")) - F.col("_c")
+    offsets = counts.select("_part", ahead.alias("_ahead"))
+    placed = numbered.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return placed.withColumn("pos", F.col("_m").bitwiseAND((1 << 33) - 1) + F.col("_ahead")).drop("_m", "_part", "_ahead")
+
+
 def hashed_position(df: DataFrame, key: str, by: Sequence[str] = (), digits: int = 3) -> DataFrame:
     """Rank rows of each stratum by the hash of their key: ``pos`` from 1, ``size`` the stratum's rows.
 

@@ -76,10 +76,10 @@ def pivot_sums(df: DataFrame, row: str, col: str, values: Sequence[str], agg: Co
     return df.groupBy(row).pivot(col, list(values)).agg(agg)
 
 
-def share_rows(df: DataFrame, row: str, cols: Sequence[str]) -> DataFrame:
-    """Each row of a wide count table divided by its sum."""
-    total = sum((F.col(f"`{c}`") for c in cols), F.lit(0))
-    return df.select(row, *[F.try_divide(F.col(f"`{c}`"), total).alias(c) for c in cols])
+def share_matrix(df: DataFrame, row: str, col: str, n: str, names: Sequence) -> DataFrame:
+    """Counts per (row, col) as one row of shares; rows whose ``col`` is null count in the total only."""
+    parts = [F.coalesce(F.sum(F.when(F.col(col) == c, F.col(n))), F.lit(0)) / F.sum(n) for c in names]
+    return df.groupBy(row).agg(*[F.round(p, 6).alias(str(c)) for p, c in zip(parts, names, strict=True)])
 
 
 def group_agg(df: DataFrame, keys: Sequence[str], spec: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from ledgerline.functions.scalars import day
 from ledgerline.operators.cleaning import histogram
 from ledgerline.operators.evaluation import binary_counts
+from ledgerline.operators.features import levels
 from ledgerline.operators.quantiles import exact_quantiles, quantile_scalars
-from ledgerline.operators.relational import attach, group_agg, pivot_sums, rfm, rows_of, share_rows, top_k, value_counts
+from ledgerline.operators.relational import attach, group_agg, pivot_sums, rfm, rows_of, share_matrix, top_k, value_counts
 from ledgerline.plans.common import DAILY, ERRORS, baseline_errors, brand_days, brand_lines
 from ledgerline.plans.reports import SKILL_PAY_SQL, skill_pay
 from ledgerline.registry import query
 from ledgerline.tables import materialise, table
 
-# The columns a wide table is asked for.
+# Levels of the fixture, which the SQL has to spell out; the queries read theirs from the tables.
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
@@ -65,12 +66,11 @@ def a04(spark: SparkSession, sf_dir: str) -> DataFrame:
     + " from orders join customer on o_custkey = c_custkey group by all",
 )
 def a05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One row per customer with a count per priority: already placed for the join, however hot a customer is.
-    counts = [F.count_if(F.col("o_orderpriority") == p).alias(p) for p in PRIORITIES]
-    per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(*counts)
+    # Counts per customer and priority merge before the join, however hot a customer is.
+    per = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
     seg = attach(per, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey", ["c_mktsegment"], "inner")
-    wide = seg.groupBy("c_mktsegment").agg(*[F.sum(p).alias(p) for p in PRIORITIES])
-    return share_rows(wide, "c_mktsegment", PRIORITIES).select("c_mktsegment", *[F.round(p, 6).alias(p) for p in PRIORITIES])
+    cells = materialise(seg.groupBy("c_mktsegment", "o_orderpriority").agg(F.sum("n").alias("n")), "shares")
+    return share_matrix(cells, "c_mktsegment", "o_orderpriority", "n", levels(cells, "o_orderpriority"))
 
 
 @query("a06_crosstab", "select quality, count(*) filter (toxic = 0) as toxic_0, count(*) filter (toxic = 1) as toxic_1 from labels group by all")
@@ -79,7 +79,7 @@ def a06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("quality", F.col("0").alias("toxic_0"), F.col("1").alias("toxic_1"))
 
 
-# Part types used as panel columns.
+# Part types of the fixture, for the SQL.
 PANEL_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
@@ -90,8 +90,9 @@ PANEL_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 )
 def a07(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = brand_lines(spark, sf_dir).withColumn("d", day(F.col("l_shipdate")))
-    wide = pivot_sums(lines, "d", "p_type", PANEL_TYPES, F.sum("l_extendedprice"))
-    return wide.select("d", *[F.round(F.col(t), 2).alias(t.lower()) for t in PANEL_TYPES])
+    types = levels(table(spark, sf_dir, "part"), "p_type")
+    wide = pivot_sums(lines, "d", "p_type", types, F.sum("l_extendedprice"))
+    return wide.select("d", *[F.round(F.col(f"`{t}`"), 2).alias(t.lower()) for t in types])
 
 
 @query("a08_rounded_average", "select o_orderpriority, count(*) as n_orders, round(avg(o_totalprice), 0) as avg_price from orders where o_totalprice is not null group by all")
@@ -260,11 +261,9 @@ def a20(spark: SparkSession, sf_dir: str) -> DataFrame:
 group by grouping sets ((c_mktsegment), (c_nationkey), (o_orderpriority))""",
 )
 def a21(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = [F.sum(F.when(F.col("o_orderpriority") == p, F.col("o_totalprice"))).alias(p) for p in PRIORITIES]
-    per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(*sums)
+    per = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.sum("o_totalprice").alias("s"))
     facts = attach(per, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey", ["c_mktsegment", "c_nationkey"], "inner")
-    cells = F.array(*[F.struct(F.lit(p).alias("o_orderpriority"), F.col(p).alias("s")) for p in PRIORITIES])
-    leaf = facts.select("c_mktsegment", "c_nationkey", F.inline(cells)).groupBy("c_mktsegment", "c_nationkey", "o_orderpriority").agg(F.sum("s").alias("s"))
+    leaf = facts.groupBy("c_mktsegment", "c_nationkey", "o_orderpriority").agg(F.sum("s").alias("s"))
     sets = [[F.col("c_mktsegment")], [F.col("c_nationkey")], [F.col("o_orderpriority")]]
     return leaf.groupingSets(sets, "c_mktsegment", "c_nationkey", "o_orderpriority").agg(F.round(F.sum("s"), 2).alias("total"))
 

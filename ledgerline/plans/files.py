@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.scalars import flag
 from ledgerline.operators.corpus import summarise
 from ledgerline.operators.series import lags
-from ledgerline.plans.aggregates import PANEL_TYPES
+from ledgerline.operators.features import levels
 from ledgerline.plans.common import ERRORS, GRID, baseline_errors, events_grid
 from ledgerline.plans.series import GW
 from ledgerline.plans.text import SENT, SUMMARY, docs
@@ -37,7 +37,7 @@ def io02(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "tsv")
     parts = table(spark, sf_dir, "part")
     sources = {}
-    for kind in PANEL_TYPES:
+    for kind in levels(parts, "p_type"):
         sources[kind.lower()] = f"{root}/{kind.lower()}"
         rows = parts.where(F.col("p_type") == kind).select(F.concat_ws("\t", F.concat(F.lit('"'), F.col("p_name")), F.col("p_size").cast("string")))
         rows.write.text(sources[kind.lower()])

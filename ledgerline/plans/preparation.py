@@ -32,11 +32,9 @@ def p01(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p02(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = events_grid(spark, sf_dir)
     stats = P.min_max_stats(grid, ["n"])
-    scaled = P.min_max_scale(grid, ["n"], stats)
-    back = P.min_max_inverse(scaled.withColumn("back", F.col("n")).drop("n").withColumnRenamed("back", "n"), ["n"], stats)
-    return scaled.select("hr", "event_type", F.round("n", 6).alias("scaled")).join(back.withColumnRenamed("n", "back"), ["hr", "event_type"]).select(
-        "hr", "event_type", F.col("scaled").alias("n"), F.round("back", 6).alias("back")
-    )
+    scaled = P.min_max_scale(grid, ["n"], stats).withColumn("scaled", F.col("n"))
+    back = P.min_max_inverse(scaled, ["n"], stats)
+    return back.select("hr", "event_type", F.round("scaled", 6).alias("n"), F.round("n", 6).alias("back"))
 
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -83,7 +81,7 @@ def p06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.polynomial2(lines, POLY).select("l_orderkey", "l_linenumber", "l_partkey", *[F.round(c, 6).alias(c) for c in made])
 
 
-def combined_frame(spark: SparkSession, sf_dir: str, size: int = 1000) -> DataFrame:
+def combined_frame(spark: SparkSession, sf_dir: str, size: int = 5000) -> DataFrame:
     """doc_id and one vector: numbers, language flags, embedding, word counts."""
     tokens = X.token_table(docs(spark, sf_dir), ["doc_id"], "text")
     words = [r["token"] for r in K.vocabulary(tokens, size).orderBy("rank").collect()]  # at most ``size`` words
@@ -99,9 +97,9 @@ def combined_frame(spark: SparkSession, sf_dir: str, size: int = 1000) -> DataFr
 
 @query(
     "p07_combined_frame",
-    f"""with {DOC_TOKENS}, {VOCAB}, b as (select doc_id, count(*) as n from tok join vocab using (token) where rank <= 1000 group by 1),
+    f"""with {DOC_TOKENS}, {VOCAB}, b as (select doc_id, count(*) as n from tok join vocab using (token) group by 1),
 t as (select doc_id, len(toks) as w from dt)
-select doc_id, 2 + 4 + 64 + 1000 as width, round(n_chars + w + 1 + coalesce(list_sum(list_transform(embedding, lambda x: x::double)), 0) + coalesce(n, 0), 4) as total
+select doc_id, 2 + 4 + 64 + (select count(*) from vocab) as width, round(n_chars + w + 1 + coalesce(list_sum(list_transform(embedding, lambda x: x::double)), 0) + coalesce(n, 0), 4) as total
 from documents join t using (doc_id) left join b using (doc_id) left join embeddings on vec_id = doc_id""",
 )
 def p07(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,14 +130,27 @@ def p09(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_grid(spark, sf_dir).withColumn("part", F.when(F.col("hr") < F.expr("timestamp_ntz'2024-01-22'"), "train").otherwise("test"))
 
 
-@query("p10_oversample_interpolated")
+@query(
+    "p10_oversample_interpolated",
+    """with known as (select vec_id, embedding::double[] as v, label from embeddings where embedding is not null),
+size as (select count(*) filter (label = 0) as few, greatest(ceil(count(*) filter (label <> 0) * 0.7::double) - count(*) filter (label = 0), 0)::bigint as wanted from known),
+ranked as (select vec_id, v, row_number() over (order by md5(vec_id::varchar), vec_id) as pos from known where label = 0),
+pts as (select v, min(vec_id) as point from ranked group by v),
+near as (select a.v, b.point, b.v as nv, round(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))), 9) as dist from pts a join pts b on a.point <> b.point),
+best as (select v, list({'point': point, 'nv': nv} order by dist, point)[1:5] as l from near group by v),
+made as (select vec_id as origin, unnest(range(1, wanted // few + (pos <= wanted % few)::bigint + 1)) as copy, v, l from ranked join best using (v), size),
+drawn as (select *, md5(origin::varchar || ':' || copy::varchar) as h from made),
+picked as (select origin, copy, v, l[1 + ('0x' || substr(h, 1, 8))::bigint % len(l)] as n, (('0x' || substr(h, 9, 8))::bigint + 0.5::double) / 4294967296::double as u from drawn)
+select origin, copy, n.point as near, list_transform(range(1, len(v) + 1), lambda i: round(v[i] + u * (n.nv[i] - v[i]), 6) + 0.0::double) as v, 0 as label from picked""",
+)
 def p10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.oversample_interpolated(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0, 0.7)
+    made = P.oversample_interpolated(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0, 0.7)
+    return made.withColumn("v", F.transform("v", lambda x: F.round(x, 6) + 0.0))
 
 
 @query(
     "p11_oversample_augmented",
-    f"""with {DOC_TOKENS}, {VOCAB}, syn as (select a.token, b.token as other from vocab a join vocab b on b.rank = a.rank + 1 where a.rank <= 300 and a.rank % 2 = 1),
+    f"""with {DOC_TOKENS}, {VOCAB}, syn as (select a.token, b.token as other from vocab a join vocab b on b.rank = a.rank + 1 where a.rank % 2 = 1),
 few as (select doc_id from labels where quality = 0),
 orig as (select doc_id, 0 as copy, string_agg(token, ' ' order by pos) as body from tok join labels using (doc_id) group by 1),
 aug as (select doc_id, 1 as copy, string_agg(case when substr(md5(doc_id::varchar || ':' || pos::varchar), 1, 2) < '4d' then coalesce(other, tok.token) else tok.token end, ' ' order by pos) as body
@@ -149,10 +160,10 @@ select * from orig union all select * from aug""",
 def p11(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = K.vocabulary(X.token_table(docs(spark, sf_dir), ["doc_id"], "text"), 5000)
     nxt = vocab.select((F.col("rank") - 1).alias("rank"), F.col("token").alias("other"))
-    synonyms = vocab.where("rank <= 300 and rank % 2 = 1").join(nxt, "rank").select("token", "other")
+    synonyms = vocab.where("rank % 2 = 1").join(nxt, "rank").select("token", "other")
     marks = table(spark, sf_dir, "labels").select("doc_id", "quality")
     labelled = place(table(spark, sf_dir, "documents").select("doc_id", "text").join(marks, "doc_id"), "doc_id")
-    return P.oversample_augmented(labelled, "doc_id", "text", F.col("quality") == 0, F.broadcast(synonyms))  # 150 pairs
+    return P.oversample_augmented(labelled, "doc_id", "text", F.col("quality") == 0, F.broadcast(synonyms))  # at most 2500 pairs
 
 
 @query(

@@ -116,12 +116,12 @@ def t05_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Dictionaries are derived from the texts, whose words are invented.
-LEMMAS = f"""lem as (select token as form, regexp_replace(token, '(es|s)$', '') as lemma from (select token, count(*) as n from tok where regexp_matches(token, '.{{3,}}s$') group by 1 order by n desc, token limit 500))"""
+LEMMAS = f"""lem as (select token as form, regexp_replace(token, '(es|s)$', '') as lemma from (select token, count(*) as n from tok where regexp_matches(token, '.{{3,}}s$') group by 1 order by n desc, token limit 5000))"""
 
 
 def lemma_table(tokens: DataFrame) -> DataFrame:
     plural = tokens.where(F.col("token").rlike("^.{3,}s$"))
-    top = K.term_counts(plural).orderBy(F.col("n").desc(), "token").limit(500)
+    top = K.term_counts(plural).orderBy(F.col("n").desc(), "token").limit(5000)
     return top.select(F.col("token").alias("form"), F.regexp_replace("token", "(es|s)$", "").alias("lemma"))
 
 
@@ -131,18 +131,18 @@ def lemma_table(tokens: DataFrame) -> DataFrame:
 )
 def t06(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = doc_tokens(spark, sf_dir)
-    return K.lookup_lemmas(tokens, F.broadcast(lemma_table(tokens)), ["doc_id"])  # 500 words
+    return K.lookup_lemmas(tokens, F.broadcast(lemma_table(tokens)), ["doc_id"])  # at most 5000 words
 
 
 LEX = f"""ct as (select conv_id, turn, {tokens_sql(norm_sql('text'))} as toks from conversations),
-lex as (select token, ((('0x' || substr(md5(token), 1, 2))::int % 9 - 4) / 2.0)::double as valence from (select token, count(*) as n from (select unnest(toks) as token from ct) group by 1 order by n desc, token limit 400)),
+lex as (select token, ((('0x' || substr(md5(token), 1, 2))::int % 9 - 4) / 2.0)::double as valence from (select token, count(*) as n from (select unnest(toks) as token from ct) group by 1 order by n desc, token limit 5000)),
 jt as (select conv_id, turn, unnest({tokens_sql(neg_sql(spaced_sql(norm_sql(NEG_BODY))))}) as token from conversations),
 sg as (select conv_id, turn, case when regexp_matches(token, '^({NEG})_') then substr(token, strpos(token, '_') + 1) else token end as word, case when regexp_matches(token, '^({NEG})_') then -1 else 1 end as sign from jt),
 sv as (select conv_id, turn, coalesce(valence, 0) * sign as v from sg left join lex on lex.token = word)"""
 
 
 def lexicon(tokens: DataFrame) -> DataFrame:
-    top = K.vocabulary(tokens, 400)
+    top = K.vocabulary(tokens, 5000)
     return top.select("token", ((F.conv(F.substring(F.md5("token"), 1, 2), 16, 10).cast("int") % 9 - 4) / F.lit(2.0)).alias("valence"))
 
 
@@ -154,7 +154,7 @@ def t07(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = X.token_table(turns(spark, sf_dir), ["conv_id", "turn"], "text")
     joined = X.tokenize(X.join_negations(X.one_spaced(X.normalize_text(negated_body()))))
     tokens = turns(spark, sf_dir).select("conv_id", "turn", F.explode(joined).alias("token"))
-    s = K.lexicon_scores(tokens, F.broadcast(lexicon(words)), ["conv_id", "turn"], X.NEGATIONS)  # 400 words
+    s = K.lexicon_scores(tokens, F.broadcast(lexicon(words)), ["conv_id", "turn"], X.NEGATIONS)  # at most 5000 words
     return s.select("conv_id", "turn", *[F.round(c, 6).alias(c) for c in ("pos", "neg")], (F.round("compound", 6) + 0.0).alias("compound"))
 
 
@@ -193,12 +193,12 @@ def t10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "t11_encode_pad",
     f"""with {DOC_TOKENS}, {VOCAB}, e as (select doc_id, list(rank order by pos) as ids from tok join vocab using (token) where rank < 5000 group by 1)
-select doc_id, list_concat(list_slice(ids, greatest(len(ids) - 499, 1), len(ids)), list_transform(range(greatest(500 - len(ids), 0)), lambda x: 0)) as ids, len(ids)::int as n_known from e""",
+select doc_id, list_concat(list_slice(ids, greatest(len(ids) - 499, 1), len(ids)), list_transform(range(greatest(500 - len(ids), 0)), lambda x: 0)) as ids, len(ids)::int as n_known from (select doc_id, coalesce(ids, []::bigint[]) as ids from documents left join e using (doc_id))""",
 )
 def t11(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = doc_tokens(spark, sf_dir)
     # Index 0 is the padding, so a limit of 5000 words leaves ranks 1 .. 4999.
-    return K.encode(tokens, K.vocabulary(tokens, 5000).where("rank < 5000"), ["doc_id"], 500)
+    return K.encode(tokens, K.vocabulary(tokens, 5000).where("rank < 5000"), ["doc_id"], 500, table(spark, sf_dir, "documents").select("doc_id"))
 
 
 VECTORS = "vec as (select token, [" + ", ".join(f"((('0x' || substr(md5(token), {2 * i + 3}, 2))::int - 128) / 128.0)::double" for i in range(4)) + "] as vector from vocab where substr(md5(token), 1, 1) < 'c')"

@@ -108,11 +108,26 @@ def test_oversampling_fills_up_and_stays_between_neighbours(spark, cell):
     rows = [(i, v, 1) for i, v in enumerate(few)] + [(1000 + i, rng.normal(size=4).tolist(), 0) for i in range(400)]
     df = spark.createDataFrame(rows, "id bigint, v array<double>, y int")
     made = P.oversample_interpolated(df, "id", "v", "y", 1, 0.7, cell_rows=cell).toPandas()
-    assert len(made) == 280 - 90
+    assert len(made) == 280 - 90 and not made.duplicated(["origin", "copy"]).any()
+    assert set(made["origin"]) == set(range(90))
     x = np.array(few)
-    v = np.stack(made["v"].to_numpy())
-    assert (v >= x.min(0) - 1e-9).all() and (v <= x.max(0) + 1e-9).all()
-    assert set(made["origin"]) <= set(range(90))
+    points = np.arange(60)  # the copies of row 0 are one point
+    ranks = []
+    for origin, near, v in zip(made["origin"], made["near"], made["v"], strict=True):
+        line, step = x[near] - x[origin], np.array(v) - x[origin]
+        u = step @ line / (line @ line)
+        assert 0 < u < 1 and np.allclose(step, u * line) and not np.allclose(v, x[origin], atol=0, rtol=0)
+        dist = ((x[points] - x[origin]) ** 2).sum(1)
+        ranks.append((dist < dist[near] - 1e-9).sum())
+    # One cell finds the five nearest; the row itself comes before them.
+    assert max(ranks) <= 5 if cell > 90 else np.mean(ranks) < 10
+
+
+def test_oversampling_without_neighbours_or_vectors(spark):
+    schema = "id bigint, v array<double>, y int"
+    rest = [(100 + i, [float(i)], 0) for i in range(20)]
+    for few in ([], [(1, [1.0], 1)], [(i, [1.0], 1) for i in range(5)], [(1, None, 1)]):
+        assert P.oversample_interpolated(spark.createDataFrame(few + rest, schema), "id", "v", "y", 1, 0.7).count() == 0
 
 
 def test_linear_coefficients_equal_normal_equations(spark):
@@ -156,3 +171,7 @@ def test_encoding_pads_and_keeps_the_tail(spark):
     vocab = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "token string, rank int")
     rows = {r["k"]: (r["ids"], r["n_known"]) for r in K.encode(tokens, vocab, ["k"], 3).collect()}
     assert rows == {1: ([2, 1, 3], 4), 2: ([1, 0, 0], 1)}
+    every = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k int")
+    unknown = tokens.unionByName(spark.createDataFrame([(3, 0, "zz")], tokens.schema))
+    rows = {r["k"]: (r["ids"], r["n_known"]) for r in K.encode(unknown, vocab, ["k"], 3, every).collect()}
+    assert rows == {1: ([2, 1, 3], 4), 2: ([1, 0, 0], 1), 3: ([0, 0, 0], 0), 4: ([0, 0, 0], 0)}
