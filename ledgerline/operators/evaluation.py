@@ -177,25 +177,25 @@ def best_threshold(sweep: DataFrame, floor: float, default: float = 0.5) -> Data
 
 
 def chi_square(df: DataFrame, a: str, b: str, yates: bool = True) -> DataFrame:
-    """Independence of two categories from their contingency counts; Yates correction on 2 x 2 tables."""
+    """Independence of two categories from their contingency counts; Yates correction on 2 x 2 tables.
+
+    Rows without either category are left out. Empty cells are never made: each adds its expected count, and together
+    that is what the expected counts of the other cells leave of the total. In a 2 x 2 table all gaps are equal, so the
+    correction scales the whole sum.
+    """
     # The facts are read once; everything after works on the written contingency counts.
-    cells = materialise(df.groupBy(a, b).agg(F.count("*").alias("n")), "cells")
+    cells = materialise(df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count("*").alias("n")), "cells")
     rows = cells.groupBy(a).agg(F.sum("n").alias("rn"))
     cols = cells.groupBy(b).agg(F.sum("n").alias("cn"))
     total = cells.agg(F.sum("n").alias("t")).scalar()
-    k = F.struct(
-        rows.agg(F.count("*").alias("r")).scalar().alias("r"), cols.agg(F.count("*").alias("c")).scalar().alias("c")
-    )
-    # Every (row, column) cell counts, also the empty ones: each row level meets the list of columns.
-    levels = cols.agg(F.collect_list(F.struct(b, "cn")).alias("l")).scalar()
-    full = rows.withColumn("l", levels).select(a, "rn", F.inline("l")).join(cells, [a, b], "left").fillna({"n": 0})
     expected = F.col("rn") * F.col("cn") / total
     gap = F.abs(F.col("n") - expected)
-    two = (k.getField("r") == 2) & (k.getField("c") == 2)
-    gap = F.when(F.lit(yates) & two, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
-    return full.agg(
-        F.sum(gap * gap / expected).alias("statistic"), ((F.max(k.getField("r")) - 1) * (F.max(k.getField("c")) - 1)).cast("int").alias("dof")
-    )
+    sums = cells.join(rows, a).join(cols, b).agg(F.sum(gap * gap / expected).alias("s"), F.sum(expected).alias("seen"), F.max(gap).alias("g"))
+    sized = sums.select("s", "seen", "g", total.alias("t"), rows.agg(F.count("*").alias("r")).scalar().alias("r"), cols.agg(F.count("*").alias("c")).scalar().alias("c"))
+    plain = F.col("s") + F.col("t") - F.col("seen")
+    shrink = F.coalesce(F.try_divide(F.col("g") - F.least(F.lit(0.5), F.col("g")), F.col("g")), F.lit(0.0))
+    corrected = F.when(F.lit(yates) & (F.col("r") == 2) & (F.col("c") == 2), plain * shrink * shrink).otherwise(plain)
+    return sized.select(corrected.alias("statistic"), ((F.col("r") - 1) * (F.col("c") - 1)).cast("int").alias("dof"))
 
 
 def pooled_t(df: DataFrame, value: str, group: str, first, second) -> DataFrame:

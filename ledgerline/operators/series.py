@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import round_hour
 from ledgerline.operators.relational import densify
+from ledgerline.tables import materialise
 
 
 def hourly_counts(df: DataFrame, ts: str, key: str, out: str = "n") -> DataFrame:
@@ -21,13 +22,15 @@ def hourly_counts(df: DataFrame, ts: str, key: str, out: str = "n") -> DataFrame
 
 
 def hour_grid(df: DataFrame, ts: str, key: str) -> DataFrame:
-    """(hr, key, n) for every hour between the first and last and every key, zero where silent."""
-    span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    # Rounding keeps order, so the rounded ends are the ends of the rounded hours.
-    first = span.select(round_hour(F.col("lo")).alias("v")).scalar()
-    last = span.select(round_hour(F.col("hi")).alias("v")).scalar()
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return densify(hourly_counts(df, ts, key), keys, "hr", first, last, "1 hour", {"n": 0})
+    """(hr, key, n) for every hour between the first and last and every key, zero where silent.
+
+    Ends and keys are read off the written hourly counts, so the raw rows are read once.
+    """
+    counts = materialise(hourly_counts(df, ts, key), "hours")
+    first = counts.agg(F.min("hr").alias("v")).scalar()
+    last = counts.agg(F.max("hr").alias("v")).scalar()
+    keys = counts.select(key).where(F.col(key).isNotNull()).distinct()
+    return densify(counts, keys, "hr", first, last, "1 hour", {"n": 0})
 
 
 def daily_series(df: DataFrame, key: str, ts: str, amount: str, out: str = "sales") -> DataFrame:

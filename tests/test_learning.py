@@ -53,6 +53,12 @@ def test_chi_square_and_t_by_hand(spark):
     obs = np.array([[10, 20], [30, 5]])
     exp = obs.sum(1, keepdims=True) * obs.sum(0) / obs.sum()
     assert np.isclose(got["statistic"], ((np.abs(obs - exp) - 0.5) ** 2 / exp).sum()) and got["dof"] == 1
+    # An empty cell, a row without a category, and more than two levels.
+    sparse = spark.createDataFrame([("a", 0)] * 4 + [("b", 1)] * 5 + [("c", 0), ("c", 1), ("c", None)], "g string, v int")
+    obs = np.array([[4, 0], [0, 5], [1, 1]])
+    exp = obs.sum(1, keepdims=True) * obs.sum(0) / obs.sum()
+    got = E.chi_square(sparse, "g", "v").first()
+    assert np.isclose(got["statistic"], ((obs - exp) ** 2 / exp).sum()) and got["dof"] == 2
     t = E.pooled_t(spark.createDataFrame([(0, 1.0), (0, 2.0), (0, 3.0), (1, 2.0), (1, 4.0), (1, 6.0)], "g int, x double"), "x", "g", 0, 1).first()
     assert np.isclose(t["t"], -2.0 / np.sqrt(2.5 * 2 / 3)) and t["dof"] == 4
 
