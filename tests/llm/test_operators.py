@@ -17,6 +17,7 @@ import public_tokenizers
 from ledgerline.llm import jaccard as J
 from ledgerline.llm import licences, toxicity
 from ledgerline.llm.decontaminate import drop_leaks, find_leaks
+from ledgerline.llm.encoding import Encoder
 from ledgerline.llm.lines import dedup_lines
 from ledgerline.llm.packing import pack, pack_documents
 from ledgerline.llm.secret_scan import ADDED, BASE, automaton, scan_secrets, spans_of
@@ -192,6 +193,16 @@ def test_token_files(spark):
     assert read_digests(spark, path).count() == 0
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_whole_texts(file):
+    rnd, path = random.Random(8), public_tokenizers.path(file)
+    bits = ["a", "key", "mot", "fin", "!", "~", "'s", "12", "é", "ß"] + [" "] * 8 + ["\n"] * 3 + ["\t", "\u00a0", "\r\n", "\r", "\x1c", "\x1f", "\x85", "\u2003", "\u3000", "  ", "\n\n", "\x0b", "\u200b"]
+    texts = ["key\tvalue ", "a\tb c", "mot\u00a0! fin ", "a\tb\tc\n\n", " a\tb", "a\r\nb  c"] + ["".join(rnd.choice(bits) for _ in range(rnd.randrange(1, 30))) for _ in range(3000)]
+    whole = Tokenizer.from_file(path)
+    got = Encoder(path).encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_leaks(spark):
     item = "Anna drove 120 km to Berlin in 3 hours. How fast did Anna drive on the long way to Berlin on that day?"
     items = spark.createDataFrame([(7, item), (8, "too short"), (9, None)], "item_id long, text string")
