@@ -215,6 +215,20 @@ def test_leaks(spark):
     assert find_leaks(documents(spark, ODD), items).count() == 0 and find_leaks(documents(spark, rows), items.limit(0)).count() == 0
 
 
+LONG = "A train of the old line leaves Vienna at noon and runs 40 km each hour until it comes to the small town of Graz where people wait for it and then it goes on to Vienna again over the same hills"
+
+
+def test_leaks_with_shifted_words(spark):
+    items = spark.createDataFrame([(1, LONG), (2, "What is 3 plus 4?"), (3, "Paris 5 km, Rome 7 km, Berlin 9 km, then Bonn 2 km and Ulm 4 km")], "item_id long, text string")
+    words = LONG.split()
+    middle = len(words) // 2
+    three = [w if i not in (9, 18, 27) else "otherwise" for i, w in enumerate(words)]
+    rows = [(1, " ".join([*words[:middle], "very", *words[middle:]])), (2, " ".join(words[:middle] + words[middle + 1 :])), (3, LONG.replace("Graz", "Los Santos")), (4, " ".join(three))]
+    rows += [(5, "so tell me: What is 8 plus 9? said the man"), (6, items.collect()[2].text.replace("Rome", "Oslo").replace("7", "8")), (7, " ".join(words[:12])), (8, " ".join(words[: middle - 2] + ["and so on"] * 20 + words[middle + 14 :]))]
+    got = {(r.doc_id, r.item_id) for r in find_leaks(documents(spark, rows), items).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 3)}
+
+
 def test_leaks_against_plain_search(spark):
     docs, items = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "benchmark"))
     found = {(r.doc_id, r.item_id) for r in find_leaks(docs, items).collect()}
