@@ -229,6 +229,15 @@ def test_leaks_with_shifted_words(spark):
     assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 3)}
 
 
+def test_leaks_at_every_place(spark):
+    items = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    wrong = LONG.replace("Vienna", "Linz", 1)
+    quoted = " ".join(LONG.split()[:30]) + " whatever else the writer of this has put behind the passage Again and Again"
+    rows = [(1, wrong + ". " + LONG), (2, wrong), (3, quoted), (4, LONG + ". " + wrong)]
+    got = {r.doc_id: r for r in find_leaks(documents(spark, rows), items).collect()}
+    assert set(got) == {1, 3, 4} and got[1].n_changed == 0 and got[1].coverage == 1.0 and got[3].coverage < 1 and got[3].n_changed == 0
+
+
 def test_leaks_against_plain_search(spark):
     docs, items = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "benchmark"))
     found = {(r.doc_id, r.item_id) for r in find_leaks(docs, items).collect()}
