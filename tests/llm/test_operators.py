@@ -238,6 +238,14 @@ def test_leaks_at_every_place(spark):
     assert set(got) == {1, 3, 4} and got[1].n_changed == 0 and got[1].coverage == 1.0 and got[3].coverage < 1 and got[3].n_changed == 0
 
 
+def test_leaks_with_names_anywhere(spark):
+    item = "Anna has 5 apples. Anna buys 3 more of them. Anna gives USA-made apples to McDonald: Eve has how many of the apples? Anna asks."
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item.upper()), (2, item.lower()), (3, item.replace("Anna", "Bob").replace("5", "7").replace("McDonald", "O").replace("USA", "EU")), (4, item.replace(" ", "\n")), (5, item.replace("Eve", "eve"))]
+    got = {r.doc_id: r for r in find_leaks(documents(spark, rows), items).collect()}
+    assert set(got) == {1, 2, 3, 4, 5} and [got[i].n_changed for i in (1, 2, 4, 5)] == [0] * 4 and got[3].n_changed >= 6
+
+
 def test_leaks_against_plain_search(spark):
     docs, items = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "benchmark"))
     found = {(r.doc_id, r.item_id) for r in find_leaks(docs, items).collect()}
