@@ -21,12 +21,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A key of at least ``min_chars`` code points found in at least ``min_docs`` documents loses all its lines, except in
     the document with the largest id. Other lines stay as they are, joined by ``\\n``.
 
-    A null or empty text is one empty line. Each row is a document, so repeated rows count again; rows that share the
-    largest id all keep the line. A null id never keeps a shared line, unless all its holders are null. An empty table
-    gives an empty one. Other columns pass through; the two new columns replace input columns of their names.
+    A null or empty text is one empty line. Rows of one id count as one document; rows that share the largest id
+    all keep the line. A null id is not counted and never keeps a shared line. An empty table gives an empty one. Other columns pass through; the two new columns replace input columns of their names.
 
     Lines are known by two 64-bit hashes, so only fixed-width rows are counted and joined: a line in a third of all
-    documents is one row per task after the partial count. Texts move once, to meet the positions they lose.
+    documents is first made distinct by line and id, then one row per task after the partial count. Texts move once, to meet the positions they lose.
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     # Names of this step's own columns cannot clash: the input travels as one struct.
@@ -37,7 +36,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2")]
 
     found = lines.select("id", F.explode(F.array_distinct(F.filter("keys", lambda k: F.char_length(k) >= min_chars))).alias("key")).select("id", *hashes(F.col("key")))
-    shared = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs).drop("n")
+    shared = found.groupBy("h1", "h2").agg(F.count_distinct("id").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs).drop("n")
     placed = lines.select("id", "th", F.posexplode("keys").alias("pos", "key")).where(F.char_length("key") >= min_chars).select("id", "th", "pos", *hashes(F.col("key")))
     lost = placed.join(shared, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
     lost = lost.groupBy(F.col("id").alias("lost_id"), F.col("th").alias("lost_th")).agg(F.collect_set("pos").alias("gone"))

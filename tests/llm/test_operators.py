@@ -105,6 +105,20 @@ def test_lines(spark):
     assert dedup_lines(documents(spark, [])).count() == 0 and dedup_lines(documents(spark, ODD)).count() == len(ODD)
 
 
+def test_lines_of_repeated_ids_against_sql(spark):
+    import duckdb
+
+    a, b = "A line that two documents hold", "A line that three documents hold"
+    rows = [(1, f"{a}\n{b}"), (1, f"{a}\n{b}\nx"), (2, f"{a}\n{b}"), (3, b)]
+    got = sorted((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in dedup_lines(documents(spark, rows)).collect())
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    shared = con.execute("select line from (select doc_id, unnest(string_split(text, chr(10))) as line from documents) where length(line) >= 20 group by line having count(distinct doc_id) >= 3").fetchall()
+    assert shared == [(b,)]
+    assert got == [(1, 2, 1, a), (1, 3, 1, f"{a}\nx"), (2, 2, 1, a), (3, 1, 0, b)]
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a\r\nb", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u", None), (4, "u", ""), (5, "u", "x" * 100_000), (None, "u", "y"), (6, "u", "z"), (6, "u", "z")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("sha256", F.lit("clash")).withColumn("size", F.lit(0))
