@@ -11,8 +11,6 @@ import numpy as np
 CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 #: Stretches that may be encoded side by side in one string.
 PLAIN = re.compile(r"[!-}\w]+")
-#: White space but the space and the line end, all that ``str.split`` knows; each is looked for by itself, which costs less than a pattern.
-OTHER_BLANKS = [c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n"]
 #: What parts stretches in such a string: each is one id that no plain stretch can yield, whether white space counts or not.
 PARTERS = ("\n", " ~ ")
 TOGETHER = 400
@@ -24,14 +22,10 @@ def stretches(text: str) -> list[str]:
     Where all white space is single spaces and line ends between words, each is one; else only spaces between
     characters that are surely no white space.
     """
-    # Other white space parts words too, so the counts prove nothing where there is any.
-    if len(text.split()) != text.count(" ") + text.count("\n") + 1 or any(c in text for c in OTHER_BLANKS):
+    # Words joined by single spaces give the text back only where nothing else parts them.
+    if " ".join(text.split()) != text.replace("\n", " "):
         return CUT.split(text)
-    first, *lines = text.split("\n")
-    out = first.split(" ")
-    for line in lines:
-        out += ("\n" + line).split(" ")
-    return out
+    return text.replace("\n", " \n").split(" ")
 
 
 class Encoder:
