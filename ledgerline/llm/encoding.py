@@ -11,6 +11,8 @@ import numpy as np
 CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 #: Stretches that may be encoded side by side in one string.
 PLAIN = re.compile(r"[!-}\w]+")
+#: Letters, then marks: every rule here parts the two, so their ids stand side by side. No apostrophe, which may join.
+MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*,.:;?]+)")
 #: What parts stretches in such a string: each is one id that no plain stretch can yield, whether white space counts or not.
 PARTERS = ("\n", " ~ ")
 TOGETHER = 400
@@ -44,6 +46,7 @@ class Encoder:
         self.tokenizer, self.dtype, self.most = Tokenizer.from_file(path), dtype, most
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.held = 0
         self.parter, self.part_id = next((p, ids[0]) for p in PARTERS if len(ids := self.ids([p])[0]) == 1)
 
@@ -53,10 +56,18 @@ class Encoder:
     def data(self, texts: list[str]) -> list[bytes]:
         return [np.array(ids, self.dtype).tobytes() for ids in self.ids(texts)]
 
-    def learn(self, new: list[str]) -> None:
-        plain, other = [], []
-        for p in new:
-            (plain if PLAIN.fullmatch(p) else other).append(p)
+    def learn(self, new: set[str]) -> None:
+        plain, other, marked = set(filter(str.isalpha, new)), [], []
+        for p in new.difference(plain):
+            if m := MARKED.fullmatch(p):
+                marked.append((p, m[1], m[2]))
+                if m[1] not in self.known:
+                    plain.add(m[1])
+            elif PLAIN.fullmatch(p):
+                plain.add(p)
+            else:
+                other.append(p)
+        plain = list(plain)
         groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
         between = self.parter + " "
         for group, ids in zip(groups, self.ids([" " + between.join(g) for g in groups]), strict=True):
@@ -71,22 +82,27 @@ class Encoder:
             part = other[i : i + 10_000]
             self.known.update(zip(part, self.data([p if p[0] == "\n" else " " + p for p in part]), strict=True))
 
+        tails = list({tail for _, _, tail in marked}.difference(self.tails))
+        self.tails.update(zip(tails, self.data(tails), strict=True))
+        for p, stem, tail in marked:
+            self.known[p] = self.known[stem] + self.tails[tail]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian bytes; null counts as empty."""
         cut = [stretches(text) if text else [""] for text in texts]
         heads = self.data([parts.pop(0) for parts in cut])
-        words = set().union(*cut)
-        missing = words.difference(self.known)
+        get = self.known.get
+        found = [list(map(get, parts)) for parts in cut]
+        missing = {p for parts, ids in zip(cut, found, strict=True) if None in ids for p, d in zip(parts, ids, strict=True) if d is None}
         size = sum(map(len, missing))
         if self.held + size > self.most:
-            self.known, self.older, self.held = {}, self.known, 0
-            missing, size = words, sum(map(len, words))
+            self.known, self.older, self.tails, self.held = {}, self.known, {}, 0
         self.held += size
         again = missing.intersection(self.older)
         self.known.update((p, self.older[p]) for p in again)
-        self.learn(list(missing.difference(again)))
-        get = self.known.__getitem__
-        return [head + b"".join(map(get, parts)) for head, parts in zip(heads, cut, strict=True)]
+        self.learn(missing.difference(again))
+        known = self.known
+        return [head + b"".join([known[p] if d is None else d for p, d in zip(parts, ids, strict=True)] if None in ids else ids) for head, parts, ids in zip(heads, cut, found, strict=True)]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
