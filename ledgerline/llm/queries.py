@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.tables import fresh_path, table
 
+from .conversation_queries import OP12_SQL, OP13_SQL, op12, op13
 from .decontaminate import find_leaks
 from .jaccard import Rule, jaccard_components
 from .licences import scan_licences
@@ -159,3 +160,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = [k for k, *_ in BASE]
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds]
     return scan_secrets(table(spark, sf_dir, "documents")).select("doc_id", *counts, F.sha2(joined(of(*kinds)), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+query("op12_structure_repair", OP12_SQL)(op12)
+query("op13_prefix_trie", OP13_SQL)(op13)
