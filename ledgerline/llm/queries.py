@@ -12,6 +12,9 @@ from ledgerline.tables import fresh_path, table
 from .conversation_queries import OP12_SQL, OP13_SQL, op12, op13
 from .decontaminate import find_leaks
 from .jaccard import Rule, jaccard_components
+from .language import identify_language
+from .language import remainder as language_fold
+from .language import train as train_language
 from .licences import scan_licences
 from .licences import train as train_licences
 from .lines import dedup_lines
@@ -162,5 +165,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).select("doc_id", *counts, F.sha2(joined(of(*kinds)), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+@query("op11_language_id")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify_language(docs, train_language(docs))
+    held_out = F.coalesce(language_fold(F.col("doc_id")) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 query("op12_structure_repair", OP12_SQL)(op12)
 query("op13_prefix_trie", OP13_SQL)(op13)
