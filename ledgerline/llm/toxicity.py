@@ -144,65 +144,72 @@ class Scorer:
         return np.log(ahead) + np.log(back)
 
 
-def token_labels(texts: list[list[str]], toxic: np.ndarray) -> list[np.ndarray]:
-    """Labelled tokens from labelled documents: in a toxic one, the words that set toxic documents apart.
+def token_labels(docs: list[np.ndarray], of_word: list[list[str]], toxic: np.ndarray) -> list[np.ndarray]:
+    """Labelled tokens from labelled documents (arrays of word numbers): in a toxic one, the words that set toxic ones apart.
 
     A word counts by its best tag that is at least twenty times as frequent in toxic documents; of a document's words,
     those with at least a third of its best support are toxic, so chance words beside a strong one stay clean.
     """
     seen = [Counter(), Counter()]
-    for tokens, y in zip(texts, toxic, strict=True):
-        seen[y].update({t for w in set(tokens) for t in tags(w)})
+    for words, y in zip(docs, toxic, strict=True):
+        seen[y].update({t for w in np.unique(words).tolist() for t in of_word[w]})
     n = [int((toxic == y).sum()) for y in (0, 1)]
     floor = 3 if n[1] >= 20 else 2
     strong = {t: k for t, k in seen[1].items() if k >= floor and (k + 0.5) / (n[1] + 1) >= 20 * (seen[0][t] + 0.5) / (n[0] + 1)}
+    best = np.array([max((strong.get(t, 0) for t in ts), default=0) for ts in of_word], np.int32)
     out = []
-    for tokens, y in zip(texts, toxic, strict=True):
-        support = np.array([max((strong.get(t, 0) for t in tags(w)), default=0) for w in tokens]) if y and strong else np.zeros(len(tokens))
+    for words, y in zip(docs, toxic, strict=True):
+        support = best[words] if y and strong else np.zeros(len(words), np.int32)
         out.append(support >= max(floor, support.max(initial=0) / 3))
     return out
 
 
 def fit(texts: list[str], toxic: np.ndarray, share: np.ndarray, steps: int = 60, clean_windows: int = 2, window: int = 32) -> Model:
-    """Learn from whole documents. ``share``: how many documents each one stands for in the calibration."""
+    """Learn from whole documents. ``share``: how many documents each one stands for in the calibration.
+
+    Words are numbered once; a training token is three word numbers (its own and its neighbours'), so a step sums
+    features per word and not per token.
+    """
     rng = np.random.default_rng(7)
-    tokens = [[w.lower() for w in WORD.findall(t)] for t in texts]
-    labels = token_labels(tokens, toxic)
+    number: dict[str, int] = {}
+    docs = [np.fromiter((number.setdefault(w.lower(), len(number)) for w in WORD.findall(t)), np.int32) for t in texts]
+    words = list(number)
+    labels = token_labels(docs, [tags(w) for w in words], toxic)
     model = Model(np.zeros(1 << BITS), np.array([0.0, -2.0, 0.0, 0.0, -2.0]), -4.0, np.array([-2.0, 0.2, 0.0]))
     if not any(x.any() for x in labels):
         base = float((share * toxic).sum() / max(share.sum(), 1e-9))
         model.document = np.array([np.log((base + 1e-3) / (1 - base + 1e-3)), 0.0, 0.0])
         return model
-    # Training stretches: all with a toxic token, and some of every clean document.
-    own, pair, y, first = [], [], [], []
-    for words, marks in zip(tokens, labels, strict=True):
-        starts = np.arange(0, len(words), window)
+    # Training stretches: all with a toxic token, and some of every clean document. -1: no neighbour.
+    own, left, right, y, first = [], [], [], [], []
+    for doc, marks in zip(docs, labels, strict=True):
+        starts = np.arange(0, len(doc), window)
         hit = [s for s in starts if marks[s : s + window].any()]
         rest = [s for s in starts if not marks[s : s + window].any()]
         for s in [*hit, *rng.permutation(rest)[:clean_windows].astype(int)]:
-            for k in range(s, min(s + window, len(words))):
-                own.append(words[k])
-                pair.append((words[k - 1] if k > s else "", words[k + 1] if k + 1 < min(s + window, len(words)) else ""))
-                y.append(marks[k])
-                first.append(k == s)
-    known = {w: slots(w) for w in set(own)}
-    width = max(len(v[0]) for v in known.values())
-    pad = 1 << BITS  # a feature that is always zero
-    x = np.full((len(own), width + 2), pad)
-    for i, (w, (before, after)) in enumerate(zip(own, pair, strict=True)):
-        s = known[w][0]
-        x[i, : len(s)] = s
-        if before:
-            x[i, width] = known[before][1]
-        if after:
-            x[i, width + 1] = known[after][2]
-    y, first = np.array(y, float), np.array(first)
+            part = doc[s : s + window]
+            own.append(part)
+            left.append(np.append(np.int32(-1), part[:-1]))
+            right.append(np.append(part[1:], np.int32(-1)))
+            y.append(marks[s : s + window])
+            first.append(np.arange(len(part)) == 0)
+    own, left, right, y, first = (np.concatenate(x) for x in (own, left, right, y, first))
+    used, own = np.unique(own, return_inverse=True)
+    place = np.full(len(words) + 1, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    own, left, right, y = own.astype(np.int32), place[left], place[right], y.astype(np.float32)
+    known = [slots(words[w]) for w in used]
+    pad, count = 1 << BITS, len(used)  # pad: a feature that is always zero
+    x = np.full((count, max(len(k[0]) for k in known)), pad, np.int32)
+    for i, k in enumerate(known):
+        x[i, : len(k[0])] = k[0]
+    before, after = (np.array([*(k[j] for k in known), pad], np.int32) for j in (1, 2))  # the last one: no neighbour
     weights, moment, speed = (np.zeros(pad + 6) for _ in range(3))
     weights[pad + 1 :] = [model.bias, *model.trans[1:]]
     for step in range(1, steps + 1):
         w = weights[: pad + 1]
         trans = np.concatenate([[0.0], weights[pad + 2 :]])
-        score = w[x].sum(1) + weights[pad + 1]
+        score = w[x].sum(1)[own] + w[before][left] + w[after][right] + weights[pad + 1]
         ahead, back = forward_backward(score, first, trans)
         p = ahead * back / (1 + ahead * back)
         # Pairs of neighbours: expected minus seen.
@@ -214,7 +221,10 @@ def fit(texts: list[str], toxic: np.ndarray, share: np.ndarray, steps: int = 60,
         u, v = y[inner - 1], y[inner]
         seen = np.stack([(1 - u) * (1 - v), (1 - u) * v, u * (1 - v), u * v])
         grad = np.empty_like(weights)
-        grad[: pad + 1] = np.bincount(x.ravel(), np.repeat(p - y, x.shape[1]), pad + 1)
+        of_word = np.bincount(own, p - y, count)
+        grad[: pad + 1] = np.bincount(x.ravel(), np.repeat(of_word, x.shape[1]), pad + 1)
+        for neighbour, feature in ((left, before), (right, after)):
+            grad[: pad + 1] += np.bincount(feature, np.bincount(neighbour + 1, p - y, count + 1)[np.append(np.arange(1, count + 1), 0)], pad + 1)
         grad[pad] = 0.0
         grad[pad + 1] = (p - y).sum()
         grad[pad + 2 : pad + 5] = (joint - seen).sum(1)[1:]
@@ -223,9 +233,15 @@ def fit(texts: list[str], toxic: np.ndarray, share: np.ndarray, steps: int = 60,
         moment, speed = 0.9 * moment + 0.1 * grad, 0.99 * speed + 0.01 * grad * grad
         weights -= 0.15 * (moment / (1 - 0.9**step)) / (np.sqrt(speed / (1 - 0.99**step)) + 1e-6)
     model = Model(weights[:pad].astype(np.float32), np.concatenate([[0.0], weights[pad + 2 :]]), float(weights[pad + 1]), model.document)
-    scorer, facts = Scorer(model), []
-    for words in tokens:
-        facts.append(evidence(scorer.logits(words, np.array([len(words)])), np.array([len(words)])))
+    del own, left, right, x, y, weights, moment, speed
+    scorer, facts, at = Scorer(model), [], 0
+    while at < len(docs):  # some hundred thousand tokens at a time
+        stop = at + 1
+        while stop < len(docs) and sum(map(len, docs[at : stop + 1])) <= 200_000 and stop - at < 200:
+            stop += 1
+        sizes = np.array([len(d) for d in docs[at:stop]], np.int64)
+        facts.append(evidence(scorer.logits([words[w] for d in docs[at:stop] for w in d.tolist()], sizes), sizes))
+        at = stop
     model.document = logistic(np.concatenate(facts), toxic.astype(float), share)
     return model
 
@@ -244,46 +260,69 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 3000, longest: int = 1 << 20) -> Model:
+MODEL = "weights binary, trans array<double>, bias double, document array<double>"
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 3000, most_bytes: int = 32 << 20) -> Model:
     """Fit on a bounded sample of the labelled rows that are not held out.
 
-    At most about ``sample`` documents, a third of them toxic where there are so many, chosen by a hash of the id; whole
-    texts, none over ``longest`` bytes. Only their ids are broadcast, so texts are filtered where they are scanned. An
-    id with several labels counts as toxic if one says so; null labels and texts teach nothing.
+    At most about ``sample`` documents, a third of them toxic where there are so many, chosen and ordered by a hash of
+    the id, and of these as many as ``most_bytes`` of whole texts hold. Only their ids are broadcast, so texts are
+    filtered where they are scanned; one task fits, and only the model (a megabyte) reaches the driver. An id with
+    several labels counts as toxic if one says so; null labels and texts teach nothing. Without labelled texts, or on
+    an empty table, every score is the same.
     """
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
     known = known.where(F.col("id").isNotNull() & (remainder(F.col("id")) != 1))
     count = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     bound = {1: sample // 3, 0: sample - sample // 3}
     rate = F.when(F.col("y") == 1, F.lit(bound[1] / max(1, count.get(1, 0)))).otherwise(F.lit(bound[0] / max(1, count.get(0, 0))))
-    picked = known.where(F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 20)) < rate * (1 << 20)).limit(2 * sample)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") <= longest)
-    got = rows.join(F.broadcast(picked), "id").toArrow()
-    order = np.argsort(got.column("id").to_numpy(), kind="stable")
-    got = got.take(pa.array(order))
-    # Copies would outvote other words: one document of each smallest five-word hash teaches.
-    text, y, seen = got.column("text").to_pylist(), got.column("y").to_numpy(), set()
-    keep = []
-    for i, t in enumerate(text):
-        words = t.lower().split()
-        mark = min((xxhash.xxh64_intdigest(" ".join(words[k : k + 5])) for k in range(max(1, len(words) - 4))), default=0)
-        if (mark, int(y[i])) not in seen:
-            seen.add((mark, int(y[i])))
-            keep.append(i)
-    text, y = [text[i] for i in keep], y[keep].astype(int)
-    share = np.where(y == 1, count.get(1, 0) / max(1, int((y == 1).sum())), count.get(0, 0) / max(1, int((y == 0).sum())))
-    return fit(text, y, share)
+    order = F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 20))
+    picked = known.where(order < rate * (1 << 20)).limit(2 * sample)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") <= most_bytes // 16)
+    got = rows.join(F.broadcast(picked), "id").select(order.alias("at"), F.col("id").cast("long").alias("id"), "text", F.col("y").cast("int").alias("y"))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = fit_sample(batches, count, most_bytes)
+        yield pa.RecordBatch.from_pylist([{"weights": model.weights.astype("<f4").tobytes(), "trans": model.trans.tolist(), "bias": float(model.bias), "document": model.document.tolist()}], names_of(MODEL))
+
+    row = got.repartition(1).sortWithinPartitions("at", "id", "text").mapInArrow(learn, MODEL).first()
+    return Model(np.frombuffer(row["weights"], "<f4"), np.array(row["trans"]), row["bias"], np.array(row["document"]))
+
+
+def names_of(ddl: str) -> pa.Schema:
+    kinds = {"binary": pa.binary(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}
+    return pa.schema([(n, kinds[k]) for n, k in (field.split(" ") for field in ddl.split(", "))])
+
+
+def fit_sample(batches: Iterator[pa.RecordBatch], count: dict[int, int], most_bytes: int) -> Model:
+    """Fit on (at, id, text, y) as far as ``most_bytes`` go. Copies would outvote other words: one document of each
+    smallest five-word hash teaches."""
+    text, y, seen, held = [], [], set(), 0
+    for batch in batches:
+        for t, label in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            words = t.lower().split()
+            mark = min((xxhash.xxh64_intdigest(" ".join(words[k : k + 5])) for k in range(max(1, len(words) - 4))), default=0)
+            if (mark, label) not in seen and held + len(t) <= most_bytes:
+                seen.add((mark, label))
+                held += len(t)
+                text.append(t)
+                y.append(label)
+    toxic = np.array(y, int)
+    share = np.where(toxic == 1, count.get(1, 0) / max(1, int((toxic == 1).sum())), count.get(0, 0) / max(1, int((toxic == 0).sum())))
+    return fit(text, toxic, share)
 
 
 _scorers: dict[int, Scorer] = {}
 
 
-def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", span_from: float = 0.5) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", span_from: float = 0.5, carry: bool = False) -> DataFrame:
     """(doc_id, score, spans) of every document; spans are stretches of tokens with a marginal of at least ``span_from``.
 
     The score is the calibrated chance of the label. Whole texts are one chain each. A null or empty text, or one
     without words, has no spans and the score of no evidence. Repeated rows are scored each for itself; an empty table
-    gives an empty one. Nothing is shuffled; a task holds one piece of a batch at a time.
+    gives an empty one; other columns do not matter. ``carry`` adds the whole input row as ``row``, so a caller that
+    filters by score needs no join. Nothing is shuffled; a task holds one piece of a batch at a time.
     """
     key = int(xxhash.xxh32_intdigest(model.weights.tobytes() + model.document.tobytes()))
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -295,6 +334,9 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
         scorer = _scorers[key]
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("p", pa.float64())]))
         for whole in batches:
+            if carry:
+                row = whole.column(1)
+                whole = pa.RecordBatch.from_arrays([whole.column(0), row.field(row.type.get_field_index(text_col)), row], names=["doc_id", "text", "row"])
             for batch in pieces(whole, "text"):
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 words = [WORD.findall(t) for t in texts]
@@ -306,9 +348,14 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
                 for text, n in zip(texts, sizes.tolist(), strict=True):
                     spans.append(toxic_spans(text, hot[at : at + n], logit[at : at + n]))
                     at += n
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array(spans, kind)], names=["doc_id", "score", "spans"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+                arrays = [batch.column(0), pa.array(scores), pa.array(spans, kind), *([batch.column(2)] if carry else [])]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "score", "spans", *(["row"] if carry else [])])
+
+    name = F.col(id_col).cast("long").alias("doc_id")
+    if carry:
+        row = F.struct(*docs.columns).alias("row")
+        return docs.select(name, row).mapInArrow(run, f"{SCHEMA}, row {docs.schema.simpleString()}")
+    return docs.select(name, F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
 
 
 def toxic_spans(text: str, hot: np.ndarray, logit: np.ndarray) -> list[dict]:
