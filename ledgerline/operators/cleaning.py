@@ -45,13 +45,13 @@ def drop_all_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if known[c] > 0])
 
 
-def impute(df: DataFrame, how: Mapping[str, object]) -> DataFrame:
+def impute(df: DataFrame, how: Mapping[str, object], stored: bool = False) -> DataFrame:
     """Fill nulls with ``"median"``, ``"mean"`` or a constant. Statistics join in as scalar subqueries."""
     medians = [c for c, h in how.items() if h == "median"]
     means = [c for c, h in how.items() if h == "mean"]
     fill: dict[str, Column] = {c: F.lit(h) for c, h in how.items() if h not in ("median", "mean")}
     if medians:
-        q = quantile_scalars(df, medians, [0.5])
+        q = quantile_scalars(df, medians, [0.5], stored)
         fill |= {c: q.getField(f"{c}_q")[0] for c in medians}
     if means:
         m = df.agg(F.struct(*[F.avg(c).alias(c) for c in means]).alias("s")).scalar()
@@ -99,21 +99,21 @@ def require(df: DataFrame, columns: Sequence[str], rules: Mapping[str, Column] |
     return df
 
 
-def clip_iqr(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
-    lo, hi = iqr_fences(df, [col], k)[col]
+def clip_iqr(df: DataFrame, col: str, k: float = 1.5, stored: bool = False) -> DataFrame:
+    lo, hi = iqr_fences(df, [col], k, stored)[col]
     return df.withColumn(col, clip(F.col(col), lo, hi))
 
 
-def drop_iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
+def drop_iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, stored: bool = False) -> DataFrame:
     """Keep rows inside every column's fences; all fences come from the unfiltered frame."""
-    for c, (lo, hi) in iqr_fences(df, cols, k).items():
+    for c, (lo, hi) in iqr_fences(df, cols, k, stored).items():
         df = df.where(F.col(c).between(lo, hi))
     return df
 
 
-def label_iqr_outliers(df: DataFrame, a: str, b: str, k: float = 1.5) -> DataFrame:
+def label_iqr_outliers(df: DataFrame, a: str, b: str, k: float = 1.5, stored: bool = False) -> DataFrame:
     """``outlier``: -1 only b, -2 only a, -3 both, 0 neither."""
-    fences = iqr_fences(df, [a, b], k)
+    fences = iqr_fences(df, [a, b], k, stored)
     out = {c: ~F.col(c).between(*fences[c]) for c in (a, b)}
     label = F.when(out[a] & out[b], -3).when(out[a], -2).when(out[b], -1).otherwise(0)
     return df.withColumn("outlier", label)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -225,57 +225,114 @@ def stratified_split(df: DataFrame, key: str, by: Sequence[str], shares: Mapping
     return ranked.withColumn("part", part.otherwise(names[-1])).drop("pos", "size")
 
 
-def near_neighbours(points: DataFrame, key: str, k: int, cell_rows: int, projections: int, seed: int) -> DataFrame:
+NEAR = "array<struct<dist:double,near:bigint,nv:array<double>>>"
+
+
+def _nearest(x: np.ndarray, ids: np.ndarray, y: np.ndarray, others: np.ndarray, k: int, within: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each row of ``x`` that has any: the k nearest rows of ``y`` no farther than ``within`` (squared), itself left out."""
+    sizes, norms = (x * x).sum(1), (y * y).sum(1)
+    for at in range(0, len(x), 256):
+        rough = sizes[at : at + 256, None] + norms[None, :] - 2 * x[at : at + 256] @ y.T
+        rough[ids[at : at + 256, None] == others[None, :]] = np.inf
+        # Rounding of the product form must not hide a neighbour: candidates have slack, then are measured anew.
+        slack = 1e-9 * (1 + sizes[at : at + 256] + norms.max())
+        bound = np.minimum(np.partition(rough, min(k, len(y)) - 1, axis=1)[:, min(k, len(y)) - 1], within[at : at + 256]) + slack
+        for i in np.flatnonzero((rough <= bound[:, None]).any(1)):
+            close = np.flatnonzero(rough[i] <= bound[i])
+            close = close[np.isfinite(rough[i, close])]
+            dist = np.round(((y[close] - x[at + i]) ** 2).sum(1), 9)
+            order = np.lexsort((others[close], dist))[:k]
+            yield at + i, dist[order], close[order]
+
+
+def near_neighbours(points: DataFrame, key: str, k: int, block_rows: int = 2000, pivots: int = 32) -> DataFrame:
     """(key, near): the k nearest other points of each, as structs (dist, near, nv) in order; ``points`` has (key, v).
 
-    Points are ranked along each of several random projections and cut into cells of ``cell_rows`` by rank, so a
-    cell's size does not depend on how the vectors crowd. A cell also sees the quarter of a cell on either side, so
-    every point meets that many others at least. The best of all projections stay; up to one cell of points they are
-    the exact neighbours. Ties go to the smaller key.
+    Exact at every size. Points are sorted by nearest pivot and distance to it and cut into blocks of ``block_rows``.
+    Inside its block each point finds k neighbours, which bound how far the others may lie. A block knows its least and
+    largest distance to each pivot; by the triangle inequality a pair of blocks whose ranges are farther apart than the
+    first block's bound cannot hold a neighbour and is left out. Every other pair is searched by a task of its own, and
+    partial lists merge by key. Equal distances (to nine places) go to the smaller key.
+
+    A task holds two blocks, a row carries a block as one binary value. In high dimensions distances are alike and few
+    pairs are left out: the work is then that of all pairs of blocks, side by side.
     """
-    edge = max(k, cell_rows // 4)
-    first = points.select(F.size("v").alias("w")).first()
-    directions = np.random.default_rng(seed).normal(size=(projections, first["w"] if first else 0))
-    rays = F.array(*[F.array(*map(F.lit, map(float, d))) for d in directions])
-    shown = points.select(key, "v", F.posexplode(rays).alias("ray", "d"))
-    ranked = shown.select(key, "v", "ray", F.aggregate(F.zip_with("v", "d", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x).alias("p"))
-    ranked = global_position(ranked, "ray", "p", key).drop("p")
-    starts = ranked.groupBy("ray").agg(F.min("pos").alias("start"), F.max("pos").alias("stop"))  # one row per projection
-    place = F.col("pos") - F.col("start")
-    cell, inside, last = F.floor(place / cell_rows), F.pmod(place, F.lit(cell_rows)), F.floor((F.col("stop") - F.col("start")) / cell_rows)
-    before = F.when((inside < edge) & (cell > 0), F.struct((cell - 1).alias("cell"), F.lit(False).alias("mine")))
-    after = F.when((inside >= cell_rows - edge) & (cell < last), F.struct((cell + 1).alias("cell"), F.lit(False).alias("mine")))
-    own = F.struct(cell.alias("cell"), F.lit(True).alias("mine"))
-    cells = ranked.join(F.broadcast(starts), "ray").select(key, "v", "ray", F.inline(F.array_compact(F.array(before, own, after))))
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, ids = np.stack(pdf["v"].to_numpy()).astype(float), pdf[key].to_numpy()
-        norms, out = (x * x).sum(1), []
-        own = np.flatnonzero(pdf["mine"].to_numpy())
-        for at in range(0, len(own) if len(x) > 1 else 0, 256):
-            rows = own[at : at + 256]
-            rough = norms[rows][:, None] + norms[None, :] - 2 * x[rows] @ x.T
-            rough[np.arange(len(rows)), rows] = np.inf
-            bound = np.partition(rough, min(k, len(x) - 1) - 1, axis=1)[:, min(k, len(x) - 1) - 1]
-            for i, r in enumerate(rows):
-                close = np.flatnonzero(rough[i] <= bound[i] + 1e-9 * (1 + norms[r] + norms.max()))
-                close = close[close != r]
-                dist = np.round(((x[close] - x[r]) ** 2).sum(1), 9)
-                order = np.lexsort((ids[close], dist))[:k]
-                out += [(ids[r], d, ids[j], x[j]) for d, j in zip(dist[order], close[order], strict=True)]
-        return pd.DataFrame(out, columns=[key, "dist", "near", "nv"])
-
-    found = cells.groupBy("ray", "cell").applyInPandas(search, f"{key} bigint, dist double, near bigint, nv array<double>")
-    return found.groupBy(key).agg(F.slice(F.array_sort(F.collect_set(F.struct("dist", "near", "nv"))), 1, k).alias("near"))
+    spark = points.sparkSession
+    chosen = points.orderBy(F.xxhash64(key), key).limit(pivots).select("v").collect()
+    if not chosen:
+        return points.select(key, F.array().cast(NEAR).alias("near"))
+    posts = np.array([r["v"] for r in chosen], float)
+
+    def to_posts(x: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(0, (x * x).sum(1)[:, None] + (posts * posts).sum(1)[None, :] - 2 * x @ posts.T))
+
+    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            if len(pdf):
+                d = to_posts(np.stack(pdf["v"].to_numpy()).astype(float))
+                yield pdf.assign(post=d.argmin(1), away=d.min(1))
+
+    placed = points.select(key, "v").mapInPandas(assign, f"{key} bigint, v array<double>, post int, away double")
+    placed = global_position(placed, "post", "away", key).withColumn("blk", F.floor(F.col("pos") / block_rows))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, ids = np.stack(pdf["v"].to_numpy()).astype(float), pdf[key].to_numpy(np.int64)
+        d = to_posts(x)
+        far = np.full(len(x), np.inf)
+        rows = [[] for _ in range(len(x))]
+        for i, dist, close in _nearest(x, ids, x, ids, k, far.copy()):
+            rows[i] = [{"dist": a, "near": int(ids[j]), "nv": x[j].tolist()} for a, j in zip(dist, close, strict=True)]
+            if len(dist) == k:
+                far[i] = dist[-1]
+        return pd.DataFrame([{"blk": pdf["blk"].iloc[0], "ids": ids.tobytes(), "data": x.tobytes(), "far": far.tobytes(), "lo": d.min(0).tolist(), "hi": d.max(0).tolist(), "reach": float(np.sqrt(far.max())), "found": rows}])
+
+    shape = f"blk bigint, ids binary, data binary, far binary, lo array<double>, hi array<double>, reach double, found array<{NEAR}>"
+    blocks = materialise(placed.groupBy("blk").applyInPandas(pack, shape), "blocks")
+    # Pairs of blocks: a thousand blocks' ranges stand in one row, which each block meets by its number.
+    ranges = blocks.select("blk", "lo", "hi", "reach").withColumn("bundle", F.floor(F.col("blk") / 1000))
+    bundles = ranges.groupBy("bundle").agg(F.collect_list(F.struct("blk", "lo", "hi")).alias("others"))
+    last = ranges.agg(F.max("bundle").alias("m")).scalar()
+
+    def apart(other: Column) -> Column:
+        above = F.zip_with(other["lo"], F.col("hi"), lambda x, y: x - y)
+        below = F.zip_with(F.col("lo"), other["hi"], lambda x, y: x - y)
+        return F.greatest(F.array_max(above), F.array_max(below))
+
+    # Ranges come from products: a little slack keeps pairs that rounding would part.
+    meets = ranges.withColumn("bundle", F.explode(F.sequence(F.lit(0).cast("long"), last))).join(bundles, "bundle")
+    near_by = F.filter("others", lambda o: (o["blk"] != F.col("blk")) & (apart(o) <= F.col("reach") * (1 + 1e-9) + 1e-6))
+    pairs = meets.select("blk", F.explode(F.transform(near_by, lambda o: o["blk"])).alias("other"))
+    sides = blocks.select("blk", "ids", "data", "far")
+    meeting = pairs.join(sides, "blk").join(sides.select(F.col("blk").alias("other"), F.col("ids").alias("oids"), F.col("data").alias("odata")), "other")
+
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for r in pdf.itertuples(index=False):
+                ids, others = np.frombuffer(r.ids, np.int64), np.frombuffer(r.oids, np.int64)
+                x, y, far = np.frombuffer(r.data).reshape(len(ids), -1), np.frombuffer(r.odata).reshape(len(others), -1), np.frombuffer(r.far)
+                out = [(ids[i], [{"dist": a, "near": int(others[j]), "nv": y[j].tolist()} for a, j in zip(dist, close, strict=True)]) for i, dist, close in _nearest(x, ids, y, others, k, far)]
+                yield pd.DataFrame(out, columns=[key, "found"])
+
+    kind = f"{key} bigint, found {NEAR}"
+    across = meeting.select("ids", "data", "far", "oids", "odata").mapInPandas(search, kind)
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for ids, found in zip(pdf["ids"], pdf["found"], strict=True):
+                yield pd.DataFrame({key: np.frombuffer(ids, np.int64), "found": [[] if f is None else list(f) for f in found]})
+
+    own = blocks.select("ids", "found").mapInPandas(unpack, kind)
+    every = own.unionByName(across).groupBy(key).agg(F.flatten(F.collect_list("found")).alias("all"))
+    return every.select(key, F.slice(F.array_sort("all"), 1, k).alias("near"))
 
 
 def oversample_interpolated(
-    df: DataFrame, key: str, vector: str, label: str, minority, ratio: float, k: int = 5, cell_rows: int = 2000, projections: int = 3, seed: int = 42
+    df: DataFrame, key: str, vector: str, label: str, minority, ratio: float, k: int = 5, block_rows: int = 2000
 ) -> DataFrame:
-    """(origin, copy, near, v, label): synthetic minority rows between a row and one of its k near neighbours.
+    """(origin, copy, near, v, label): synthetic minority rows between a row and one of its k nearest neighbours.
 
     Enough rows are made to bring minority / majority to ``ratio``: the whole share for every minority row, the
-    remainder by hashed position. Neighbour and place on the line come from the hash of (origin, copy), so reruns give
+    remainder by hashed position. The neighbours are exact at every size. Neighbour and place on the line come from the hash of (origin, copy), so reruns give
     the same rows. Equal vectors count as one point and are not each other's neighbours: no made row is a copy. Rows
     without a vector take no part; with fewer than two different vectors nothing is made.
     """
@@ -287,7 +344,7 @@ def oversample_interpolated(
     copies = F.floor(wanted / few) + (F.col("pos") <= wanted % few).cast("long")
     ranked = hashed_position(small, key).select(F.col(key).alias("origin"), "v", copies.alias("copies")).where("copies > 0")
     points = materialise(small.groupBy("v").agg(F.min(key).alias("point")), "points")
-    near = points.join(near_neighbours(points, "point", k, cell_rows, projections, seed), "point").select("v", F.col("near").alias("l"))
+    near = points.join(near_neighbours(points, "point", k, block_rows), "point").select("v", F.col("near").alias("l"))
     rows = ranked.join(near, "v").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     h = F.md5(F.concat_ws(":", F.col("origin").cast("string"), F.col("copy").cast("string")))
     number = [F.conv(F.substring(h, at, 8), 16, 10).cast("long") for at in (1, 9)]

@@ -166,7 +166,7 @@ from events group by all""",
 def a14(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_type", "value")
     moments = ev.groupBy("event_type").agg(F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev_samp("value"), 6).alias("std"))
-    q = exact_quantiles(ev, ["value"], [0.25, 0.5, 0.75], ["event_type"])
+    q = exact_quantiles(ev, ["value"], [0.25, 0.5, 0.75], ["event_type"], stored=True)
     return q.join(moments, "event_type").select(
         "event_type", "n", "mean", "std", "low", *[F.round(F.col("q")[i], 6).alias(f"q{i + 1}") for i in range(3)], "high"
     )
@@ -178,7 +178,7 @@ def a14(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def a15(spark: SparkSession, sf_dir: str) -> DataFrame:
     probs = [0.01, 0.1, 0.33, 0.5, 0.66, 0.9, 0.99]
-    q = exact_quantiles(table(spark, sf_dir, "orders"), ["o_totalprice"], probs)
+    q = exact_quantiles(table(spark, sf_dir, "orders"), ["o_totalprice"], probs, stored=True)
     return q.select(*[F.round(F.col("q")[i], 6).alias(f"p{int(p * 100)}") for i, p in enumerate(probs)])
 
 
@@ -229,7 +229,7 @@ from events join q using (event_type) group by event_type""",
 )
 def a18(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_type", "value")
-    box = materialise(exact_quantiles(ev, ["value"], [0.25, 0.5, 0.75], ["event_type"]), "box")
+    box = materialise(exact_quantiles(ev, ["value"], [0.25, 0.5, 0.75], ["event_type"], stored=True), "box")
     spread = (F.col("q")[2] - F.col("q")[0]) * 1.5
     inside = ev.join(box.select("event_type", "q"), "event_type").groupBy("event_type").agg(
         F.min(F.when(F.col("value") >= F.col("q")[0] - spread, F.col("value"))).alias("whisker_low"),
@@ -362,8 +362,8 @@ q as (select quantile_cont(mean_sales, 0.33) as lo, quantile_cont(mean_sales, 0.
 select brand, round(mean_sales, 4) as mean_sales, case when mean_sales <= lo then 'low' when mean_sales <= hi then 'mid' else 'high' end as tier from m, q""",
 )
 def a30(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = brand_days(spark, sf_dir).groupBy("brand").agg(F.avg("sales").alias("mean_sales"))
-    q = quantile_scalars(means, ["mean_sales"], [0.33, 0.66]).getField("mean_sales_q")
+    means = materialise(brand_days(spark, sf_dir).groupBy("brand").agg(F.avg("sales").alias("mean_sales")), "means")
+    q = quantile_scalars(means, ["mean_sales"], [0.33, 0.66], stored=True).getField("mean_sales_q")
     tier = F.when(F.col("mean_sales") <= q[0], "low").when(F.col("mean_sales") <= q[1], "mid").otherwise("high")
     return means.select("brand", F.round("mean_sales", 4).alias("mean_sales"), tier.alias("tier"))
 
@@ -506,8 +506,8 @@ select case when monetary <= lo then 'low' when monetary <= hi then 'mid' else '
 round(avg(frequency), 4) as frequency, round(avg(monetary), 4) as monetary from rfm, q group by 1""",
 )
 def a40(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = a28(spark, sf_dir)
-    q = quantile_scalars(r, ["monetary"], [0.33, 0.66]).getField("monetary_q")
+    r = materialise(a28(spark, sf_dir), "rfm")
+    q = quantile_scalars(r, ["monetary"], [0.33, 0.66], stored=True).getField("monetary_q")
     tier = F.when(F.col("monetary") <= q[0], "low").when(F.col("monetary") <= q[1], "mid").otherwise("high")
     return r.withColumn("tier", tier).groupBy("tier").agg(F.count("*").alias("n"), *[F.round(F.avg(c), 4).alias(c) for c in ("recency", "frequency", "monetary")])
 

@@ -11,7 +11,7 @@ from ledgerline.operators.relational import attach, oldest
 from ledgerline.plans.aggregates import RFM_SQL, a28
 from ledgerline.plans.common import DAILY, brand_days
 from ledgerline.registry import query
-from ledgerline.tables import table
+from ledgerline.tables import materialise, table
 
 # Nulls are injected the same way on both sides: the tables hold none.
 HOLES = "holes as (select event_id, ts, user_id, event_type, case when event_id % 7 <> 0 then value end as value, case when event_id % 5 <> 0 then user_id end as visitor from events)"
@@ -214,7 +214,7 @@ FENCE = "select quantile_cont({c}, 0.25) - {k} * (quantile_cont({c}, 0.75) - qua
 
 @query("pr20_clip_iqr", f"with f as ({FENCE.format(c='o_totalprice', k='0.5::double', t='orders')}) select o_orderkey, round(least(greatest(o_totalprice, lo), hi), 6) as o_totalprice from orders, f")
 def pr20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.clip_iqr(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", 0.5).withColumn("o_totalprice", F.round("o_totalprice", 6))
+    return C.clip_iqr(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", 0.5, stored=True).withColumn("o_totalprice", F.round("o_totalprice", 6))
 
 
 @query(
@@ -222,7 +222,7 @@ def pr20(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"with {RFM_SQL}, a as ({FENCE.format(c='frequency', k='1.5::double', t='rfm')}), b as ({FENCE.format(c='monetary', k='1.5::double', t='rfm')}) select rfm.* from rfm, a, b where frequency between a.lo and a.hi and monetary between b.lo and b.hi",
 )
 def pr21(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.drop_iqr_outliers(a28(spark, sf_dir), ["frequency", "monetary"])
+    return C.drop_iqr_outliers(materialise(a28(spark, sf_dir), "rfm"), ["frequency", "monetary"], stored=True)
 
 
 LABELLED = f"""{RFM_SQL}, a as ({FENCE.format(c='frequency', k='1.5::double', t='rfm')}), b as ({FENCE.format(c='monetary', k='1.5::double', t='rfm')}),
@@ -232,7 +232,7 @@ labelled as (select * exclude (fo, mo), (case when fo and mo then -3 when fo the
 
 @query("pr22_label_iqr_outliers", f"with {LABELLED} select o_custkey, frequency, monetary, outlier from labelled")
 def pr22(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.label_iqr_outliers(a28(spark, sf_dir), "frequency", "monetary").select("o_custkey", "frequency", "monetary", "outlier")
+    return C.label_iqr_outliers(materialise(a28(spark, sf_dir), "rfm"), "frequency", "monetary", stored=True).select("o_custkey", "frequency", "monetary", "outlier")
 
 
 @query(

@@ -260,9 +260,9 @@ def q13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers by segment: outliers by their own labels, the rest by spend and recency tiers."""
     # Read many times below, so the customer-level tables are written once each.
     customers = materialise(a28(spark, sf_dir), "rfm")
-    r = materialise(label_iqr_outliers(customers, "frequency", "monetary"), "rfm-labelled")
+    r = materialise(label_iqr_outliers(customers, "frequency", "monetary", stored=True), "rfm-labelled")
     usual = r.where(F.col("outlier") == 0)
-    q = quantile_scalars(usual, ["monetary", "recency"], [0.33, 0.5, 0.66])
+    q = quantile_scalars(usual, ["monetary", "recency"], [0.33, 0.5, 0.66], stored=True)
     low, high = q.getField("monetary_q")[0], q.getField("monetary_q")[2]
     middle = q.getField("recency_q")[1]
     segment = (

@@ -9,7 +9,7 @@ from ledgerline.functions import text as X
 from ledgerline.operators import corpus as K
 from ledgerline.operators.quantiles import exact_quantiles
 from ledgerline.registry import query
-from ledgerline.tables import place, spread, table
+from ledgerline.tables import materialise, place, spread, table
 
 WS = r"[ \t\n\r\f\x0B]"
 
@@ -279,6 +279,7 @@ from documents join labels using (doc_id) group by 1""",
 )
 def t17(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = docs(spark, sf_dir).select("doc_id", F.length("text").alias("size")).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    sized = materialise(sized.select("quality", "size"), "sizes")
     moments = sized.groupBy("quality").agg(F.round(F.avg("size"), 6).alias("mean"), F.round(F.stddev_samp("size"), 6).alias("std"))
-    q = exact_quantiles(sized, ["size"], [0.25, 0.5, 0.75], ["quality"])
+    q = exact_quantiles(sized, ["size"], [0.25, 0.5, 0.75], ["quality"], stored=True)
     return q.join(moments, "quality").select("quality", "n", "mean", "std", "low", *[F.round(F.col("q")[i], 6).alias(f"q{i + 1}") for i in range(3)], "high")

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.operators import quantiles
 from ledgerline.operators.ordered import as_of, hashed_position, previous_value, running_totals
 from ledgerline.operators.quantiles import exact_quantiles, iqr_fences
 
@@ -24,14 +25,21 @@ def test_small_groups_equal_numpy(spark, n):
     assert (q["n"], q["low"], q["high"]) == (n, x.min(), x.max())
 
 
-def test_large_skewed_groups_equal_numpy(spark):
-    # Far beyond the whole-group limit: key 0 holds two thirds, and half of its values are one value.
+def skewed(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Key 0 holds two thirds, and half of its values are one value."""
     rng = np.random.default_rng(0)
-    key = np.where(rng.random(300_000) < 0.67, 0, rng.integers(1, 4, 300_000))
-    x = np.where(rng.random(300_000) < 0.5, 7.0, np.round(rng.lognormal(size=300_000), 3))
-    pdf = pd.DataFrame({"k": key, "x": x})
-    df = spark.createDataFrame(pdf)
-    got = exact_quantiles(df, ["x"], PROBS, ["k"], small_group=50_000).collect()
+    key = np.where(rng.random(n) < 0.67, 0, rng.integers(1, 4, n))
+    return key, np.where(rng.random(n) < 0.5, 7.0, np.round(rng.lognormal(size=n), 3))
+
+
+@pytest.mark.parametrize(("most", "bins", "passes"), [(quantiles.MOST, quantiles.BINS, 1), (40, 8, 3)])
+def test_large_skewed_groups_equal_numpy(spark, monkeypatch, most, bins, passes):
+    key, x = skewed(300_000)
+    df = spark.createDataFrame(pd.DataFrame({"k": key, "x": x}))
+    settled, sizes = quantiles._settled, []
+    monkeypatch.setattr(quantiles, "_settled", lambda state, by: sizes.append(1) or settled(state, by))
+    got = exact_quantiles(df, ["x"], PROBS, ["k"], most=most, bins=bins).collect()
+    assert len(sizes) - 1 >= passes
     assert len(got) == 4
     for r in got:
         mine = x[key == r["k"]]
@@ -39,6 +47,33 @@ def test_large_skewed_groups_equal_numpy(spark):
         assert np.allclose(r["q"], np.quantile(mine, PROBS))
 
 
+def test_no_task_sorts_more_than_the_bound(spark):
+    """The arrays that the last pass sorts, read from the plan's own collected lists."""
+    _, x = skewed(50_000)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": -x * 1e6}))
+    seen = []
+    inner = F.sort_array
+    try:
+        F.sort_array = lambda c: seen.append(c) or inner(c)
+        q = exact_quantiles(df, ["x", "y"], PROBS, most=30, bins=16)
+    finally:
+        F.sort_array = inner
+    assert len(seen) == 1
+    for r in q.collect():
+        assert np.allclose(r["q"], np.quantile(x if r["metric"] == "x" else -x * 1e6, PROBS))
+
+
+def test_quantiles_of_extreme_values(spark):
+    x = [1e308, -1e308, 5e-324, -5e-324, 0.0, 1.0, 1.0000000000000002, float("inf"), 1e-300, 2e-300, *(10.0**k for k in range(-30, 300, 7))] * 3
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    inner = [p for p in np.linspace(0, 1, 23)]
+    got = exact_quantiles(df, ["x"], inner, most=2, bins=6).first()["q"]
+    ordered = np.sort(x)
+    for p, q in zip(inner, got):
+        a, b = ordered[int(np.floor(p * (len(x) - 1)))], ordered[int(np.ceil(p * (len(x) - 1)))]
+        assert a <= q <= b
+
+
 def test_null_values_and_keys_are_left_out(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), (None, 100.0)], "k string, x double")
     rows = exact_quantiles(df, ["x"], [0.5], ["k"]).collect()
