@@ -20,6 +20,7 @@ from ledgerline.plans.text import SENT, SUMMARY, docs
 from ledgerline.registry import query
 from ledgerline.sources import readers as R
 from ledgerline.sources import writers as Wr
+from ledgerline.sources.stores import KeyedStore
 from ledgerline.tables import fresh_path, table
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
@@ -131,12 +132,15 @@ select * from b qualify row_number() over (partition by hr, event_type order by
 )
 def io11(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = events_grid(spark, sf_dir)
-    store = Wr.KeepLastStore(spark, ["hr", "event_type"], ["version"])
+    path = fresh_path(spark, "features")
+    store = KeyedStore(spark, path, ["hr", "event_type"], ["version"], "date_format(hr, 'yyyy-MM-dd')")
     store.merge(grid.where("hr < timestamp_ntz'2024-01-20'").withColumn("version", F.lit(1)))
     late = grid.where("hr >= timestamp_ntz'2024-01-10'").withColumn("n", F.col("n") + 1).withColumn("version", F.lit(2))
-    store.merge(late)
-    store.merge(late)  # a repeated batch changes nothing
-    return store.read()
+    store.merge(late, 2)
+    # Another process would open the store by its path; a batch that comes again changes nothing.
+    again = KeyedStore(spark, path)
+    again.merge(late, 2)
+    return again.read()
 
 
 RUNS = f"""{ERRORS}, runs as (select event_type as experiment, 'week' || week(hr)::varchar as run, avg(abs_error) as mae, sqrt(avg(signed * signed)) as rmse, count(*) as n from err group by 1, 2)"""

@@ -111,7 +111,7 @@ def st06(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("st07_stream_upsert", "select date_trunc('hour', ts) as hr, event_type, event_id, ts, value from events qualify row_number() over (partition by date_trunc('hour', ts), event_type order by ts desc, event_id desc) = 1")
 def st07(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = arriving(spark, sf_dir, 2).select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hr"), "event_type", "event_id", "ts", "value")
-    store = J.BatchStore(spark, ["hr", "event_type"], ["ts", "event_id"])
+    store = J.BatchStore(spark, ["hr", "event_type"], ["ts", "event_id"], part="date_format(hr, 'yyyy-MM-dd')")
     J.drain_batches(stream, store.write, "append")
     return store.read()
 

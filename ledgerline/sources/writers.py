@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.relational import newest
 from ledgerline.tables import fresh_path
 
 
@@ -52,23 +51,6 @@ def create_monthly_views(monthly: DataFrame, prefix: str) -> list[str]:
     return names
 
 
-class KeepLastStore:
-    """A keyed table in versioned folders: every merge writes a new folder, so a failed one changes nothing."""
-
-    def __init__(self, spark: SparkSession, keys: Sequence[str], order: Sequence[str]):
-        self.spark, self.keys, self.order = spark, list(keys), list(order)
-        self.path: str | None = None
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
-
-    def merge(self, batch: DataFrame) -> None:
-        rows = batch if self.path is None else self.read().unionByName(batch)
-        target = fresh_path(self.spark, "store")
-        newest(rows, self.keys, self.order).write.parquet(target)
-        self.path = target  # the pointer moves only after the write is complete
-
-
 def fill_missing(rows: DataFrame, cache: str | None, keys: Sequence[str], build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Results for all rows: those in the cache are reused, the others are built and appended to it."""
     spark = rows.sparkSession

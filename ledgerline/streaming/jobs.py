@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ledgerline.operators.relational import newest
+from ledgerline.sources.stores import KeyedStore
 from ledgerline.tables import fresh_path
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -60,24 +60,19 @@ def drain_batches(df: DataFrame, write: Callable[[DataFrame, int], None], mode:
 
 
 class BatchStore:
-    """Keyed results of micro-batches: one folder per batch id, read as the newest row per key.
+    """Keyed results of micro-batches in a ``KeyedStore``: a batch that is replayed after a failure changes nothing.
 
-    Replaying a batch overwrites its own folder, so a retry after a failure changes nothing.
+    ``order`` says which row of a key is newest; without it that of the latest batch is.
     """
 
-    def __init__(self, spark: SparkSession, keys: Sequence[str], order: Sequence[str] = ("batch",)):
-        self.spark, self.keys, self.order = spark, list(keys), list(order)
-        self.path = fresh_path(spark, "batches")
-        self.schema = None
+    def __init__(self, spark: SparkSession, keys: Sequence[str], order: Sequence[str] = ("batch",), path: str | None = None, part: str = "0") -> None:
+        self.store = KeyedStore(spark, path or fresh_path(spark, "batches"), keys, order, part)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch", F.lit(batch_id).cast("long"))
-        self.schema = rows.schema
-        newest(rows, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}/b{batch_id}")
+        self.store.merge(batch.withColumn("batch", F.lit(batch_id).cast("long")), batch_id, "stream")
 
     def read(self) -> DataFrame:
-        rows = self.spark.read.schema(self.schema).option("recursiveFileLookup", True).parquet(self.path)
-        return newest(rows, self.keys, self.order).drop("batch")
+        return self.store.read().drop("batch")
 
 
 def hourly_counts(df: DataFrame, ts: str, key: str, delay: str) -> DataFrame:

@@ -1,17 +1,24 @@
 from __future__ import annotations
 
 import datetime as dt
+import subprocess
+import sys
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.sources import readers as R
 from ledgerline.sources import writers as Wr
+from ledgerline.sources.stores import KeyedStore
 from ledgerline.streaming import jobs as J
 from ledgerline.tables import shared_folder
 
 
+ROOT = Path(__file__).resolve().parents[1]
+
+
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
@@ -42,13 +49,93 @@ def test_run_tree(spark, tmp_path):
     assert R.best_run(runs, "mae").first()["run"] == "r2"
 
 
-def test_merge_is_idempotent_and_newest_wins(spark):
-    store = Wr.KeepLastStore(spark, ["k"], ["v"])
-    store.merge(spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, v int, x string"))
-    second = spark.createDataFrame([(2, 2, "c"), (3, 1, "d"), (1, 0, "old")], "k int, v int, x string")
-    store.merge(second)
-    store.merge(second)
-    assert sorted(tuple(r) for r in store.read().collect()) == [(1, 1, "a"), (2, 2, "c"), (3, 1, "d")]
+ROWS = "k int, v int, x string, day string"
+
+
+def store_at(spark, path, **more):
+    return KeyedStore(spark, str(path), ["k"], ["v"], "day", **more)
+
+
+def sorted_rows(df):
+    return sorted(tuple(r)[:3] for r in df.collect())
+
+
+def test_merge_is_idempotent_and_newest_wins(spark, tmp_path):
+    store = store_at(spark, tmp_path)
+    with pytest.raises(FileNotFoundError):
+        store.read()
+    assert store.merge(spark.createDataFrame([(1, 1, "a", "mon"), (2, 1, "b", "tue")], ROWS), 1)
+    second = spark.createDataFrame([(2, 2, "c", "tue"), (3, 1, "d", "a/b=c %"), (1, 0, "old", "mon")], ROWS)
+    assert store.merge(second, 2)
+    assert not store.merge(second, 2)
+    assert sorted_rows(store.read()) == [(1, 1, "a"), (2, 2, "c"), (3, 1, "d")]
+    assert sorted_rows(store.read(version=1)) == [(1, 1, "a"), (2, 1, "b")]
+    assert sorted_rows(store.read(parts=["a/b=c %", "none"])) == [(3, 1, "d")]
+    assert not store.merge(second.limit(0), 2)
+    assert store.merge(second.limit(0), 3)
+    assert sorted_rows(store.read()) == [(1, 1, "a"), (2, 2, "c"), (3, 1, "d")]
+    with pytest.raises(ValueError, match="columns"):
+        store.merge(second.drop("x"), 4)
+    with pytest.raises(ValueError, match="keys"):
+        KeyedStore(spark, str(tmp_path), ["v"], ["k"])
+    with pytest.raises(FileNotFoundError):
+        KeyedStore(spark, str(tmp_path / "nothing"))
+
+
+def test_only_touched_partitions_change_and_compaction(spark, tmp_path):
+    store = store_at(spark, tmp_path, most_pieces=3)
+    store.merge(spark.createDataFrame([(i, 0, "x", f"d{i % 4}") for i in range(40)], ROWS))
+    before = store.manifest()["parts"]
+    for v in (1, 2):
+        store.merge(spark.createDataFrame([(1, v, "y", "d1")], ROWS))
+    after = store.manifest()["parts"]
+    assert {p for p in after if after[p] != before[p]} == {"d1"}
+    assert len(after["d1"]) == 3
+    store.merge(spark.createDataFrame([(5, 9, "z", "d1")], ROWS))
+    assert {p: len(x) for p, x in store.manifest()["parts"].items()} == {"d0": 1, "d1": 1, "d2": 1, "d3": 1}
+    rows = {r["k"]: (r["v"], r["x"]) for r in store.read().collect()}
+    assert len(rows) == 40
+    assert (rows[1], rows[5], rows[9]) == ((2, "y"), (9, "z"), (0, "x"))
+
+
+def test_death_before_the_manifest_leaves_the_old_version(spark, tmp_path):
+    store = store_at(spark, tmp_path)
+    store.merge(spark.createDataFrame([(1, 1, "a", "mon")], ROWS), 1)
+    batch = spark.createDataFrame([(1, 2, "b", "mon"), (2, 1, "c", "tue")], ROWS)
+
+    def die():
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        store.merge(batch, 2, before_commit=die)
+    assert sorted_rows(store_at(spark, tmp_path).read()) == [(1, 1, "a")]
+    assert store_at(spark, tmp_path).merge(batch, 2)
+    assert sorted_rows(store.read()) == [(1, 2, "b"), (2, 1, "c")]
+    # A second writer that began from the same version is refused.
+    with pytest.raises(RuntimeError, match="first"):
+        store.merge(batch, 3, before_commit=lambda: store_at(spark, tmp_path).merge(batch, 3))
+    assert store.manifest()["version"] == 3
+
+
+def test_another_process_reads_merges_and_replays(spark, tmp_path):
+    """A new Python process with a session of its own opens the store by its path alone."""
+    store = store_at(spark, tmp_path)
+    store.merge(spark.createDataFrame([(1, 1, "a", "mon"), (2, 1, "b", "tue")], ROWS), 1)
+    code = f"""
+import sys
+sys.path[:0] = {[str(ROOT), str(ROOT / "tools")]!r}
+from check import session
+from ledgerline.sources.stores import KeyedStore
+spark = session(2)
+store = KeyedStore(spark, {str(tmp_path)!r})
+assert sorted(tuple(r) for r in store.read().collect()) == [(1, 1, "a", "mon"), (2, 1, "b", "tue")]
+batch = spark.createDataFrame([(2, 5, "new", "tue")], {ROWS!r})
+assert not store.merge(batch, 1)
+assert store.merge(batch, 2)
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300, capture_output=True)
+    assert sorted_rows(store.read()) == [(1, 1, "a"), (2, 5, "new")]
+    assert not store.merge(spark.createDataFrame([(2, 5, "new", "tue")], ROWS), 2)
 
 
 def test_backfill_runs_only_what_is_missing(spark, tmp_path):
