@@ -12,11 +12,13 @@ from ledgerline.plans.common import ERRORS, GRID, events_grid
 from ledgerline.plans.joins import WEATHER, weather
 from ledgerline.plans.models import MART_FEATURES, split_mart
 from ledgerline.registry import query
+from ledgerline.sources.stores import KeyedStore
 from ledgerline.streaming import jobs as J
 from ledgerline.tables import fresh_path, table
 
-# Longer than the span of the tables, so that no row is late unless a query is about lateness.
-PATIENT = "60 days"
+# Rows arrive in this many stretches of time, one after the other; a row may be as late as one stretch is long.
+WAVES = 6
+DELAY = "6 days"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def arriving(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000) -> DataFrame:
     """The events as a file stream."""
     ev = events(spark, sf_dir)
-    return J.read_stream(spark, J.land(ev, "ts"), ev.schema, files_per_batch)
+    return J.read_stream(spark, J.land(ev, "ts", waves=WAVES), ev.schema, files_per_batch)
 
 
 @query("st01_file_stream", "select * from events")
@@ -34,6 +36,12 @@ def st01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.drain(arriving(spark, sf_dir, 2))
 
 
+def arriving_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files in one batch, whatever their order."""
+    ev = events(spark, sf_dir)
+    return J.read_stream(spark, J.land(ev, "ts"), ev.schema, 1_000_000)
+
+
 def clean(df: DataFrame) -> DataFrame:
     """The same rules for batch and stream."""
     typed = df.withColumn("k", F.get_json_object("props", "$.k").try_cast("int"))
@@ -54,38 +62,37 @@ def st02(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("st03_hourly_counts", "select date_trunc('hour', ts) as hr, event_type, count(*) as n from events group by all")
 def st03(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = J.BatchStore(spark, ["hr", "event_type"])
-    J.drain_batches(J.hourly_counts(J.event_time(arriving(spark, sf_dir, 2), "ts"), "ts", "event_type", PATIENT), store.write)
+    J.drain_batches(J.hourly_counts(J.event_time(arriving(spark, sf_dir, 2), "ts"), "ts", "event_type", DELAY), store.write)
     return J.local_time(store.read(), "hr")
 
 
-@query(
-    "st04_late_rows",
-    """with w as (select event_type, event_id, ts, (event_id % 10 = 0 and ts < timestamp '2024-01-25') as second from events),
-m as (select max(ts) - interval 2 day as mark from w where not second)
-select date_trunc('hour', ts) as hr, event_type, count(*) filter (not (second and date_trunc('hour', ts) + interval 1 hour <= mark)) as on_time,
-  count(*) filter (second and date_trunc('hour', ts) + interval 1 hour <= mark) as late from w, m group by all""",
-)
-def st04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tenth of the rows arrive in a second wave; those behind the watermark go to a late table.
+LATE = """with w as (select event_id, ts, event_type, value, (event_id % 10 = 0 and ts < timestamp '2024-01-25') as second from events),
+m as (select max(ts) - interval 2 day as mark from w where not second), r as (select w.*, second and date_trunc('milliseconds', ts) <= date_trunc('milliseconds', mark) as late from w, m)"""
 
-    The stream drops them, so the late table is found afterwards: landed rows minus counted rows.
-    """
-    ev = events(spark, sf_dir).select("event_id", "ts", "event_type")
+
+def late_rows(spark: SparkSession, sf_dir: str) -> tuple[KeyedStore, KeyedStore]:
+    """A tenth of the rows arrive in a second wave; those behind the watermark go to a table of their own."""
+    ev = events(spark, sf_dir).select("event_id", "ts", "event_type", "value")
     second = (F.col("event_id") % 10 == 0) & (F.col("ts") < F.expr("timestamp_ntz'2024-01-25'"))
     path, progress = J.land(ev.where(~second), "ts"), fresh_path(spark, "progress")
-    store = J.BatchStore(spark, ["hr", "event_type"])
+    on_time, late = (KeyedStore(spark, fresh_path(spark, n), ["event_id"], ["ts"], "date_format(ts, 'yyyy-MM-dd')") for n in ("on-time", "late"))
+    for wave in (None, ev.where(second)):
+        if wave is not None:
+            J.land(wave, "ts", path)
+        J.route_late(spark, path, ev.schema, "ts", "event_id", "2 days", on_time, late, progress, 1000)
+    return on_time, late
 
-    def run() -> None:
-        stream = J.event_time(J.read_stream(spark, path, ev.schema), "ts")
-        J.drain_batches(J.hourly_counts(stream, "ts", "event_type", "2 days"), store.write, checkpoint=progress)
 
-    run()
-    J.land(ev.where(second), "ts", path)
-    run()
-    counted = J.local_time(store.read(), "hr").withColumnRenamed("n", "on_time")
-    landed = spark.read.parquet(path).groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hr"), "event_type").agg(F.count("*").alias("all"))
-    both = landed.join(counted, ["hr", "event_type"], "left").fillna({"on_time": 0})
-    return both.select("hr", "event_type", "on_time", (F.col("all") - F.col("on_time")).alias("late"))
+@query("st04_late_rows", f"{LATE} select date_trunc('hour', ts) as hr, event_type, count(*) filter (not late) as on_time, count(*) filter (late) as late from r group by all")
+def st04(spark: SparkSession, sf_dir: str) -> DataFrame:
+    on_time, late = late_rows(spark, sf_dir)
+    both = on_time.read().withColumn("late", F.lit(False)).unionByName(late.read().withColumn("late", F.lit(True)))
+    return both.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hr"), "event_type").agg(F.count_if(~F.col("late")).alias("on_time"), F.count_if("late").alias("late"))
+
+
+@query("st04_late_table", f"{LATE} select event_id, ts, event_type, value from r where late")
+def st04_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_rows(spark, sf_dir)[1].read()
 
 
 @query("st05_stream_dedupe", "select event_id, ts, event_type, value from events")
@@ -94,7 +101,7 @@ def st05(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = J.land(ev, "ts")
     J.land(ev, "ts", path)
     stream = J.event_time(J.read_stream(spark, path, ev.schema), "ts")
-    return J.local_time(J.drain(J.dedupe(stream, "ts", ["event_id"], PATIENT)), "ts")
+    return J.local_time(J.drain(J.dedupe(stream, "ts", ["event_id"], DELAY)), "ts")
 
 
 @query(
@@ -116,16 +123,25 @@ def st07(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
-@query(
-    "st08_sliding_means",
-    """with s as (select unnest([date_trunc('hour', ts) + interval 1 hour, date_trunc('hour', ts) + interval 2 hour, date_trunc('hour', ts) + interval 3 hour]) as until, event_type, value from events)
-select until, event_type, round(count(*) / 3.0::double, 6) as hourly_mean, round(avg(value), 6) as mean_value from s group by all""",
-)
+SLIDING = """with s as (select unnest(list_transform(range(1, {hours} + 1), lambda h: date_trunc('hour', ts) + h * interval 1 hour)) as until, event_type, value from events)
+select until, event_type, round(count(*) / {hours}.0::double, 6) as hourly_mean, {value} from s group by all"""
+
+
+def sliding_means(spark: SparkSession, sf_dir: str, hours: int) -> DataFrame:
+    store = J.BatchStore(spark, ["until", "event_type"], part="date_format(until, 'yyyy-MM-dd')")
+    stream = J.event_time(arriving(spark, sf_dir, 1000), "ts")
+    J.drain_batches(J.sliding_counts(stream, "ts", "event_type", f"{hours} hours", "1 hour", DELAY), store.write)
+    return J.local_time(store.read(), "until").withColumn("hourly_mean", F.round(F.col("n") / float(hours), 6))
+
+
+@query("st08_sliding_means", SLIDING.format(hours=3, value="round(avg(value), 6) as mean_value"))
 def st08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = J.BatchStore(spark, ["until", "event_type"])
-    J.drain_batches(J.sliding_counts(J.event_time(arriving(spark, sf_dir, 4), "ts"), "ts", "event_type", "3 hours", "1 hour", PATIENT), store.write)
-    out = J.local_time(store.read(), "until")
-    return out.select("until", "event_type", F.round(F.col("n") / 3.0, 6).alias("hourly_mean"), F.round(F.col("total") / F.col("n"), 6).alias("mean_value"))
+    return sliding_means(spark, sf_dir, 3).select("until", "event_type", "hourly_mean", F.round(F.col("total") / F.col("n"), 6).alias("mean_value"))
+
+
+@query("st08_sliding_means_24h", SLIDING.format(hours=24, value="round(sum(value), 4) as total"))
+def st08_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sliding_means(spark, sf_dir, 24).select("until", "event_type", "hourly_mean", F.round("total", 4).alias("total"))
 
 
 @query(
@@ -135,14 +151,10 @@ g as (select event_type, unnest(generate_series(lo, (select max(hr) - interval 3
 select hr, event_type, n, lag(n, 1) over w::double as lag_1, lag(n, 2) over w::double as lag_2, lag(n, 24) over w::double as lag_24 from d window w as (partition by event_type order by hr)""",
 )
 def st09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly counts arrive as files; only one row per (hour, type) reaches the keyed state.
-
-    An hour is emitted once the watermark, two hours behind the newest one, has passed it.
-    """
-    counts = events(spark, sf_dir).groupBy(F.date_trunc("hour", "ts").alias("hr"), "event_type").agg(F.count("*").alias("n"))
-    path = J.land(counts, "hr")
+    """Raw events in, lags out. An hour is emitted once the watermark, two hours behind the newest event, has passed it."""
+    stream = J.event_time(arriving_at_once(spark, sf_dir), "ts")
     with J.rocks_state(spark):
-        out = J.drain(J.hour_lags(J.read_stream(spark, path, counts.schema), "event_type", [1, 2, 24], "2 hours"))
+        out = J.drain(J.hour_lags(stream, "ts", "event_type", [1, 2, 24], "2 hours"))
     return J.local_time(out, "hr")
 
 
@@ -166,7 +178,7 @@ def st11(spark: SparkSession, sf_dir: str) -> DataFrame:
     actuals = grid.select(F.col("hr").cast("timestamp").alias("at"), "event_type", F.col("n").alias("actual"))
     p = J.read_stream(spark, J.land(forecasts, "hr"), forecasts.schema)
     a = J.read_stream(spark, J.land(actuals, "at"), actuals.schema)
-    err = J.local_time(J.drain(J.match_actuals(p, a, "event_type", PATIENT)), "hr")
+    err = J.local_time(J.drain(J.match_actuals(p, a, "event_type", DELAY)), "hr")
     cut = F.expr("timestamp_ntz'2024-01-15'")
     offline = err.where(F.col("hr") < cut).agg(F.avg("abs_error").alias("v")).scalar()
     per = err.where(F.col("hr") >= cut).groupBy("hr").agg(F.avg("abs_error").alias("m"))

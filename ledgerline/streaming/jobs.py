@@ -7,25 +7,39 @@ shared folder.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StructType
 
 from ledgerline.sources.stores import KeyedStore
-from ledgerline.tables import fresh_path
+from ledgerline.tables import fresh_path, materialise
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def land(df: DataFrame, ts: str, path: str | None = None) -> str:
-    """Write rows as arriving files, each holding one stretch of time."""
+def land(df: DataFrame, ts: str, path: str | None = None, waves: int = 1) -> str:
+    """Write rows as arriving files, each holding one stretch of time.
+
+    With ``waves``, that many equal stretches of time arrive one after the other, so that no row is later than a stretch.
+    """
     path = path or fresh_path(df.sparkSession, "landing")
-    df.repartitionByRange(F.col(ts)).write.mode("append").parquet(path)
+    span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first() if waves > 1 else None
+    if span is None or span["lo"] is None:
+        df.repartitionByRange(F.col(ts)).write.mode("append").parquet(path)
+        return path
+    step = (span["hi"] - span["lo"]) / waves
+    for k in range(waves):
+        rows = df.where(F.col(ts) >= F.lit(span["lo"] + k * step))
+        rows = rows.where(F.col(ts) < F.lit(span["lo"] + (k + 1) * step)) if k < waves - 1 else rows
+        rows.repartitionByRange(F.col(ts)).write.mode("append").parquet(path)
     return path
 
 
@@ -92,54 +106,94 @@ def dedupe(df: DataFrame, ts: str, keys: Sequence[str], delay: str) -> DataFrame
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-HOUR = pd.Timedelta(hours=1)
-EPOCH = pd.Timestamp("1970-01-01")
+def watermarks(query: StreamingQuery) -> dict[int, tuple[datetime, int]]:
+    """From the progress of a finished run: the watermark for late rows and the rows dropped by it, by source offset.
+
+    A batch drops what lies at or before the watermark that the batch before it ran with. The first batch of a run
+    follows the empty one that ended the run before, which ran with the watermark that the first one reports.
+    """
+    out: dict[int, tuple[datetime, int]] = {}
+    before = None
+    for p in query.recentProgress:
+        now = datetime.fromisoformat(p.eventTime["watermark"].replace("Z", "+00:00")).replace(tzinfo=None)
+        if p.numInputRows:
+            out[int(re.search(r"\d+", str(p.sources[0].endOffset))[0])] = before or now, sum(o.numRowsDroppedByWatermark for o in p.stateOperators)
+        before = now
+    return out
+
+
+def route_late(spark: SparkSession, path: str, schema: StructType, ts: str, key: str, delay: str, on_time: KeyedStore, late: KeyedStore, progress: str, files_per_batch: int) -> int:
+    """Drain a landing folder: rows within ``delay`` to one store, rows behind the watermark to another, as they are.
+
+    One query removes repeated keys within the watermark, which is where the engine drops late rows. A second one reads
+    the same files in the same batches (it has no state, so its batches are the source's offsets) and keeps what lies
+    behind the watermark of each batch, as the first one's progress tells it. Where it finds another number of rows than the engine dropped, it fails. Returns that number.
+    """
+
+    def stream() -> DataFrame:
+        return event_time(read_stream(spark, path, schema, files_per_batch), ts)
+
+    first = drain_batches(dedupe(stream(), ts, [key], delay), lambda rows, i: on_time.merge(local_time(rows, ts), i, "on time"), "append", f"{progress}/on-time")
+    marks = watermarks(first)
+
+    def keep(rows: DataFrame, i: int) -> None:
+        mark, dropped = marks[i]
+        behind = materialise(local_time(rows.where(F.col(ts) <= F.lit(mark)), ts), "late")
+        if (found := behind.count()) != dropped:
+            raise RuntimeError(f"batch {i}: the engine dropped {dropped} rows, {found} lie behind {mark}")
+        late.merge(behind, i, "late")
+
+    if marks:
+        drain_batches(stream(), keep, "append", f"{progress}/late")
+    return sum(n for _, n in marks.values())
+
+
+HOUR_MS = 3_600_000
 
 
 class HourLags(StatefulProcessor):
     """Lags of an hourly count per key; hours without a row count 0.
 
-    Counts wait in state until the watermark has passed their hour, so files may arrive in any order
-    within the delay. A timer then emits every settled hour, silent ones included. State per key: the
-    next hour to emit, the last counts, and the waiting ones.
+    A row comes in once its hour is closed. A timer at the end of the next hour emits every hour that the watermark has
+    passed, silent ones included. State per key: the next hour to emit and, in a map, the counts of the hours that a
+    lag can still reach; a step reads and writes single entries.
     """
 
     def __init__(self, key: str, lags: Sequence[int]):
         self.key, self.lags = key, tuple(lags)
+        self.columns = ["hr", key, "n", *[f"lag_{k}" for k in self.lags]]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("series", "next long, past array<long>, hours array<long>, counts array<long>")
-
-    def _load(self) -> tuple[int | None, list[int], dict[int, int]]:
-        if not self.state.exists():
-            return None, [], {}
-        nxt, past, hours, counts = self.state.get()
-        return nxt, list(past), dict(zip(hours, counts))
+        self.series = handle.getValueState("series", "first long, next long")
+        self.counts = handle.getMapState("counts", "hour long", "n long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        nxt, past, waiting = self._load()
+        first, after = self.series.get() if self.series.exists() else (None, None)
         for pdf in rows:
-            hours = (pd.to_datetime(pdf["hr"]) - EPOCH) // HOUR
-            for h, n in zip(hours, pdf["n"]):
-                waiting[int(h)] = waiting.get(int(h), 0) + int(n)
-        # Nothing has been emitted yet for a new key, so an earlier hour may still become its first.
-        first = min(waiting) if nxt is None or not past else nxt
-        self.state.update((first, past, list(waiting), list(waiting.values())))
-        self.handle.registerTimer(first * 3_600_000)
-        yield pd.DataFrame(columns=["hr", self.key, "n", *[f"lag_{k}" for k in self.lags]])
+            hours = (pd.to_datetime(pdf["hr"]) - pd.Timestamp("1970-01-01")) // pd.Timedelta(hours=1)
+            for h, n in zip(hours.tolist(), pdf["n"].tolist(), strict=True):
+                self.counts.updateValue((h,), (n,))
+                if first is None or h < first:  # only before the first hour is emitted
+                    first = after = h
+        self.series.update((first, after))
+        self.handle.registerTimer((after + 1) * HOUR_MS)
+        yield pd.DataFrame(columns=self.columns)
+
+    def _count(self, hour: int) -> int:
+        return self.counts.getValue((hour,))[0] if self.counts.containsKey((hour,)) else 0
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        nxt, past, waiting = self._load()
-        settled, out = timerValues.getCurrentWatermarkInMs(), []
-        while nxt * 3_600_000 < settled:
-            n = waiting.pop(nxt, 0)
-            out.append((EPOCH + nxt * HOUR, key[0], n, *[float(past[-k]) if len(past) >= k else None for k in self.lags]))
-            past = (past + [n])[-max(self.lags) :]
-            nxt += 1
-        self.state.update((nxt, past, list(waiting), list(waiting.values())))
-        self.handle.registerTimer(nxt * 3_600_000)
-        yield pd.DataFrame(out, columns=["hr", self.key, "n", *[f"lag_{k}" for k in self.lags]])
+        (first, hour), settled, out = self.series.get(), timerValues.getCurrentWatermarkInMs(), []
+        while (hour + 1) * HOUR_MS <= settled:
+            past = [float(self._count(hour - k)) if hour - k >= first else None for k in self.lags]
+            out.append((pd.Timestamp(hour * HOUR_MS, unit="ms"), key[0], self._count(hour), *past))
+            if self.counts.containsKey((hour - max(self.lags),)):
+                self.counts.removeKey((hour - max(self.lags),))
+            hour += 1
+        self.series.update((first, hour))
+        self.handle.registerTimer((hour + 1) * HOUR_MS)
+        yield pd.DataFrame(out, columns=self.columns)
 
     def close(self) -> None:
         pass
@@ -159,11 +213,17 @@ def rocks_state(spark: SparkSession):
             spark.conf.set(PROVIDER, before)
 
 
-def hour_lags(counts: DataFrame, key: str, lags: Sequence[int], delay: str) -> DataFrame:
+def hour_lags(df: DataFrame, ts: str, key: str, lags: Sequence[int], delay: str) -> DataFrame:
+    """Hourly counts of raw events and their lags, in one stream.
+
+    Two stateful steps: the first counts events per hour and lets an hour go when the watermark has passed it; the
+    watermark goes on to the second, which keeps one row an hour and key. No key's events meet in one task: the count
+    merges before the shuffle.
+    """
+    w = F.window(ts, "1 hour")
+    counts = df.withWatermark(ts, delay).groupBy(w.alias("w"), key).agg(F.count("*").alias("n")).select(F.col("w.start").alias("hr"), key, "n")
     schema = f"hr timestamp, {key} string, n long, " + ", ".join(f"lag_{k} double" for k in lags)
-    return counts.withWatermark("hr", delay).groupBy(key).transformWithStateInPandas(
-        HourLags(key, lags), outputStructType=schema, outputMode="Append", timeMode="EventTime"
-    )
+    return counts.groupBy(key).transformWithStateInPandas(HourLags(key, lags), outputStructType=schema, outputMode="Append", timeMode="EventTime")
 
 
 def match_actuals(predictions: DataFrame, actuals: DataFrame, key: str, delay: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import subprocess
 import sys
 import zipfile
@@ -182,15 +183,60 @@ def test_replayed_batch_changes_nothing(spark):
     assert sorted(tuple(r) for r in store.read().collect()) == [(1, "new"), (2, "x")]
 
 
-def test_stateful_lags_with_silent_hours_and_files_out_of_order(spark):
-    t = dt.datetime(2024, 1, 1)
-    rows = [(t + dt.timedelta(hours=h), k, n) for h, k, n in [(3, "a", 4), (0, "a", 1), (6, "a", 7), (9, "b", 1), (4, "a", 5), (12, "b", 2)]]
-    schema = "hr timestamp, k string, n long"
-    path = None
-    for part in (rows[:2], rows[2:4], rows[4:]):  # hour 4 of key a comes after its hour 6
-        path = J.land(spark.createDataFrame(part, schema).coalesce(1), "hr", path)
+EVENTS = "id long, ts timestamp_ntz, v string"
+
+
+def arrive(spark, path, rows):
+    spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_late_rows_are_those_the_engine_drops(spark, tmp_path):
+    """Eight files in two runs, one a batch: all rows are in one of the two tables, the late ones as they came."""
+    r, start, path = random.Random(1), dt.datetime(2024, 1, 1), str(tmp_path / "landing")
+    on_time, late = (KeyedStore(spark, str(tmp_path / n), ["id"], ["ts"]) for n in ("on-time", "late"))
+    schema, rows, dropped = spark.createDataFrame([], EVENTS).schema, {}, []
+    for run in range(2):
+        for wave in range(4):
+            new = [(len(rows) + i, start + dt.timedelta(hours=(run * 4 + wave) * 10 + r.uniform(0, 10) - (r.uniform(0, 60) if r.random() < 0.4 else 0)), f"v{i}") for i in range(50)]
+            rows |= {x[0]: x for x in new}
+            arrive(spark, path, new)
+        dropped.append(J.route_late(spark, path, schema, "ts", "id", "5 hours", on_time, late, str(tmp_path / "progress"), 1))
+    kept, gone = ({x["id"]: tuple(x) for x in s.read().collect()} for s in (on_time, late))
+    assert min(dropped) > 0
+    assert len(gone) == sum(dropped)
+    assert kept | gone == rows
+    assert not set(kept) & set(gone)
+
+
+def test_state_expires_behind_the_watermark(spark, tmp_path):
+    start, path = dt.datetime(2024, 1, 1), str(tmp_path / "landing")
+    schema = spark.createDataFrame([], EVENTS).schema
+    for day in range(6):
+        arrive(spark, path, [(day * 24 + h, start + dt.timedelta(days=day, hours=h), "a") for h in range(24)])
+    stream = J.event_time(J.read_stream(spark, path, schema, 1), "ts")
+    store = J.BatchStore(spark, ["hr", "v"], path=str(tmp_path / "store"))
+    query = J.drain_batches(J.hourly_counts(stream, "ts", "v", "6 hours"), store.write)
+    held = [p.stateOperators[0].numRowsTotal for p in query.recentProgress]
+    assert max(held) <= 24 + 7 and held[-1] <= 7
+    assert store.read().count() == 144
+
+
+def test_lags_from_raw_events_in_any_order_within_the_delay(spark, tmp_path):
+    """Files swapped within the delay and keys with silent hours: the same lags as on the dense batch grid."""
+    r, start, path = random.Random(2), dt.datetime(2024, 1, 1), str(tmp_path / "landing")
+    rows = [(i, start + dt.timedelta(hours=r.uniform(0, 72)), "a" if r.random() < 0.9 else "b") for i in range(400)] + [(1000, start + dt.timedelta(hours=76), "a")]
+    for part in (1, 0, 3, 2, 5, 4, 6):
+        arrive(spark, path, [x for x in rows if (x[1] - start) // dt.timedelta(hours=12) == part])
+    stream = J.event_time(J.read_stream(spark, path, spark.createDataFrame([], EVENTS).schema, 1), "ts")
     with J.rocks_state(spark):
-        out = J.drain(J.hour_lags(J.read_stream(spark, path, spark.createDataFrame(rows, schema).schema, 1), "k", [1, 2], "5 hours"))
-    got = [(r["hr"].hour, r["n"], r["lag_1"], r["lag_2"]) for r in out.where("k = 'a'").orderBy("hr").collect()]
-    assert got == [(0, 1, None, None), (1, 0, 1.0, None), (2, 0, 0.0, 1.0), (3, 4, 0.0, 0.0), (4, 5, 4.0, 0.0), (5, 0, 5.0, 4.0), (6, 7, 0.0, 5.0)]
-    assert out.where("k = 'b'").count() == 0  # its hours are not settled yet
+        got = J.local_time(J.drain(J.hour_lags(stream, "ts", "v", [1, 5], "25 hours")), "hr").collect()
+    counts = {}
+    for _, ts, v in rows:
+        hour = (ts - start) // dt.timedelta(hours=1)
+        counts[v, hour] = counts.get((v, hour), 0) + 1
+    want, last = set(), 76 - 25
+    for v in "ab":
+        first = min(h for k, h in counts if k == v)
+        for h in range(first, last):
+            want.add((start + dt.timedelta(hours=h), v, counts.get((v, h), 0), *[float(counts.get((v, h - k), 0)) if h - k >= first else None for k in (1, 5)]))
+    assert {tuple(x) for x in got} == want
