@@ -5,6 +5,7 @@ The calendar bounds a group's size, whatever the number of raw rows behind it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from statistics import NormalDist
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import is_holiday, near_holiday
+from ledgerline.tables import materialise
 
 
 def with_future(df: DataFrame, key: str, ts: str, value: str, horizon: int) -> DataFrame:
@@ -41,10 +43,12 @@ def _wave(position: np.ndarray, period: float, order: int) -> list[np.ndarray]:
     return [f(k * angle) for k in range(1, order + 1) for f in (np.sin, np.cos)]
 
 
+def _columns(days: np.ndarray, near: np.ndarray, week: int = 3, year: int = 5) -> np.ndarray:
+    return np.column_stack([np.ones(len(days)), days / 365.25, *_wave(days, 7, week), *_wave(days, 365.25, year), near])
+
+
 def _design(pdf: pd.DataFrame, start) -> np.ndarray:
-    days = (pd.to_datetime(pdf["_ts"]) - start).dt.days.to_numpy(float)
-    cols = [np.ones(len(pdf)), days / 365.25, *_wave(days, 7, 3), *_wave(days, 365.25, 5), pdf["near"].to_numpy(float)]
-    return np.column_stack(cols)
+    return _columns((pd.to_datetime(pdf["_ts"]) - start).dt.days.to_numpy(float), pdf["near"].to_numpy(float))
 
 
 def _trend_fit(train: pd.DataFrame, rows: pd.DataFrame, value: str, level: float):
@@ -94,6 +98,72 @@ def backtest(df: DataFrame, key: str, ts: str, value: str, initial: int, period:
     return days.groupBy(key).applyInPandas(run, f"{key} {kind[key]}, cutoff date, n bigint, mae double, smape double")
 
 
+#: Parameter points to draw from: waves in a week and a year, ridge weight, days of history (0: all).
+GRID = [(w, y, r, h) for w in (1, 2, 3) for y in (2, 4, 6, 8) for r in (0.0, 0.1, 1.0, 10.0, 100.0) for h in (0, 365, 730)]
+
+
+def _ridge(day: np.ndarray, near: np.ndarray, y: np.ndarray, upto: float, ahead: np.ndarray, point) -> np.ndarray:
+    """Fit one point on the days up to ``upto`` and predict rows ``ahead``."""
+    known = np.flatnonzero((day <= upto) & ((day > upto - point["history"]) | (point["history"] == 0)))
+    x, z = (_columns(day[i], near[i], point["week"], point["year"]) for i in (known, ahead))
+    weight = np.full(x.shape[1], point["ridge"])
+    weight[0] = 0.0
+    beta, *_ = np.linalg.lstsq(np.vstack([x, np.diag(np.sqrt(weight))]), np.append(y[known], np.zeros(len(weight))), rcond=None)
+    return z @ beta
+
+
+def tune(df: DataFrame, key: str, ts: str, value: str, initial: int, period: int, horizon: int, draws: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Scores of drawn parameter points, and the forecast of each series' best point for the days ahead.
+
+    A series (a day per row) becomes one row of arrays. Each draws ``draws`` points of the grid by hash, and every
+    (series, point, cutoff) is a row of its own, fitted by whichever task holds it. Scores: key, point (number in the
+    grid), week, year, ridge, history, cutoffs, smape (mean over the cutoffs), chosen (least smape, then least number).
+    Forecast: key, ts, point, yhat, refitted on all days. Cutoffs stand ``period`` days apart, the last one ``horizon``
+    days before the end, the first at least ``initial`` days after the start.
+    """
+    kind = dict(df.dtypes)
+    every = with_future(df, key, ts, value, horizon)
+    first = df.agg(F.min(ts).alias("v")).scalar()
+    day = F.datediff(ts, first).cast("double")
+    packed = every.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(day.alias("day"), F.col("near").cast("double").alias("near"), F.col(value).cast("double").alias("y")))).alias("s"), F.min(ts).alias("start"))
+    packed = materialise(packed.repartition(key).select(key, "start", *[F.col(f"s.{n}").alias(n) for n in ("day", "near", "y")]), "series")
+    grid = F.array(*[F.struct(F.lit(i).alias("point"), F.lit(w).alias("week"), F.lit(y).alias("year"), F.lit(r).alias("ridge"), F.lit(h).alias("history")) for i, (w, y, r, h) in enumerate(GRID)])
+    ranked = F.array_sort(F.transform(grid, lambda p: F.struct(F.md5(F.concat_ws(":", F.col(key).cast("string"), p["point"].cast("string"))).alias("h"), p.alias("p"))))
+    drawn = packed.withColumn("p", F.explode(F.transform(F.slice(ranked, 1, draws), lambda x: x["p"])))
+    last = F.element_at("day", -1) - horizon  # the last day with a value
+    cuts = F.sequence((last - horizon).cast("int"), (F.col("day")[0] + initial).cast("int"), F.lit(-period))
+    jobs = drawn.where(last - horizon >= F.col("day")[0] + initial).withColumn("cutoff", F.explode(cuts))
+
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for r in pdf.itertuples(index=False):
+                day, near, y = (np.asarray(a, float) for a in (r.day, r.near, r.y))
+                rows = np.flatnonzero((day > r.cutoff) & (day <= r.cutoff + horizon))
+                yhat = _ridge(day, near, y, r.cutoff, rows, r.p)
+                both = np.abs(y[rows]) + np.abs(yhat)
+                out.append((r[0], r.p, r.cutoff, 100 * np.mean(2 * np.abs(y[rows] - yhat) / np.where(both == 0, 1, both))))
+            yield pd.DataFrame(out, columns=[key, "p", "cutoff", "smape"])
+
+    shape = "struct<point:int,week:int,year:int,ridge:double,history:int>"
+    fits = jobs.select(key, "p", "day", "near", "y", "cutoff").repartition(key, "p", "cutoff").mapInPandas(score, f"{key} {kind[key]}, p {shape}, cutoff int, smape double")
+    scores = materialise(fits.groupBy(key, "p").agg(F.count("*").alias("cutoffs"), F.avg("smape").alias("smape")), "scores")
+    best = scores.groupBy(key).agg(F.min_by("p", F.struct("smape", "p.point")).alias("p"))
+    marked = scores.join(best.select(key, F.col("p.point").alias("_best")), key).select(key, "p.*", "cutoffs", "smape", (F.col("p.point") == F.col("_best")).alias("chosen"))
+
+    def refit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for r in pdf.itertuples(index=False):
+                day, near, y = (np.asarray(a, float) for a in (r.day, r.near, r.y))
+                ahead = np.arange(len(day) - horizon, len(day))
+                yhat = _ridge(day, near, y, day[-horizon - 1], ahead, r.p)
+                dates = pd.to_datetime(r.start) + pd.to_timedelta(day[ahead] - day[0], unit="D")
+                yield pd.DataFrame({key: r[0], ts: dates.date if kind[ts] == "date" else dates, "point": r.p["point"], "yhat": yhat})
+
+    ahead = packed.join(best, key).select(key, "p", "day", "near", "y", "start").mapInPandas(refit, f"{key} {kind[key]}, {ts} {kind[ts]}, point int, yhat double")
+    return marked, ahead
+
+
 def recursive_forecast(df: DataFrame, key: str, ts: str, value: str, horizon: int = 30) -> DataFrame:
     """(key, ts, y_pred): a linear model on lags 1, 7, 30, rolling mean and deviation of 7 and the calendar.
 

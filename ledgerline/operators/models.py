@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ledgerline.operators.evaluation import regression_metrics
+from ledgerline.operators.quantiles import iqr_fences
 from ledgerline.operators.series import time_blocks
 from ledgerline.tables import materialise
 
@@ -87,6 +91,20 @@ def expanding_cv(build, grid: Sequence[Mapping], df: DataFrame, ts: str, feature
     return stack_rows(parts)
 
 
+def out_of_fold(make: Callable[[], Estimator], df: DataFrame, fold: str, folds: int, parallelism: int = 4) -> DataFrame:
+    """Every row once, with the prediction of a model that was fitted on the other folds.
+
+    ``fold`` numbers the rows from 0 to ``folds`` - 1. ``df`` holds what the estimator reads; write it before, since
+    each fold reads it. Fits run side by side, ``parallelism`` at a time. Rows with a null fold are left out.
+    """
+
+    def run(k: int) -> DataFrame:
+        return make().fit(df.where(F.col(fold) != k)).transform(df.where(F.col(fold) == k))
+
+    with ThreadPool(min(parallelism, folds)) as pool:
+        return stack_rows(pool.map(inheritable_thread_target(df.sparkSession)(run), range(folds)))
+
+
 def best_point(runs: DataFrame, params: Sequence[str]) -> dict:
     """The grid point with the lowest error; the run table has one row per point."""
     return runs.orderBy("cv_mae", *params).first().asDict()
@@ -98,15 +116,53 @@ def segment(df: DataFrame, features: Sequence[str], k: int, seed: int = 42):
     return model, model.transform(data).drop("features")
 
 
+class Fences(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Fixed fences of two columns: ``outlier`` is -1 beyond only the second, -2 only the first, -3 both, else 0."""
+
+    columns = Param(Params._dummy(), "columns", "the two columns", TypeConverters.toListString)
+    bounds = Param(Params._dummy(), "bounds", "low and high of the first, then of the second", TypeConverters.toListFloat)
+
+    def __init__(self) -> None:
+        super().__init__()
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        low_a, high_a, low_b, high_b = self.getOrDefault(self.bounds)
+        a, b = (~F.col(c).between(lo, hi) for c, lo, hi in zip(self.getOrDefault(self.columns), (low_a, low_b), (high_a, high_b), strict=True))
+        return dataset.withColumn("outlier", F.when(a & b, -3).when(a, -2).when(b, -1).otherwise(0))
+
+
+class OutlierFirst(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """The cluster of a row inside the fences, the outlier label of one beyond."""
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn("segment", F.when(F.col("outlier") != 0, F.col("outlier")).otherwise(F.col("cluster")))
+
+
+def segment_inliers(df: DataFrame, features: Sequence[str], fenced: Sequence[str], k: int, seed: int = 42) -> PipelineModel:
+    """Fences from all rows, scaling and clusters from the rows inside them, as one pipeline for new rows.
+
+    ``df`` is a stored table. The pipeline adds ``outlier`` and ``segment``: a cluster from 0 to ``k`` - 1, or -1 to -3.
+    """
+    ends = iqr_fences(df, fenced, stored=True)
+    row = df.limit(1).select(*[edge.alias(f"{c}{i}") for c, pair in ends.items() for i, edge in enumerate(pair)]).first()
+    fences = Fences()._set(columns=list(fenced), bounds=[float(x) for x in row])
+    stages = [
+        VectorAssembler(inputCols=list(features), outputCol="flat"),
+        StandardScaler(inputCol="flat", outputCol="features", withMean=True),
+        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster"),
+    ]
+    inside = Pipeline(stages=stages).fit(fences.transform(df).where("outlier = 0"))
+    return PipelineModel([fences, *inside.stages, OutlierFirst()])
+
+
 def segment_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 42) -> list[tuple[int, float, float]]:
     """(k, within-cluster cost, silhouette) for every k."""
-    data = assemble(df, features).select("features").persist()
+    data = materialise(assemble(df, features).select("features"), "sweep")
     judge = ClusteringEvaluator(featuresCol="features", predictionCol="segment")
     rows = []
     for k in ks:
         model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment").fit(data)
         rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(data)))))
-    data.unpersist()
     return rows
 
 

@@ -8,79 +8,70 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.tables import materialise
 
 
-def time_chunk(ts: str, unit: str) -> Column:
-    return F.date_trunc(unit, F.col(ts))
+#: Binary logarithm of the rows that one window may hold.
+CHUNK_BITS = 16
 
 
-def previous_value(
-    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, unit: str = "day"
-) -> DataFrame:
-    """``lag(value, 1)`` per key ordered by (ts, tie), skew-safe.
+def in_order(df: DataFrame, key: str, *order: str, bits: int = CHUNK_BITS) -> DataFrame:
+    """``df`` with ``_at``, which rises along (key, ``order``), and ``_chunk``: at most 2 ** ``bits`` neighbours of a key.
 
-    ``unit`` sets the chunk; the hottest key's rows within one unit are what one task sorts.
+    Rows are placed by range of key and order together, so a key whose rows all fall in one hour is still sorted by many
+    tasks. Written once, so that a lost executor cannot number rows anew.
     """
-    chunked = df.withColumn("_chunk", time_chunk(ts, unit))
-    tails = chunked.groupBy(key, "_chunk").agg(F.max_by(value, F.struct(ts, tie)).alias("_tail"))
+    placed = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    return materialise(placed.withColumn("_at", F.monotonically_increasing_id()), "ordered").withColumn("_chunk", F.shiftright("_at", bits))
+
+
+def previous_value(df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, bits: int = CHUNK_BITS) -> DataFrame:
+    """``lag(value, 1)`` per key ordered by (ts, tie), skew-safe: a window holds at most 2 ** ``bits`` rows."""
+    chunked = in_order(df, key, ts, tie, bits=bits)
+    tails = chunked.groupBy(key, "_chunk").agg(F.max_by(value, "_at").alias("_tail"))
     carry = tails.select(
         key, "_chunk", F.lag("_tail").over(W.partitionBy(key).orderBy("_chunk")).alias("_carry")
     )
-    inside = W.partitionBy(key, "_chunk").orderBy(ts, tie)
+    inside = W.partitionBy(key, "_chunk").orderBy("_at")
     return (
         chunked.withColumn("_prev", F.lag(value).over(inside))
         .withColumn("_first", F.row_number().over(inside) == 1)
         .join(carry, [key, "_chunk"], "left")
         .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev")))
-        .drop("_chunk", "_prev", "_first", "_carry")
+        .drop("_chunk", "_at", "_prev", "_first", "_carry")
     )
 
 
-def as_of(
-    facts: DataFrame,
-    snapshots: DataFrame,
-    key: str,
-    ts: str,
-    value: str,
-    out: str,
-    tie: str,
-    unit: str = "hour",
-) -> DataFrame:
+def as_of(facts: DataFrame, snapshots: DataFrame, key: str, ts: str, value: str, out: str, tie: str, bits: int = CHUNK_BITS) -> DataFrame:
     """Attach to each fact the latest snapshot value of its key at or before its time.
 
-    Both sides are stacked and swept once, so there is no range join. Snapshots sort before facts at
-    equal times; ``tie`` breaks ties between snapshots (the larger wins).
+    Both sides are stacked and swept once, so there is no range join; a window holds at most 2 ** ``bits`` rows, and one
+    small row a chunk carries the last snapshot on. Snapshots sort before facts at equal times; ``tie`` breaks ties
+    between snapshots (the larger wins).
     """
-    left = facts.withColumn("_snap", F.lit(False))
-    right = snapshots.select(key, ts, F.col(tie), F.col(value).alias("_value")).withColumn("_snap", F.lit(True))
+    left = facts.withColumn("_fact", F.lit(1))
+    right = snapshots.select(key, ts, F.col(tie), F.col(value).alias("_value")).withColumn("_fact", F.lit(0))
     # A snapshot is boxed so that a null snapshot value still counts as the latest one.
     stacked = (
         left.unionByName(right, allowMissingColumns=True)
-        .withColumn("_box", F.when(F.col("_snap"), F.struct(F.col("_value").alias("v"))))
+        .withColumn("_box", F.when(F.col("_fact") == 0, F.struct(F.col("_value").alias("v"))))
         .drop("_value")
-        .withColumn("_chunk", time_chunk(ts, unit))
-    )
-    tails = stacked.groupBy(key, "_chunk").agg(
-        F.max_by("_box", F.when(F.col("_snap"), F.struct(F.col(ts), F.col(tie)))).alias("_tail")
     )
+    stacked = in_order(stacked, key, ts, "_fact", tie, bits=bits)
+    tails = stacked.groupBy(key, "_chunk").agg(F.max_by("_box", F.when(F.col("_fact") == 0, F.col("_at"))).alias("_tail"))
     before = W.partitionBy(key).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carry = tails.select(key, "_chunk", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
-    sweep = (
-        W.partitionBy(key, "_chunk")
-        .orderBy(F.col(ts), F.col("_snap").desc(), F.col(tie))
-        .rowsBetween(W.unboundedPreceding, 0)
-    )
+    sweep = W.partitionBy(key, "_chunk").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
     return (
         stacked.withColumn("_here", F.last("_box", ignorenulls=True).over(sweep))
-        .where(~F.col("_snap"))
+        .where("_fact = 1")
         .join(carry, [key, "_chunk"], "left")
         .withColumn(out, F.coalesce("_here", "_carry")["v"])
-        .drop("_snap", "_box", "_chunk", "_here", "_carry")
+        .drop("_fact", "_box", "_chunk", "_at", "_here", "_carry")
     )
 
 

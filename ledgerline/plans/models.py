@@ -17,9 +17,11 @@ from ledgerline.operators import evaluation as E
 from ledgerline.operators import features as P
 from ledgerline.operators import forecast as FC
 from ledgerline.operators import models as M
+from ledgerline.operators.ordered import hashed_position
 from ledgerline.operators.relational import top_k
 from ledgerline.operators.series import lags
 from ledgerline.plans.aggregates import a28
+from ledgerline.plans.cleaning import LABELLED
 from ledgerline.plans.common import DAILY, GRID, brand_days, events_grid
 from ledgerline.plans.preparation import RFM_COLS, combined_frame
 from ledgerline.plans.series import GW, mart
@@ -217,6 +219,16 @@ def m13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_custkey", "segment", *RFM_COLS)
 
 
+@query("m13_outlier_segments", f"with {LABELLED} select o_custkey, outlier, true as in_range from labelled")
+def m13_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outliers first, clusters of the rest; the stored pipeline is loaded again and labels every customer."""
+    customers, path = materialise(a28(spark, sf_dir), "rfm"), fresh_path(spark, "segments")
+    M.segment_inliers(customers, RFM_COLS, ["frequency", "monetary"], 4).write().save(path)
+    rows = PipelineModel.load(path).transform(customers)
+    usual = F.col("segment").between(0, 3) & (F.col("outlier") == 0)
+    return rows.select("o_custkey", "outlier", (usual | ((F.col("segment") == F.col("outlier")) & F.col("outlier").between(-3, -1))).alias("in_range"))
+
+
 @query("m14_elbow_silhouette")
 def m14(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = M.segment_sweep(scaled_rfm(spark, sf_dir), RFM_COLS, range(2, 11))
@@ -242,16 +254,12 @@ def m19(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Out-of-fold predictions of two learners feed a linear one; error of each on the test rows."""
     train, test = split_mart(spark, sf_dir)
     makers = {"tree": lambda: DecisionTreeRegressor(labelCol="target", maxDepth=5, seed=42), "line": lambda: M.linear("target", regParam=0.1)}
-    folded = train.withColumn("fold", F.pmod(F.xxhash64("hr"), F.lit(3)))
-    oof = None
+    folded = materialise(M.assemble(train, MART_FEATURES).withColumn("fold", F.pmod(F.xxhash64("hr"), F.lit(5)).cast("int")), "folded")
+    oof = folded.select("hr", "event_type", "target")
     for name, make in makers.items():
-        parts = []
-        for k in range(3):
-            model = M.fit(make(), folded.where(F.col("fold") != k), MART_FEATURES)
-            parts.append(model.transform(folded.where(F.col("fold") == k)).select("hr", "event_type", F.col("prediction").alias(name)))
-        one = M.stack_rows(parts)
-        oof = one if oof is None else oof.join(one, ["hr", "event_type"])
-    meta = M.fit(M.linear("target"), materialise(oof.join(train.select("hr", "event_type", "target"), ["hr", "event_type"]), "oof"), list(makers))
+        one = M.out_of_fold(make, folded, "fold", 5).select("hr", "event_type", F.col("prediction").alias(name))
+        oof = oof.join(one, ["hr", "event_type"])
+    meta = M.fit(M.linear("target"), materialise(oof, "oof"), list(makers))
     scored = test
     for name, make in makers.items():
         scored = M.fit(make(), train, MART_FEATURES).transform(scored).withColumnRenamed("prediction", name).drop("features")
@@ -259,6 +267,22 @@ def m19(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.stack_rows([E.regression_metrics(scored, "target", c).select(F.lit(c).alias("model"), "n", "mae", "rmse") for c in (*makers, "stacked")])
 
 
+@query(
+    "m17_out_of_fold",
+    """with r as (select doc_id, toxic, row_number() over (partition by toxic order by md5(doc_id::varchar), doc_id) as pos from labels)
+select ((pos - 1) % 5)::int as fold, count(*) as n, count(distinct doc_id) as ids, true as ranks_toxic_higher from r join documents using (doc_id) group by 1""",
+)
+def m17_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each labelled text scored once by a model that has not seen it; toxic texts score higher on average."""
+    rows = labelled_frame(spark, sf_dir)
+    folds = hashed_position(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", ["toxic"])
+    folded = materialise(rows.join(folds.select("doc_id", ((F.col("pos") - 1) % 5).cast("int").alias("fold")), "doc_id"), "folded")
+    scored = materialise(M.probability(M.out_of_fold(lambda: M.logistic("label", "weight", maxIter=20, regParam=0.05), folded, "fold", 5)).select("doc_id", "fold", "label", "p"), "scored")
+    toxic, clean = (F.avg(F.when(F.col("label") == y, F.col("p"))) for y in (1, 0))
+    higher = scored.agg((toxic > clean).alias("h")).scalar()
+    return scored.groupBy("fold").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids")).withColumn("ranks_toxic_higher", higher)
+
+
 @query("m20_recursive_forecast")
 def m20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FC.recursive_forecast(brand_days(spark, sf_dir), "brand", "d", "sales", 30)
@@ -281,6 +305,27 @@ def m22_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FC.backtest(brand_days(spark, sf_dir), "brand", "d", "sales", 730, 30, 30)
 
 
+CUTOFFS = f"""{DAILY}, span as (select max(d) as hi, min(d) as lo from cal), cuts as (select unnest(generate_series(0, 1000)) as i, span.* from span),
+counted as (select count(*) as cutoffs from cuts where hi - (30 + 90 * i)::int >= lo + 730)"""
+
+
+@query("m22_tuning", f"with {CUTOFFS} select brand, 10 as points, cutoffs * 10 as fits, true as best_is_least from (select distinct brand from daily), counted")
+def m22_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten drawn parameter points per series, each back-tested at every cutoff; the best point is refitted."""
+    scores, _ = tuned(spark, sf_dir)
+    least = F.min_by("chosen", F.struct("smape", "point"))
+    return scores.groupBy("brand").agg(F.count("*").cast("int").alias("points"), F.sum("cutoffs").alias("fits"), (least & (F.count_if("chosen") == 1)).alias("best_is_least"))
+
+
+@query("m22_tuned_forecast")
+def m22_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tuned(spark, sf_dir)[1]
+
+
+def tuned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return FC.tune(brand_days(spark, sf_dir), "brand", "d", "sales", 730, 90, 30)
+
+
 @query("m29_feature_importance")
 def m29(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = split_mart(spark, sf_dir)

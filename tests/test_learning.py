@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.sql import functions as F
 
 from ledgerline.operators import corpus as K
 from ledgerline.operators import evaluation as E
 from ledgerline.operators import features as P
+from ledgerline.operators import forecast as FC
 from ledgerline.operators import models as M
 
 
@@ -203,3 +207,70 @@ def test_encoding_pads_and_keeps_the_tail(spark):
     unknown = tokens.unionByName(spark.createDataFrame([(3, 0, "zz")], tokens.schema))
     rows = {r["k"]: (r["ids"], r["n_known"]) for r in K.encode(unknown, vocab, ["k"], 3, every).collect()}
     assert rows == {1: ([2, 1, 3], 4), 2: ([1, 0, 0], 1), 3: ([0, 0, 0], 0), 4: ([0, 0, 0], 0)}
+
+
+class Memory(Estimator):
+    """Knows the labels of the rows it was fitted on, and answers -1 for any other."""
+
+    def _fit(self, dataset):
+        known = {r["id"]: r["y"] for r in dataset.select("id", "y").collect()}
+        return Recall(known)
+
+
+class Recall(Model):
+    def __init__(self, known):
+        super().__init__()
+        self.known = known
+
+    def _transform(self, dataset):
+        answers = F.create_map(*[F.lit(x) for k, v in self.known.items() for x in (k, v)])
+        return dataset.withColumn("prediction", F.coalesce(answers[F.col("id")], F.lit(-1.0)))
+
+
+def test_a_memorising_learner_gains_nothing_out_of_fold(spark):
+    df = spark.createDataFrame([(i, float(i % 7), i % 5) for i in range(60)], "id int, y double, fold int")
+    got = M.out_of_fold(Memory, df, "fold", 5).collect()
+    assert sorted(r["id"] for r in got) == list(range(60))
+    assert {r["prediction"] for r in got} == {-1.0}
+    assert {r["prediction"] for r in Memory().fit(df).transform(df).collect()} == set(map(float, range(7)))
+
+
+def test_outliers_are_labelled_and_never_clustered(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(i, float(rng.normal(10 * (i % 4), 1)), float(rng.normal(5 * (i % 2), 1)), 1.0) for i in range(200)] + [(900, 500.0, 2.0, 1.0), (901, 5.0, 900.0, 1.0), (902, 700.0, 900.0, 1.0)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double")
+    M.segment_inliers(df, ["a", "b", "c"], ["a", "b"], 4).write().save(str(tmp_path / "model"))
+    model = PipelineModel.load(str(tmp_path / "model"))
+    new = spark.createDataFrame([(1, 1e9, 0.0, 1.0), (2, 0.0, 0.0, 1.0)], df.schema)
+    got = {r["id"]: r["segment"] for r in model.transform(df).collect()}
+    assert (got.pop(900), got.pop(901), got.pop(902)) == (-2, -1, -3)
+    assert set(got.values()) == {0, 1, 2, 3}
+    assert [r["segment"] < 0 for r in model.transform(new).orderBy("id").collect()] == [True, False]
+
+
+def test_tuning_scores_and_choice(spark):
+    """Scores of one series against a plain loop; two series draw their own points and the least score is refitted."""
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(500)]
+    rng = np.random.default_rng(4)
+    rows = [(k, d, float(20 + 3 * np.sin(2 * np.pi * i / 7) + i / 50 + rng.normal(0, 0.3))) for k in ("a", "b") for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "k string, d date, y double")
+    scores, ahead = FC.tune(df, "k", "d", "y", 365, 30, 20, draws=4)
+    got = scores.toPandas()
+    near = FC.calendar_columns(df.where("k = 'a'"), "d").orderBy("d").toPandas()["near"].to_numpy(float)
+    assert got.groupby("k").size().tolist() == [4, 4]
+    y = np.array([r[2] for r in rows if r[0] == "a"])
+    day, cuts = np.arange(500.0), list(range(499 - 20, 364, -30))
+    for r in got[got["k"] == "a"].to_dict("records"):
+        losses = []
+        for cut in cuts:
+            hold = np.arange(cut + 1, cut + 21)
+            yhat = FC._ridge(day, near, y, cut, hold, r)
+            losses.append(100 * np.mean(2 * np.abs(y[hold] - yhat) / (np.abs(y[hold]) + np.abs(yhat))))
+        assert r["cutoffs"] == len(cuts)
+        assert np.isclose(r["smape"], np.mean(losses))
+    for k, part in got.groupby("k"):
+        assert part.loc[part["chosen"], "smape"].tolist() == [part["smape"].min()]
+        mine = ahead.where(F.col("k") == k).orderBy("d").toPandas()
+        assert mine["d"].tolist() == [days[-1] + dt.timedelta(days=i) for i in range(1, 21)]
+        assert set(mine["point"]) == set(part.loc[part["chosen"], "point"])
+        assert np.abs(mine["yhat"] - (20 + 3 * np.sin(2 * np.pi * np.arange(500, 520) / 7) + np.arange(500, 520) / 50)).max() < 3

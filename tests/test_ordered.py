@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import quantiles
-from ledgerline.operators.ordered import as_of, hashed_position, previous_value, running_totals
+from ledgerline.operators.ordered import as_of, hashed_position, in_order, previous_value, running_totals
 from ledgerline.operators.quantiles import exact_quantiles, iqr_fences
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
@@ -102,7 +102,7 @@ def events(n: int, seed: int = 1) -> pd.DataFrame:
 
 def test_previous_value_equals_shift(spark):
     pdf = events(3000)
-    got = previous_value(spark.createDataFrame(pdf), "k", "ts", "id", "v", "prev", unit="hour").toPandas().sort_values("id")
+    got = previous_value(spark.createDataFrame(pdf), "k", "ts", "id", "v", "prev", bits=3).toPandas().sort_values("id")
     want = pdf.sort_values(["k", "ts", "id"]).assign(prev=lambda d: d.groupby("k")["v"].shift(1)).sort_values("id")
     assert np.allclose(got["prev"], want["prev"], equal_nan=True)
     assert len(got) == len(pdf)
@@ -110,7 +110,7 @@ def test_previous_value_equals_shift(spark):
 
 def test_as_of_equals_merge_asof(spark):
     facts, snaps = events(2000, 2).drop(columns="v"), events(300, 3)
-    got = as_of(spark.createDataFrame(facts), spark.createDataFrame(snaps), "k", "ts", "v", "last", "id").toPandas().sort_values("id")
+    got = as_of(spark.createDataFrame(facts), spark.createDataFrame(snaps), "k", "ts", "v", "last", "id", bits=3).toPandas().sort_values("id")
     snaps = snaps.sort_values(["ts", "id"]).drop_duplicates(["k", "ts"], keep="last")
     want = pd.merge_asof(facts.sort_values("ts"), snaps[["k", "ts", "v"]].sort_values("ts"), on="ts", by="k").sort_values("id")
     assert len(got) == len(facts)
@@ -124,6 +124,24 @@ def test_as_of_keeps_a_null_snapshot(spark):
     assert as_of(facts, snaps, "k", "ts", "v", "last", "id").first()["last"] is None
 
 
+def test_hot_key_in_one_hour_is_swept_by_many_tasks(spark):
+    """One key holds all rows of one hour: several tasks sort it, and no window holds more rows than stated."""
+    start = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, start + dt.timedelta(seconds=(i * 7919) % 3000), i) for i in range(4000)], "k int, ts timestamp_ntz, id int").repartition(8)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"  # small pieces would be merged by size
+    spark.conf.set(merging, "false")
+    try:
+        placed = in_order(df, "k", "ts", "id", bits=6)
+    finally:
+        spark.conf.unset(merging)
+    assert placed.groupBy("k", "_chunk").count().agg(F.max("count")).first()[0] <= 64
+    per_task = [r["count"] for r in placed.groupBy(F.shiftright("_at", 33)).count().collect()]
+    assert len(per_task) >= 4
+    assert max(per_task) < 2000
+    got = previous_value(df, "k", "ts", "id", "id", "prev", bits=6).toPandas().sort_values(["ts", "id"])
+    assert got["prev"].tolist()[1:] == got["id"].tolist()[:-1]
+
+
 def test_running_totals_equal_cumsum(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"x": np.unique(np.round(rng.normal(size=5000), 3))})
