@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from concurrent.futures import ProcessPoolExecutor
 from dataclasses import dataclass
+from multiprocessing import get_context
 
 import numpy as np
 import pyarrow as pa
@@ -310,7 +312,9 @@ def fit_sample(batches: Iterator[pa.RecordBatch], count: dict[int, int], most_by
                 y.append(label)
     toxic = np.array(y, int)
     share = np.where(toxic == 1, count.get(1, 0) / max(1, int((toxic == 1).sum())), count.get(0, 0) / max(1, int((toxic == 0).sum())))
-    return fit(text, toxic, share)
+    # In a process of its own: what fitting takes goes back to the system, and later tasks of this worker have it.
+    with ProcessPoolExecutor(1, mp_context=get_context("fork")) as apart:
+        return apart.submit(fit, text, toxic, share).result()
 
 
 _scorers: dict[int, Scorer] = {}
