@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.text import normalize_text, sentences, tokenize
 from ledgerline.tables import place
@@ -22,52 +26,89 @@ def vocabulary(tokens: DataFrame, size: int) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(W.orderBy(F.col("n").desc(), F.col("token"))))
 
 
-def bag_of_words(tokens: DataFrame, vocab: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., rank, count) for words of the vocabulary; the vocabulary is bounded, so it is broadcast."""
-    counts = tokens.groupBy(*keys, "token").agg(F.count("*").alias("count"))
-    return counts.join(F.broadcast(vocab.select("token", "rank")), "token").select(*keys, "rank", "count")
+def word_rows(df: DataFrame, keys: Sequence[str], words: Column) -> DataFrame:
+    """(keys..., words): one row a text, its words as an array; a text without words has an empty one."""
+    return df.select(*keys, F.coalesce(words, F.array().cast("array<string>")).alias("words"))
 
 
-def encode(tokens: DataFrame, vocab: DataFrame, keys: Sequence[str], width: int, every: DataFrame | None = None) -> DataFrame:
+def looked_up(rows: DataFrame, words: str, entries: DataFrame, out: str, most: int = 100_000) -> DataFrame:
+    """Adds ``out``: for each word of an array column its value in ``entries`` (token, value), null where it has none.
+
+    The dictionary is small by contract (more than ``most`` entries are an error) and travels with the job; rows stay
+    where they are and whole, so nothing is shuffled and no text is lost. Batches are looked up at once, by hash.
+    """
+    known = entries.limit(most + 1).toArrow()
+    if known.num_rows > most:
+        raise ValueError(f"more than {most} entries in the dictionary")
+    tokens, values = (known.column(i).combine_chunks() for i in range(2))
+    kind = T.ArrayType(entries.schema.fields[1].dataType)
+    at = rows.columns.index(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(at)
+            flat = column.flatten()
+            found = values.take(pc.index_in(flat, value_set=tokens.cast(flat.type)))
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, found)], names=[*batch.schema.names, out])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, kind)]))
+
+
+def bag_of_words(rows: DataFrame, vocab: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., rank, count) for words of the vocabulary; ``rows`` are ``word_rows``. Counted inside each row."""
+    ranked = looked_up(rows, "words", vocab.select("token", "rank"), "ranks")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(len(keys))
+            sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+            ranks = column.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pairs, counts = np.unique(np.stack([row, ranks.astype(np.int64)]), axis=1, return_counts=True)
+            picked = pa.array(pairs[0])
+            yield pa.RecordBatch.from_arrays([*(c.take(picked) for c in batch.columns[: len(keys)]), pa.array(pairs[1], pa.int32()), pa.array(counts, pa.int64())], names=[*keys, "rank", "count"])
+
+    known = ranked.select(*keys, F.array_compact("ranks").alias("ranks"))
+    fields = [*rows.select(*keys).schema.fields, T.StructField("rank", T.IntegerType()), T.StructField("count", T.LongType())]
+    return known.mapInArrow(count, T.StructType(fields))
+
+
+def encode(rows: DataFrame, vocab: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
     """Word ranks in text order, zero-padded at the end to ``width``; longer rows keep their last ``width``.
 
-    Only words inside the vocabulary are kept. ``n_known`` tells how many there were. ``every`` has the keys of all
-    texts: those without a known word, or without words, are all padding. Without it the texts with words are given.
+    ``rows`` are ``word_rows``. Only words inside the vocabulary are kept; ``n_known`` tells how many there were. A text
+    without a known word, or without words, is all padding.
     """
-    known = tokens.join(F.broadcast(vocab.select("token", "rank")), "token", "left")
-    word = F.when(F.col("rank").isNotNull(), F.struct("pos", "rank"))  # a list takes no nulls
-    rows = known.groupBy(*keys).agg(F.array_sort(F.collect_list(word)).alias("s"))
-    if every is not None:
-        rows = every.join(rows, list(keys), "left")
-    ids = F.coalesce(F.transform("s", lambda x: x["rank"]), F.array().cast("array<int>"))
-    tail = F.slice(ids, F.greatest(F.size(ids) - width + 1, F.lit(1)), width)
-    padded = F.concat(tail, F.array_repeat(F.lit(0), F.greatest(F.lit(width) - F.size(ids), F.lit(0))))
-    return rows.select(*keys, padded.alias("ids"), F.size(ids).alias("n_known"))
-
-
-def lookup_lemmas(tokens: DataFrame, lemmas: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each word replaced by its lemma where the dictionary has one, back in text order."""
-    named = tokens.join(lemmas.select(F.col("form").alias("token"), "lemma"), "token", "left")
-    word = F.coalesce("lemma", "token").alias("w")
-    rows = named.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", word))).alias("s"))
-    return rows.select(*keys, F.concat_ws(" ", F.transform("s", lambda x: x["w"])).alias("lemmas"))
-
-
-def lexicon_scores(tokens: DataFrame, lexicon: DataFrame, keys: Sequence[str], negations: Sequence[str]) -> DataFrame:
-    """Sum of word valences per text; a joined negation flips the sign of the word behind it."""
-    cut = F.instr("token", "_")
-    head = F.when(cut > 0, F.substring_index("token", "_", 1))
-    negated = F.coalesce(head.isin(*negations), F.lit(False))
-    word = F.when(negated, F.substr("token", cut + 1)).otherwise(F.col("token"))
-    sign = F.when(negated, F.lit(-1.0)).otherwise(F.lit(1.0))
-    scored = tokens.select(*keys, word.alias("word"), sign.alias("sign")).join(
-        lexicon.select(F.col("token").alias("word"), "valence"), "word", "left"
-    )
-    v = F.coalesce(F.col("valence"), F.lit(0.0)) * F.col("sign")
-    s = F.sum(v)
-    return scored.groupBy(*keys).agg(
-        (F.count_if(v > 0) / F.count("*")).alias("pos"), (F.count_if(v < 0) / F.count("*")).alias("neg"), (s / F.sqrt(s * s + 15)).alias("compound")
-    )
+    ids = F.array_compact("ranks")
+    ranked = looked_up(rows, "words", vocab.select("token", "rank"), "ranks").select(*keys, ids.alias("ids"))
+    tail = F.slice("ids", F.greatest(F.size("ids") - width + 1, F.lit(1)), width)
+    padded = F.concat(tail, F.array_repeat(F.lit(0), F.greatest(F.lit(width) - F.size("ids"), F.lit(0))))
+    return ranked.select(*keys, padded.alias("ids"), F.size("ids").alias("n_known"))
+
+
+def lookup_lemmas(rows: DataFrame, lemmas: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each word replaced by its lemma where the dictionary (form, lemma) has one, in text order; no words, no text."""
+    named = looked_up(rows, "words", lemmas.select("form", "lemma"), "lemma")
+    return named.select(*keys, F.concat_ws(" ", F.zip_with("words", "lemma", lambda w, lemma: F.coalesce(lemma, w))).alias("lemmas"))
+
+
+def lexicon_scores(rows: DataFrame, lexicon: DataFrame, keys: Sequence[str], negations: Sequence[str]) -> DataFrame:
+    """Word valences of a text; a joined negation flips the sign of the word behind it. A text without words scores 0."""
+
+    def negated(token: Column) -> Column:
+        return (F.instr(token, "_") > 0) & F.substring_index(token, "_", 1).isin(*negations)
+
+    def bare(token: Column) -> Column:
+        return F.when(negated(token), F.substr(token, F.instr(token, "_") + 1)).otherwise(token)
+
+    signs = F.transform("words", lambda t: F.when(negated(t), -1.0).otherwise(1.0)).alias("signs")
+    found = looked_up(rows.select(*keys, F.transform("words", bare).alias("words"), signs), "words", lexicon.select("token", "valence"), "valence")
+    v = found.select(*keys, F.zip_with("valence", "signs", lambda x, s: F.coalesce(x, F.lit(0.0)) * s).alias("v"))
+    s = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
+    shares = [F.coalesce(F.try_divide(F.size(F.filter("v", hit)), F.size("v")), F.lit(0.0)).alias(n) for n, hit in (("pos", lambda x: x > 0), ("neg", lambda x: x < 0))]
+    return v.select(*keys, *shares, (s / F.sqrt(s * s + 15)).alias("compound"))
 
 
 def top_words_by_class(tokens: DataFrame, label: str, k: int) -> DataFrame:
@@ -101,7 +142,8 @@ def summarise(df: DataFrame, key: str, text: str, how: str, chunk: int = 20, per
     ``map_reduce``: best sentences of each run of ``chunk`` sentences, then the best of those.
     ``refine``: the chunk winners are merged one chunk after the other into a running best list.
     ``stuff``: the best of the whole document at once.
-    The texts move once, by key; scores, ranks and the final pick-up of sentences stay in place.
+    A document without sentences has an empty summary. The texts move once, by key; scores, ranks and the final pick-up
+    of sentences stay in place.
     """
     placed = place(df.select(key, text), key)
     s = scored_sentences(placed, key, text)
@@ -122,7 +164,8 @@ def summarise(df: DataFrame, key: str, text: str, how: str, chunk: int = 20, per
         else:
             raise ValueError(f"unknown way to summarise: {how}")
     cut = F.concat_ws(" ", F.transform("pick", lambda i: F.get(F.col("_s"), i)))
-    return placed.withColumn("_s", sentences(F.col(text))).join(chosen, key).select(key, cut.alias("summary"))
+    every = placed.withColumn("_s", sentences(F.col(text))).join(chosen, key, "left")
+    return every.select(key, F.coalesce(cut, F.lit("")).alias("summary"))
 
 
 def vector_coverage(vocab: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -131,7 +174,8 @@ def vector_coverage(vocab: DataFrame, vectors: DataFrame) -> DataFrame:
     return hit.agg(F.count("hit").alias("covered"), (F.count("*") + 1).alias("size")).withColumn("share", F.col("covered") / F.col("size"))
 
 
-def max_pool(tokens: DataFrame, vectors: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
-    """Largest value per dimension over the words of a text."""
-    known = tokens.join(vectors, "token")
-    return known.groupBy(*keys).agg(F.array(*[F.max(F.col("vector")[i]) for i in range(width)]).alias("pooled"))
+def max_pool(rows: DataFrame, vectors: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """Largest value per dimension over the words of a text that have a vector; null where none has."""
+    found = looked_up(rows, "words", vectors.select("token", "vector"), "vectors").select(*keys, F.array_compact("vectors").alias("vectors"))
+    pooled = F.array(*[F.array_max(F.transform("vectors", lambda v: F.get(v, F.lit(i)))) for i in range(width)])
+    return found.select(*keys, F.when(F.size("vectors") > 0, pooled).alias("pooled"))

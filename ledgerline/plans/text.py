@@ -9,7 +9,7 @@ from ledgerline.functions import text as X
 from ledgerline.operators import corpus as K
 from ledgerline.operators.quantiles import exact_quantiles
 from ledgerline.registry import query
-from ledgerline.tables import materialise, place, spread, table
+from ledgerline.tables import materialise, spread, table
 
 WS = r"[ \t\n\r\f\x0B]"
 
@@ -45,17 +45,17 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def keyed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents placed by their key: the texts move once, and regrouping their words moves nothing."""
-    return place(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-
-
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations")
 
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.token_table(keyed_docs(spark, sf_dir), ["doc_id"], "text")
+    return X.token_table(docs(spark, sf_dir), ["doc_id"], "text")
+
+
+def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as arrays of words, one row each."""
+    return K.word_rows(docs(spark, sf_dir), ["doc_id"], X.tokenize(X.normalize_text(F.col("text"))))
 
 
 @query("t01_normalize", f"select doc_id, {norm_sql('body')} as clean from (select doc_id, case when doc_id % 50 = 0 then null when doc_id % 50 = 1 then '' else text end as body from documents)")
@@ -127,11 +127,10 @@ def lemma_table(tokens: DataFrame) -> DataFrame:
 
 @query(
     "t06_lemmas",
-    f"with {DOC_TOKENS}, {LEMMAS} select doc_id, string_agg(coalesce(lemma, token), ' ' order by pos) as lemmas from tok left join lem on form = token group by 1",
+    f"with {DOC_TOKENS}, {LEMMAS} select doc_id, coalesce(string_agg(coalesce(lemma, token), ' ' order by pos), '') as lemmas from documents left join tok using (doc_id) left join lem on form = token group by 1",
 )
 def t06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = doc_tokens(spark, sf_dir)
-    return K.lookup_lemmas(tokens, F.broadcast(lemma_table(tokens)), ["doc_id"])  # at most 5000 words
+    return K.lookup_lemmas(doc_words(spark, sf_dir), lemma_table(doc_tokens(spark, sf_dir)), ["doc_id"])
 
 
 LEX = f"""ct as (select conv_id, turn, {tokens_sql(norm_sql('text'))} as toks from conversations),
@@ -153,8 +152,8 @@ def lexicon(tokens: DataFrame) -> DataFrame:
 def t07(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = X.token_table(turns(spark, sf_dir), ["conv_id", "turn"], "text")
     joined = X.tokenize(X.join_negations(X.one_spaced(X.normalize_text(negated_body()))))
-    tokens = turns(spark, sf_dir).select("conv_id", "turn", F.explode(joined).alias("token"))
-    s = K.lexicon_scores(tokens, F.broadcast(lexicon(words)), ["conv_id", "turn"], X.NEGATIONS)  # at most 5000 words
+    rows = K.word_rows(turns(spark, sf_dir), ["conv_id", "turn"], joined)
+    s = K.lexicon_scores(rows, lexicon(words), ["conv_id", "turn"], X.NEGATIONS)
     return s.select("conv_id", "turn", *[F.round(c, 6).alias(c) for c in ("pos", "neg")], (F.round("compound", 6) + 0.0).alias("compound"))
 
 
@@ -174,8 +173,7 @@ def t09(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("t09_bag_of_words", f"with {DOC_TOKENS}, {VOCAB} select doc_id, rank, count(*) as count from tok join vocab using (token) group by all")
 def t09_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = doc_tokens(spark, sf_dir)
-    return K.bag_of_words(tokens, K.vocabulary(tokens, 5000), ["doc_id"])
+    return K.bag_of_words(doc_words(spark, sf_dir), K.vocabulary(doc_tokens(spark, sf_dir), 5000), ["doc_id"])
 
 
 @query(
@@ -196,9 +194,8 @@ def t10(spark: SparkSession, sf_dir: str) -> DataFrame:
 select doc_id, list_concat(list_slice(ids, greatest(len(ids) - 499, 1), len(ids)), list_transform(range(greatest(500 - len(ids), 0)), lambda x: 0)) as ids, len(ids)::int as n_known from (select doc_id, coalesce(ids, []::bigint[]) as ids from documents left join e using (doc_id))""",
 )
 def t11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = doc_tokens(spark, sf_dir)
     # Index 0 is the padding, so a limit of 5000 words leaves ranks 1 .. 4999.
-    return K.encode(tokens, K.vocabulary(tokens, 5000).where("rank < 5000"), ["doc_id"], 500, table(spark, sf_dir, "documents").select("doc_id"))
+    return K.encode(doc_words(spark, sf_dir), K.vocabulary(doc_tokens(spark, sf_dir), 5000).where("rank < 5000"), ["doc_id"], 500)
 
 
 VECTORS = "vec as (select token, [" + ", ".join(f"((('0x' || substr(md5(token), {2 * i + 3}, 2))::int - 128) / 128.0)::double" for i in range(4)) + "] as vector from vocab where substr(md5(token), 1, 1) < 'c')"
@@ -216,11 +213,9 @@ def t12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.vector_coverage(vocab, word_vectors(vocab)).withColumn("share", F.round("share", 6))
 
 
-@query("t12_max_pool", f"with {DOC_TOKENS}, {VOCAB}, {VECTORS} select doc_id, [" + ", ".join(f"max(vector[{i + 1}])" for i in range(4)) + "] as pooled from tok join vec using (token) group by 1")
+@query("t12_max_pool", f"with {DOC_TOKENS}, {VOCAB}, {VECTORS} select doc_id, pooled from (select doc_id, [" + ", ".join(f"max(vector[{i + 1}])" for i in range(4)) + "] as maxima, case when count(vector) > 0 then maxima end as pooled from documents left join tok using (doc_id) left join vec using (token) group by 1)")
 def t12_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = doc_tokens(spark, sf_dir)
-    vectors = F.broadcast(word_vectors(K.vocabulary(tokens, 5000)))  # at most 5000 words
-    return K.max_pool(tokens, vectors, ["doc_id"], 4)
+    return K.max_pool(doc_words(spark, sf_dir), word_vectors(K.vocabulary(doc_tokens(spark, sf_dir), 5000)), ["doc_id"], 4)
 
 
 @query(
@@ -239,7 +234,7 @@ sc as (select doc_id, sent, avg(tf) as score from sw join tf using (doc_id, toke
 ranked as (select st.doc_id, st.sent, sentence, coalesce(score, 0) as score from st left join sc using (doc_id, sent)),
 best as (select *, sent // 20 as chunk from ranked qualify row_number() over (partition by doc_id, sent // 20 order by score desc, sent) <= 2),
 final as (select * from best qualify row_number() over (partition by doc_id order by score desc, sent) <= 3)"""
-SUMMARY = "select doc_id, string_agg(sentence, ' ' order by sent) as summary from {t} group by 1"
+SUMMARY = "select doc_id, coalesce(string_agg(sentence, ' ' order by sent), '') as summary from documents left join {t} using (doc_id) group by 1"
 
 
 @query("t14_map_reduce_summary", f"with {SENT} " + SUMMARY.format(t="final"))

@@ -198,15 +198,44 @@ def test_scoring_refuses_missing_features(spark):
         M.score_batch(model, spark.createDataFrame([(None,)], "x double"), ["x"], ["x"])
 
 
+def words_of(spark, texts):
+    return spark.createDataFrame([(k, t.split()) for k, t in texts.items()], "k int, words array<string>")
+
+
 def test_encoding_pads_and_keeps_the_tail(spark):
-    tokens = spark.createDataFrame([(1, i, w) for i, w in enumerate("a b a c zz".split())] + [(2, 0, "a")], "k int, pos int, token string")
+    rows = words_of(spark, {1: "a b a c zz", 2: "a", 3: "zz", 4: ""})
     vocab = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "token string, rank int")
-    rows = {r["k"]: (r["ids"], r["n_known"]) for r in K.encode(tokens, vocab, ["k"], 3).collect()}
-    assert rows == {1: ([2, 1, 3], 4), 2: ([1, 0, 0], 1)}
-    every = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k int")
-    unknown = tokens.unionByName(spark.createDataFrame([(3, 0, "zz")], tokens.schema))
-    rows = {r["k"]: (r["ids"], r["n_known"]) for r in K.encode(unknown, vocab, ["k"], 3, every).collect()}
-    assert rows == {1: ([2, 1, 3], 4), 2: ([1, 0, 0], 1), 3: ([0, 0, 0], 0), 4: ([0, 0, 0], 0)}
+    got = {r["k"]: (r["ids"], r["n_known"]) for r in K.encode(rows, vocab, ["k"], 3).collect()}
+    assert got == {1: ([2, 1, 3], 4), 2: ([1, 0, 0], 1), 3: ([0, 0, 0], 0), 4: ([0, 0, 0], 0)}
+    assert sorted(tuple(r) for r in K.bag_of_words(rows, vocab, ["k"]).collect()) == [(1, 1, 2), (1, 2, 1), (1, 3, 1), (2, 1, 1)]
+
+
+def test_documents_in_are_documents_out(spark):
+    rows = words_of(spark, {1: "cats sit", 2: "", 3: "zz not_good good", 4: "bad"}).unionByName(spark.createDataFrame([(5, None)], "k int, words array<string>"))
+    rows = K.word_rows(rows, ["k"], F.col("words"))
+    lemmas = spark.createDataFrame([("cats", "cat")], "form string, lemma string")
+    assert {r["k"]: r["lemmas"] for r in K.lookup_lemmas(rows, lemmas, ["k"]).collect()} == {1: "cat sit", 2: "", 3: "zz not_good good", 4: "bad", 5: ""}
+    lexicon = spark.createDataFrame([("good", 2.0), ("bad", -1.0)], "token string, valence double")
+    got = {r["k"]: (r["pos"], r["neg"], round(r["compound"], 6)) for r in K.lexicon_scores(rows, lexicon, ["k"], ["not"]).collect()}
+    assert got == {1: (0, 0, 0), 2: (0, 0, 0), 3: (1 / 3, 1 / 3, 0), 4: (0, 1, -0.25), 5: (0, 0, 0)}
+    vectors = spark.createDataFrame([("cats", [1.0, -2.0]), ("sit", [0.5, 3.0])], "token string, vector array<double>")
+    assert {r["k"]: r["pooled"] for r in K.max_pool(rows, vectors, ["k"], 2).collect()} == {1: [1.0, 3.0], 2: None, 3: None, 4: None, 5: None}
+    texts = spark.createDataFrame([(1, "One two. Two three! Four."), (2, ""), (3, None), (4, "  ")], "k int, text string")
+    for how in ("map_reduce", "refine", "stuff"):
+        summaries = {r["k"]: r["summary"] for r in K.summarise(texts, "k", "text", how).collect()}
+        assert set(summaries) == {1, 2, 3, 4}
+        assert [summaries[k] for k in (2, 3, 4)] == ["", "", ""]
+    with pytest.raises(ValueError, match="more than 1 entries"):
+        K.looked_up(rows, "words", lexicon, "v", most=1)
+
+
+def test_no_exchange_carries_texts_or_words(spark, sf_dir):
+    from ledgerline.plans import text as X
+
+    for name in (X.t06, X.t09_bag, X.t11, X.t12_pool):
+        plan = name(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        after = [line for line in plan.split("\n") if "Exchange" in line and "RoundRobin" not in line]  # one file is dealt to all cores first
+        assert not after, plan
 
 
 class Memory(Estimator):
