@@ -158,6 +158,23 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     )
 
 
+def histogram_by(df: DataFrame, col: str, by: str, bins: int) -> DataFrame:
+    """(by, bin, low, n, share) over equal bins of the whole column, the same for every class; empty bins are kept.
+
+    ``share`` is of the class's rows. Rows without a value or a class are left out.
+    """
+    known = df.where(F.col(col).isNotNull() & F.col(by).isNotNull())
+    edges = known.agg(F.struct(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi")).alias("e")).scalar()
+    lo, hi = edges.getField("lo"), edges.getField("hi")
+    place = F.coalesce(F.least(F.floor(F.try_divide(F.col(col) - lo, hi - lo) * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+    counts = known.groupBy(by, place.alias("bin")).agg(F.count("*").alias("n"))
+    # One row a class: its counts as a map, unfolded over all bins.
+    held = counts.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"), F.sum("n").alias("t"))
+    every = held.select(by, "m", "t", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    n = F.coalesce(F.try_element_at("m", F.col("bin")), F.lit(0).cast("long"))
+    return every.select(by, "bin", (lo + F.col("bin") * (hi - lo) / bins).alias("low"), n.alias("n"), (n / F.col("t")).alias("share"))
+
+
 def drop_zscore(df: DataFrame, col: str, limit: float, by: Sequence[str]) -> DataFrame:
     """Drop rows more than ``limit`` population deviations from their group's mean; nulls stay out of both."""
     # Written first, so that the planner sees the true size of the group table.

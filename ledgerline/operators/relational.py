@@ -101,14 +101,25 @@ def item_blocks(items: DataFrame, item: str) -> int:
     return max(1, -(-int(n * 1.1) // BLOCK_ITEMS))
 
 
-def cooccurring_pairs(bridge: DataFrame, group: str, item: str, blocks: int = 1) -> DataFrame:
+#: Pairs of items that a task adds up before it hands them on.
+HELD_PAIRS = 1_000_000
+
+
+def cooccurring_pairs(bridge: DataFrame, group: str, item: str, blocks: int = 1, least_support: int = 1, held_pairs: int = HELD_PAIRS) -> DataFrame:
     """How many groups hold both items, for every unordered pair: (item_a, item_b, pair_count), a < b.
 
     Each task turns its groups into 0/1 rows and adds up their Gram matrix, so what leaves the task is
     at most one number per pair of items, whatever the number of groups. The item list is cut into
     ``blocks`` (see ``item_blocks``) so that one matrix stays small; with more than one
-    block every pair of blocks is a separate piece of work.
+    block every pair of blocks is a separate piece of work. A task holds at most about ``held_pairs``
+    partial sums and hands them on when it has more; they merge by pair.
+
+    With ``least_support``, only pairs held by that many groups are given. No pair is held by more groups than the rarer
+    of its items, so items of fewer groups are dropped before any pair is made.
     """
+    if least_support > 1:
+        often = bridge.select(group, item).distinct().groupBy(item).agg(F.count("*").alias("_n")).where(F.col("_n") >= least_support)
+        bridge = bridge.join(often.select(item), item, "left_semi")
     block = F.pmod(F.xxhash64(item), F.lit(blocks)).alias("b")
     sets = (
         bridge.select(group, item, block)
@@ -126,6 +137,11 @@ def cooccurring_pairs(bridge: DataFrame, group: str, item: str, blocks: int = 1)
         # A block pair is spread over 16 tasks by group, so no pair is bound to one task.
         work = work.repartition("bi", "bj", F.pmod(F.xxhash64(group), F.lit(16))).select("bi", "bj", "xs", "ys")
 
+    def handed_on(sums: dict[tuple[int, int], pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in sums.values():
+            yield s.astype(np.int64).rename("n").rename_axis(["p", "q"]).reset_index()
+        sums.clear()
+
     def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple[int, int], pd.Series] = {}
         for pdf in batches:
@@ -142,9 +158,9 @@ def cooccurring_pairs(bridge: DataFrame, group: str, item: str, blocks: int = 1)
                 i, j = np.nonzero(dense)
                 found = pd.Series(dense[i, j].astype(np.int64), index=pd.MultiIndex.from_arrays([xn[i], yn[j]]))
                 sums[pair] = found if pair not in sums else sums[pair].add(found, fill_value=0)
-        for s in sums.values():
-            out = s.astype(np.int64).rename("n").rename_axis(["p", "q"]).reset_index()
-            yield out
+                if sum(map(len, sums.values())) > held_pairs:
+                    yield from handed_on(sums)
+        yield from handed_on(sums)
 
     kind = dict(bridge.dtypes)[item]
     counted = work.mapInPandas(gram, schema=f"p {kind}, q {kind}, n bigint")
@@ -156,9 +172,10 @@ def cooccurring_pairs(bridge: DataFrame, group: str, item: str, blocks: int = 1)
     if blocks > 1:
         # Inside one block both orders are produced; keep one of them.
         counted = counted.where(~same_block | (F.col("p") < F.col("q")))
-    return counted.groupBy(F.least("p", "q").alias("item_a"), F.greatest("p", "q").alias("item_b")).agg(
+    pairs = counted.groupBy(F.least("p", "q").alias("item_a"), F.greatest("p", "q").alias("item_b")).agg(
         F.sum("n").alias("pair_count")
     )
+    return pairs.where(F.col("pair_count") >= least_support) if least_support > 1 else pairs
 
 
 def rfm(df: DataFrame, key: str, ts: str, order: str, amount: str) -> DataFrame:

@@ -93,20 +93,26 @@ def fill_forward_back(df: DataFrame, key: str, ts: str, cols: Sequence[str]) ->
     )
 
 
-def interpolate(df: DataFrame, key: str, ts: str, col: str, out: str) -> DataFrame:
-    """Straight line in time between known points; the last known value after the final one."""
+def interpolate(df: DataFrame, key: str, ts: str, col: str, out: str, by: str = "time") -> DataFrame:
+    """Straight line between known points; the last known value after the final one.
+
+    ``by``: weight by elapsed ``time``, or by ``position``, where every row is one step.
+    """
+    if by not in ("time", "position"):
+        raise ValueError(f"unknown weight: {by}")
     w = series_window(key, ts)
     back = w.rowsBetween(W.unboundedPreceding, 0)
     ahead = w.rowsBetween(0, W.unboundedFollowing)
-    point = F.when(F.col(col).isNotNull(), F.struct(F.col(ts).alias("t"), F.col(col).alias("v")))
+    at = F.row_number().over(w).cast("long") if by == "position" else F.unix_micros(F.col(ts).cast("timestamp"))
+    point = F.when(F.col(col).isNotNull(), F.struct(F.col("_at").alias("t"), F.col(col).alias("v")))
     p, q = F.col("_p"), F.col("_q")
-    share = F.try_divide(F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(p["t"].cast("timestamp")),
-                         F.unix_micros(q["t"].cast("timestamp")) - F.unix_micros(p["t"].cast("timestamp")))
+    share = F.try_divide(F.col("_at") - p["t"], q["t"] - p["t"])
     return (
-        df.withColumn("_p", F.last(point, True).over(back))
+        df.withColumn("_at", at)
+        .withColumn("_p", F.last(point, True).over(back))
         .withColumn("_q", F.first(point, True).over(ahead))
         .withColumn(out, F.coalesce(F.col(col), p["v"] + (q["v"] - p["v"]) * share, p["v"]))
-        .drop("_p", "_q")
+        .drop("_at", "_p", "_q")
     )
 
 

@@ -439,6 +439,20 @@ def a35(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worst.unionByName(best)
 
 
+@query(
+    "a35_worst_best_zones",
+    f"""with {ERRORS}, z as (select event_type, round(avg(abs_error), 6) as mae, round(avg(signed), 6) as bias, count(*) as n from err group by 1)
+(select 'worst' as side, * from z order by mae desc, event_type limit 2) union all (select 'best', * from z order by mae, event_type limit 2)""",
+)
+def a35_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zones forecast worst and best, with the sign of their error; the event type stands for the zone."""
+    errors = [F.round(F.avg("abs_error"), 6).alias("mae"), F.round(F.avg("signed"), 6).alias("bias"), F.count("*").alias("n")]
+    per = materialise(baseline_errors(spark, sf_dir).groupBy("event_type").agg(*errors), "zones")
+    worst = top_k(per, 2, [F.col("mae").desc()], ["event_type"]).select(F.lit("worst").alias("side"), *per.columns)
+    best = top_k(per, 2, [F.col("mae").asc()], ["event_type"]).select(F.lit("best").alias("side"), *per.columns)
+    return worst.unionByName(best)
+
+
 @query("a36_bias", f"with {ERRORS} select event_type, round(avg(signed), 6) as mean_signed, round(quantile_cont(signed::double, 0.5), 6) as median_signed from err group by all")
 def a36(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One key's errors are at most one per calendar hour.
@@ -461,6 +475,25 @@ def a37(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.select("hr", F.round("m", 6).alias("mae"), (F.col("m") > 1.2 * offline).alias("alarm"))
 
 
+@query(
+    "a38_quarter_year_totals",
+    """with q as (select last_day(date_trunc('quarter', o_orderdate) + interval 2 month)::date as period_end, sum(o_totalprice) as s, count(*) as c from orders where o_orderpriority = '5-LOW' group by 1),
+cal as (select unnest(generate_series((select date_trunc('quarter', min(period_end)) from q), (select max(period_end) from q), interval 3 month)) as x),
+dense as (select last_day(x + interval 2 month)::date as period_end, coalesce(s, 0) as s, coalesce(c, 0) as c from cal left join q on q.period_end = last_day(x + interval 2 month)::date)
+select 'quarter' as level, period_end, round(s, 2) as total, c::bigint as n from dense
+union all select 'year', make_date(year(period_end), 12, 31), round(sum(s), 2), sum(c)::bigint from dense group by year(period_end)""",
+)
+def a38_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarter and year sums; empty quarters between the first and the last are 0, and years add up from the quarters."""
+    low = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "5-LOW")
+    quarter = F.trunc("o_orderdate", "quarter").alias("q")
+    per = materialise(low.groupBy(quarter).agg(F.sum("o_totalprice").alias("total"), F.count("*").alias("n")), "quarters")
+    cal = per.agg(F.min("q").alias("lo"), F.max("q").alias("hi")).select(F.explode(F.sequence("lo", "hi", F.expr("interval 3 month"))).alias("q"))
+    dense = cal.join(per, "q", "left").fillna({"total": 0.0, "n": 0})
+    ends = F.array(F.struct(F.lit("quarter").alias("level"), F.last_day(F.add_months("q", 2)).alias("period_end")), F.struct(F.lit("year").alias("level"), F.make_date(F.year("q"), F.lit(12), F.lit(31)).alias("period_end")))
+    return dense.select("total", "n", F.inline(ends)).groupBy("level", "period_end").agg(F.round(F.sum("total"), 2).alias("total"), F.sum("n").alias("n"))
+
+
 @query(
     "a38_calendar_totals",
     """with m as (select last_day(o_orderdate) as month_end, sum(o_totalprice) as s, count(*) as c from orders where o_orderpriority = '5-LOW' group by 1),

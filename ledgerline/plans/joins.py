@@ -42,6 +42,19 @@ def j03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cooccurring_pairs(bridge(spark, sf_dir), "o_orderkey", "brand", item_blocks(table(spark, sf_dir, "part"), "p_brand"))
 
 
+@query(
+    "j03_pairs_with_support",
+    f"""with {BRIDGE} select a.brand as item_a, b.brand as item_b, count(*) as pair_count
+from bridge a join bridge b on a.o_orderkey = b.o_orderkey and a.brand < b.brand group by all having count(*) >= (select count(distinct o_orderkey) from bridge) / 60""",
+)
+def j03_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs held by at least one order in sixty: the bound is known before any pair is made."""
+    sold = bridge(spark, sf_dir)
+    least = -(-sold.agg(F.count_distinct("o_orderkey")).first()[0] // 60)
+    return cooccurring_pairs(sold, "o_orderkey", "brand", item_blocks(table(spark, sf_dir, "part"), "p_brand"), least)
+
+
+
 @query(
     "j04_semi_top_list",
     """with best as (select o_custkey, count(*) as n from orders group by 1 order by n desc, o_custkey limit 10)

@@ -10,6 +10,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text as X
@@ -91,7 +92,7 @@ def m03(spark: SparkSession, sf_dir: str) -> DataFrame:
     lr = M.linear("l_extendedprice")
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.1, 1.0, 10.0]).addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).build()
     judge = RegressionEvaluator(labelCol="l_extendedprice", metricName="rmse")
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=judge, numFolds=3, seed=42, parallelism=4).fit(data)
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=judge, numFolds=10, seed=42, parallelism=4).fit(data)
     rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(e)) for p, e in zip(grid, cv.avgMetrics)]
     return spark.createDataFrame(rows, "alpha double, l1_share double, cv_rmse double")
 
@@ -107,7 +108,7 @@ def m04(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m05(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = split_mart(spark, sf_dir)
     parts = []
-    for depth in (2, 4, 8):
+    for depth in (2, 4, 6, 8, 12):
         model = M.fit(DecisionTreeRegressor(labelCol="target", maxDepth=depth, seed=42), train, MART_FEATURES)
         parts += [M.error_row(model, train, "target", depth=depth, part="train"), M.error_row(model, test, "target", depth=depth, part="test")]
     return M.stack_rows(parts)
@@ -175,7 +176,7 @@ def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m09_forest_classifier")
 def m09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fit_on(spark, sf_dir, RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=20, maxDepth=6, seed=42), "forest")
+    return fit_on(spark, sf_dir, RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=300, maxDepth=6, seed=42), "forest")
 
 
 @query("m10_boosted_classifier")
@@ -204,11 +205,65 @@ def m12(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for name in P.levels(rows, "source"):
         mine = rows.where(F.col("source") == name)
-        model = M.logistic("label", maxIter=5, regParam=0.1).fit(mine.where(~F.col("holdout")))
+        model = M.logistic("label", maxIter=30, regParam=0.1).fit(mine.where(~F.col("holdout")))
         parts.append(model.transform(mine.where("holdout")).agg(F.count("*").alias("n"), F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("accuracy")).select(F.lit(name).alias("source"), "*"))
     return M.stack_rows(parts)
 
 
+def beats_chance(row: DataFrame) -> DataFrame:
+    return row.select("model", "n", (F.col("roc_auc") > 0.5).alias("beats_chance"))
+
+
+HELD_OUT = "select '{model}' as model, count(*) as n, true as beats_chance from labels join documents using (doc_id) where substr(md5(doc_id::varchar), 1, 1) >= 'c'"
+
+
+@query("m08_beats_chance", HELD_OUT.format(model="logistic"))
+def m08_beats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return beats_chance(m08(spark, sf_dir))
+
+
+@query("m09_beats_chance", HELD_OUT.format(model="forest"))
+def m09_beats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return beats_chance(m09(spark, sf_dir))
+
+
+@query("m10_beats_chance", HELD_OUT.format(model="boosted"))
+def m10_beats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return beats_chance(m10(spark, sf_dir))
+
+
+@query("m11_beats_chance", HELD_OUT.format(model="network"))
+def m11_beats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return beats_chance(m11(spark, sf_dir))
+
+
+# The invented targets hold next to no signal, so these bounds only say that a learner does not stray from the mean.
+@query("m04_keeps_to_the_mean", "select unnest(['plain', 'ridge', 'lasso']) as kind, true as keeps")
+def m04_keeps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m04(spark, sf_dir).select("kind", (F.col("r2") > -0.2).alias("keeps"))
+
+
+@query("m05_train_error_falls_with_depth", "select unnest([4, 6, 8, 12])::int as depth, true as fits_closer")
+def m05_falls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deeper tree never fits its own training rows worse."""
+    errors = m05(spark, sf_dir).where("part = 'train'").select("depth", "rmse")
+    before = F.lag("rmse").over(W.orderBy("depth"))  # one row a depth
+    return errors.withColumn("before", before).where("before is not null").select("depth", (F.col("rmse") <= F.col("before") + 1e-9).alias("fits_closer"))
+
+
+@query("m06_keeps_to_the_mean", "select 'forest' as model, true as keeps")
+def m06_keeps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m06(spark, sf_dir).select("model", (F.col("r2") > -0.2).alias("keeps"))
+
+
+@query("m19_stack_keeps_to_its_parts", "select true as keeps")
+def m19_keeps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stack's error on the test rows is at most a tenth above that of its worse part."""
+    errors = m19(spark, sf_dir)
+    worst, stack = (F.max(F.when(hit, F.col("rmse"))) for hit in (F.col("model") != "stacked", F.col("model") == "stacked"))
+    return errors.agg((stack <= 1.1 * worst).alias("keeps"))
+
+
 def scaled_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(P.standard_scale(a28(spark, sf_dir), RFM_COLS), "rfm-scaled")
 

@@ -192,7 +192,7 @@ group by all having count(*) >= 5 order by pair_count desc, skill_a, skill_b lim
 )
 def q11(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = item_blocks(table(spark, sf_dir, "part"), "p_brand")
-    pairs = cooccurring_pairs(wanted_brands(spark, sf_dir), "o_orderkey", "brand", blocks).where(F.col("pair_count") >= 5)
+    pairs = cooccurring_pairs(wanted_brands(spark, sf_dir), "o_orderkey", "brand", blocks, least_support=5)
     named = pairs.select(F.col("item_a").alias("skill_a"), F.col("item_b").alias("skill_b"), "pair_count")
     return top_k(named, 15, [F.col("pair_count").desc()], ["skill_a", "skill_b"])
 

@@ -110,6 +110,21 @@ def w08(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.interpolate(gaps(spark, sf_dir), "event_type", "hr", "v", "filled").select("hr", "event_type", F.round("filled", 6).alias("filled"))
 
 
+# Every fifth hour is missing from the series itself, so a step is one hour or two.
+@query(
+    "w08_interpolate_position",
+    f"""with {KNOWN}, g as (select *, row_number() over (partition by event_type order by hr) as i from gaps where hour(hr) % 5 <> 3),
+s as (select *, last_value(case when v is not null then i end ignore nulls) over b as pi, last_value(v ignore nulls) over b as pv,
+  first_value(case when v is not null then i end ignore nulls) over a as qi, first_value(v ignore nulls) over a as qv from g
+  window b as (partition by event_type order by hr rows between unbounded preceding and current row), a as (partition by event_type order by hr rows between current row and unbounded following))
+select hr, event_type, round(coalesce(v, pv + (qv - pv) * (i - pi)::double / (qi - pi), pv), 6) as filled from s""",
+)
+def w08_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = gaps(spark, sf_dir).where(F.hour("hr") % 5 != 3)
+    return S.interpolate(series, "event_type", "hr", "v", "filled", by="position").select("hr", "event_type", F.round("filled", 6).alias("filled"))
+
+
+
 @query("w09_keep_newest", "select user_id, event_type, event_id, ts, value from events qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1")
 def w09(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts", "value")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import text as X
 from ledgerline.operators import corpus as K
+from ledgerline.operators.cleaning import histogram_by
 from ledgerline.operators.quantiles import exact_quantiles
 from ledgerline.registry import query
 from ledgerline.tables import materialise, spread, table
@@ -278,3 +279,18 @@ def t17(spark: SparkSession, sf_dir: str) -> DataFrame:
     moments = sized.groupBy("quality").agg(F.round(F.avg("size"), 6).alias("mean"), F.round(F.stddev_samp("size"), 6).alias("std"))
     q = exact_quantiles(sized, ["size"], [0.25, 0.5, 0.75], ["quality"], stored=True)
     return q.join(moments, "quality").select("quality", "n", "mean", "std", "low", *[F.round(F.col("q")[i], 6).alias(f"q{i + 1}") for i in range(3)], "high")
+
+
+@query(
+    "t17_length_histogram",
+    """with s as (select quality, length(text)::double as size from documents join labels using (doc_id) where text is not null and quality is not null),
+e as (select min(size) as lo, max(size) as hi from s),
+b as (select quality, least(floor((size - lo) / (hi - lo) * 30), 29)::int as bin, count(*) as n from s, e group by all),
+t as (select quality, count(*) as t from s group by 1)
+select t.quality, r.i::int as bin, round(lo + r.i * (hi - lo) / 30, 6) as low, coalesce(n, 0)::bigint as n, round(coalesce(n, 0) / t, 6) as share
+from t cross join range(30) r(i) cross join e left join b on b.quality = t.quality and b.bin = r.i""",
+)
+def t17_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = docs(spark, sf_dir).select("doc_id", F.length("text").alias("size")).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    bins = histogram_by(materialise(sized.select("quality", "size"), "sizes"), "size", "quality", 30)
+    return bins.select("quality", "bin", F.round("low", 6).alias("low"), "n", F.round("share", 6).alias("share"))

@@ -105,3 +105,24 @@ def test_funnel_is_cumulative(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 1), (None, 1)], "a int, b int")
     rows = C.funnel(df, {"a": F.col("a") == 1, "b": F.col("b") == 1}).orderBy("step_no").collect()
     assert [r["rows"] for r in rows] == [4, 2, 1]
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+@pytest.mark.parametrize("held", [1, 1_000_000])
+def test_pairs_with_least_support(spark, blocks, held):
+    """Rare items go before pairs are made; tasks that may hold one pair at a time give the same sums."""
+    rng = np.random.default_rng(8)
+    rows = sorted({(int(g), f"i{min(int(rng.geometric(0.15)), 30)}") for g in range(120) for _ in range(5)})
+    held_by = {}
+    for g, i in rows:
+        held_by.setdefault(i, set()).add(g)
+    want = {(a, b): len(held_by[a] & held_by[b]) for a in held_by for b in held_by if a < b and len(held_by[a] & held_by[b]) >= 6}
+    got = R.cooccurring_pairs(spark.createDataFrame(rows, "g int, i string"), "g", "i", blocks, least_support=6, held_pairs=held)
+    assert {(r["item_a"], r["item_b"]): r["pair_count"] for r in got.collect()} == want
+
+
+def test_histogram_by_class_with_one_value(spark):
+    df = spark.createDataFrame([("a", 5.0), ("a", 5.0), ("b", 5.0), (None, 1.0), ("b", None)], "k string, x double")
+    got = sorted(tuple(r) for r in C.histogram_by(df, "x", "k", 2).collect())
+    assert got == [("a", 0, 5.0, 2, 1.0), ("a", 1, 5.0, 0, 0.0), ("b", 0, 5.0, 1, 1.0), ("b", 1, 5.0, 0, 0.0)]
+
