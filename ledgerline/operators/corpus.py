@@ -140,7 +140,8 @@ def summarise(df: DataFrame, key: str, text: str, how: str, chunk: int = 20, per
     """Extractive summary per document: (key, summary), the chosen sentences in text order.
 
     ``map_reduce``: best sentences of each run of ``chunk`` sentences, then the best of those.
-    ``refine``: the chunk winners are merged one chunk after the other into a running best list.
+    ``refine``: chunk by chunk, the summary so far and the chunk's winners compete; a winner counts by the share of its
+    words that the summary so far does not say yet, so a later chunk does not repeat an earlier one.
     ``stuff``: the best of the whole document at once.
     A document without sentences has an empty summary. The texts move once, by key; scores, ranks and the final pick-up
     of sentences stay in place.
@@ -154,20 +155,42 @@ def summarise(df: DataFrame, key: str, text: str, how: str, chunk: int = 20, per
         if how == "map_reduce":
             chosen = _best(winners, [key], n).groupBy(key).agg(F.array_sort(F.collect_list("sent")).alias("pick"))
         elif how == "refine":
-            item = F.struct("chunk", (-F.col("score")).alias("rank"), "sent")
-            ordered = winners.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("l"))  # per_chunk items per chunk
-            slim = F.transform("l", lambda x: F.struct(x["rank"].alias("rank"), x["sent"].alias("sent")))
-            kept = F.aggregate(
-                slim, F.slice(slim, 1, 0), lambda best, new: F.slice(F.array_sort(F.array_append(best, new)), 1, n)
-            )
-            chosen = ordered.select(key, F.array_sort(F.transform(kept, lambda x: x["sent"])).alias("pick"))
+            chosen = winners.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("chunk", "sent", "score"))).alias("l"))  # per_chunk items per chunk
         else:
             raise ValueError(f"unknown way to summarise: {how}")
     cut = F.concat_ws(" ", F.transform("pick", lambda i: F.get(F.col("_s"), i)))
     every = placed.withColumn("_s", sentences(F.col(text))).join(chosen, key, "left")
+    if how == "refine":
+        every = every.withColumn("pick", _refined("l", "_s", n))
     return every.select(key, F.coalesce(cut, F.lit("")).alias("summary"))
 
 
+def _refined(winners: str, spoken: str, n: int) -> Column:
+    """Numbers of the sentences that are left when ``winners`` (chunk, sent, score) are folded into a summary of ``n``."""
+
+    def told(x: Column) -> Column:
+        words = F.array_distinct(tokenize(normalize_text(F.get(F.col(spoken), x["sent"]))))
+        return F.struct(x["chunk"].alias("chunk"), x["sent"].alias("sent"), x["score"].alias("score"), words.alias("words"))
+
+    def entry(x: Column, share: Column) -> Column:
+        return F.struct((-(x["score"] * share)).alias("rank"), x["sent"].alias("sent"), x["words"].alias("words"))
+
+    known = F.transform(winners, told)
+
+    def step(summary: Column, chunk: Column) -> Column:
+        said = F.flatten(F.transform(summary, lambda s: s["words"]))
+
+        def fresh(x: Column) -> Column:
+            return F.coalesce(F.try_divide(F.size(F.array_except(x["words"], said)).cast("double"), F.size(x["words"])), F.lit(0.0))
+
+        new = F.transform(F.filter(known, lambda x: x["chunk"] == chunk), lambda x: entry(x, fresh(x)))
+        return F.slice(F.array_sort(F.concat(summary, new)), 1, n)
+
+    nothing = F.slice(F.transform(known, lambda x: entry(x, F.lit(1.0))), 1, 0)
+    kept = F.aggregate(F.array_distinct(F.transform(winners, lambda x: x["chunk"])), nothing, step)
+    return F.array_sort(F.transform(kept, lambda s: s["sent"]))
+
+
 def vector_coverage(vocab: DataFrame, vectors: DataFrame) -> DataFrame:
     """Words of the vocabulary that have a vector; one index is reserved, so the share divides by size + 1."""
     hit = vocab.join(vectors.select("token", F.lit(1).alias("hit")), "token", "left")

@@ -15,7 +15,7 @@ from ledgerline.functions.scalars import flag
 from ledgerline.functions.text import normalize_text, token_table, tokenize
 from ledgerline.operators.evaluation import RUSH_HOURS
 from ledgerline.operators.ordered import global_position, hashed_position
-from ledgerline.operators.series import lags, lead_target, rolling_mean_before, rolling_mean_with
+from ledgerline.operators.series import fill_forward_back, lags, lead_target, rolling_mean_before, rolling_mean_with
 from ledgerline.tables import materialise
 
 # Hours of the evening rush, of evening events, the wording for a trace of rain and its amount.
@@ -74,18 +74,23 @@ def hourly_weather(weather: DataFrame, ts: str, cols: Sequence[str]) -> DataFram
     return hours.join(weather, ts, "left").withColumns({c: F.last(c, True).over(known) for c in cols})
 
 
-def demand_mart(grid: DataFrame, weather: DataFrame, key: str, ts: str, col: str) -> DataFrame:
+WEATHER = ("temperature", "humidity", "rain")
+
+
+def demand_mart(grid: DataFrame, weather: DataFrame, key: str, ts: str, col: str, cols: Sequence[str] = WEATHER, per_key: bool = False) -> DataFrame:
     """Training features per (hour, key): calendar, weather, lags, rolling means, next-hour target.
 
-    Rows whose history or target is incomplete are dropped.
+    Hours without weather take the last known one; with ``per_key`` within the key's own rows, and before its first
+    known hour the first known one. Rows whose history or target is incomplete are dropped.
     """
-    cols = ["temperature", "humidity", "rain"]
-    wet = hourly_weather(weather, ts, cols)
+    cols = list(cols)
+    wet = weather.select(ts, *cols) if per_key else hourly_weather(weather, ts, cols)
     base = interactions(zone_flags(time_flags(grid, ts), key, DOWNTOWN, NIGHTLIFE)).withColumns(
         {"day_of_week": F.weekday(ts), "day_of_month": F.dayofmonth(ts), "is_holiday": is_holiday(F.to_date(ts))}
     )
     # One row per calendar hour.
-    rich = base.join(F.broadcast(wet), ts, "left").fillna(0.0, cols)
+    rich = base.join(F.broadcast(wet), ts, "left")
+    rich = (fill_forward_back(rich, key, ts, cols) if per_key else rich).fillna(0.0, cols)
     rich = rich.withColumn("is_raining", flag(F.col("rain") > 0)).withColumn(
         "is_raining_downtown", F.col("is_raining") * F.col("is_downtown")
     )

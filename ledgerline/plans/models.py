@@ -142,7 +142,7 @@ def labelled_frame(spark: SparkSession, sf_dir: str, size: int = 5000) -> DataFr
     """doc_id, vector, both labels and a balancing weight, written once."""
     marks = table(spark, sf_dir, "labels")
     share = marks.agg((F.count_if(F.col("toxic") == 0) / F.count_if(F.col("toxic") == 1)).alias("w")).scalar()
-    rows = combined_frame(spark, sf_dir, size).join(marks, "doc_id").withColumns(
+    rows = combined_frame(spark, sf_dir, size, only=marks).join(marks, "doc_id").withColumns(
         {
             "label": F.col("toxic").cast("double"),
             "weight": F.when(F.col("toxic") == 1, share).otherwise(F.lit(1.0)),
@@ -414,10 +414,9 @@ def m35(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t18(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = labelled_frame(spark, sf_dir)
     model = M.logistic("label", "weight", maxIter=20, regParam=0.05).fit(rows)
-    every = M.probability(model.transform(combined_frame(spark, sf_dir, 5000)))
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    every = M.probability(model.transform(combined_frame(spark, sf_dir, 5000, carry=["text"])))
     threshold = 0.6
-    return every.join(texts, "doc_id").select(
+    return every.select(
         "doc_id", "text", F.when(F.col("p") >= threshold, "positive").otherwise("negative").alias("sentiment"),
         F.round("p", 6).alias("probability_positive"), F.lit(threshold).alias("threshold"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -81,18 +83,24 @@ def p06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.polynomial2(lines, POLY).select("l_orderkey", "l_linenumber", "l_partkey", *[F.round(c, 6).alias(c) for c in made])
 
 
-def combined_frame(spark: SparkSession, sf_dir: str, size: int = 5000) -> DataFrame:
-    """doc_id and one vector: numbers, language flags, embedding, word counts."""
+def combined_frame(spark: SparkSession, sf_dir: str, size: int = 5000, only: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id and one vector: numbers, language flags, embedding, word counts.
+
+    ``only``: rows with a doc_id of this frame, picked before any vector is built; the vocabulary is that of all texts.
+    ``carry``: columns of the documents that go along, so that nobody has to join them back.
+    """
     tokens = X.token_table(docs(spark, sf_dir), ["doc_id"], "text")
     words = [r["token"] for r in K.vocabulary(tokens, size).orderBy("rank").collect()]  # at most ``size`` words
     raw = table(spark, sf_dir, "documents")
-    base = spread(raw.select("doc_id", "lang", F.col("n_chars").cast("double"), "text")).withColumn("tokens", X.tokenize(X.normalize_text(F.col("text")))).drop("text")
+    picked = raw if only is None else raw.join(only.select("doc_id").distinct(), "doc_id", "left_semi")
+    base = spread(picked.select("doc_id", "lang", F.col("n_chars").cast("double"), "text")).withColumn("tokens", X.tokenize(X.normalize_text(F.col("text"))))
+    base = base if "text" in carry else base.drop("text")
     base = P.one_hot(base, "lang", P.levels(raw, "lang")).withColumn("n_words", F.size("tokens").cast("double"))
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("e"))
     wide = base.join(vectors, "doc_id", "left").withColumn("e", F.coalesce("e", F.array_repeat(F.lit(0.0), 64)))
     counted = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="bag").transform(wide.withColumn("dense", array_to_vector("e")))
     langs = [c for c in counted.columns if c.startswith("lang_")]
-    return VectorAssembler(inputCols=["n_chars", "n_words", *langs, "dense", "bag"], outputCol="features").transform(counted).select("doc_id", "features")
+    return VectorAssembler(inputCols=["n_chars", "n_words", *langs, "dense", "bag"], outputCol="features").transform(counted).select("doc_id", "features", *carry)
 
 
 @query(

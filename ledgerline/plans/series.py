@@ -238,6 +238,32 @@ def p12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart(spark, sf_dir)
 
 
+# Cloud cover in words and its share of the sky in percent.
+CLOUDS = {"clear": 0, "few": 25, "scattered": 50, "overcast": 100}
+
+FULL_WEATHER = "temperature humidity rain wind cloud".split()
+WET_SQL = f"""sky as (select hr, temperature, humidity, coalesce(try_cast(case when precipitation = 'Trace of precipitation' then '0.1' else precipitation end as double), 0) as rain,
+  ((hour(hr) * 3 + day(hr)) % 12)::double as wind, [{", ".join(f"{v}.0" for v in CLOUDS.values())}][1 + (hour(hr) + day(hr)) % 4]::double as cloud from weather where hour(hr) <> 0 or day(hr) <> 1),
+filled as (select g.hr, g.event_type, {", ".join(f"coalesce(last_value({c} ignore nulls) over before, first_value({c} ignore nulls) over after, 0) as {c}" for c in FULL_WEATHER)}
+  from grid g left join sky on sky.hr = g.hr window before as (partition by g.event_type order by g.hr rows between unbounded preceding and current row), after as (partition by g.event_type order by g.hr rows between current row and unbounded following))"""
+
+
+@query(
+    "p12_mart_weather_per_key",
+    f"""with {MART}, {WET_SQL} select {", ".join("f." + c if c in FULL_WEATHER else "(f.rain > 0)::int as is_raining" if c == "is_raining" else "(f.rain > 0)::int * is_downtown as is_raining_downtown" if c == "is_raining_downtown" else "r." + c for c in MART_COLS)}, f.wind, f.cloud
+from ready r join filled f on f.hr = r.hr and f.event_type = r.event_type""",
+)
+def p12_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart with wind and cloud cover; missing hours are filled within each key, forwards, then backwards."""
+    h, d = F.hour("hr"), F.dayofmonth("hr")
+    words = F.element_at(F.array(*map(F.lit, CLOUDS)), (h + d) % 4 + 1)
+    sky = weather(spark, sf_dir).where((h != 0) | (d != 1)).select(
+        "hr", "temperature", "humidity", rain_amount(F.col("precipitation")).alias("rain"), ((h * 3 + d) % 12).cast("double").alias("wind"), recode(words, CLOUDS).cast("double").alias("cloud")
+    )
+    out = demand_mart(events_grid(spark, sf_dir), sky, "event_type", "hr", "n", FULL_WEATHER, per_key=True)
+    return out.withColumns({c: F.round(c, 6) for c in ("rolling_mean_3h", "rolling_mean_24h")}).select(*MART_COLS, "wind", "cloud")
+
+
 @query(
     "p13_next_hour_features",
     f"""with {GRID}, {WEATHER}, {RAIN}, {HOLIDAYS}, st as (select *, avg(n) over (partition by event_type order by hr rows between 2 preceding and current row) as r3,

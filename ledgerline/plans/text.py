@@ -243,7 +243,18 @@ def t14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.summarise(table(spark, sf_dir, "documents"), "doc_id", "text", "map_reduce")
 
 
-@query("t15_refine_summary", f"with {SENT} " + SUMMARY.format(t="final"))
+REFINED = f"""told as (select doc_id, sent, list_distinct({tokens_sql(norm_sql('sentence'))}) as words from st),
+cand as (select b.doc_id, b.chunk, list({{'score': b.score, 'sent': b.sent, 'words': t.words}} order by b.sent) as c from best b join told t using (doc_id, sent) group by b.doc_id, b.chunk),
+walk as (
+  select distinct doc_id, -1::bigint as chunk, []::struct(rank double, sent bigint, words varchar[])[] as summary from cand
+  union all
+  select w.doc_id, c.chunk, list_sort(list_concat(w.summary, list_transform(c.c, lambda x: {{'rank': -(x.score * case when len(x.words) = 0 then 0 else len(list_filter(x.words, lambda t: not list_contains(w.said, t)))::double / len(x.words) end), 'sent': x.sent, 'words': x.words}})))[:3]
+  from (select *, flatten(list_transform(summary, lambda s: s.words)) as said from walk) w join cand c on c.doc_id = w.doc_id and c.chunk = w.chunk + 1
+),
+refined as (select r.doc_id, st.sent, st.sentence from (select doc_id, unnest(list_transform(summary, lambda s: s.sent)) as sent from (select doc_id, max_by(summary, chunk) as summary from walk group by 1)) r join st on st.doc_id = r.doc_id and st.sent = r.sent)"""
+
+
+@query("t15_refine_summary", f"with recursive {SENT}, {REFINED} " + SUMMARY.format(t="refined"))
 def t15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.summarise(table(spark, sf_dir, "documents"), "doc_id", "text", "refine")
 

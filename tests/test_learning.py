@@ -229,6 +229,14 @@ def test_documents_in_are_documents_out(spark):
         K.looked_up(rows, "words", lexicon, "v", most=1)
 
 
+def test_refining_does_not_repeat_itself(spark):
+    """The best sentence comes in two chunks: map-reduce takes it twice, refine takes what is new instead."""
+    text = "Red fox runs. Blue. Red fox runs. Green owl. Red fox sleeps. Tail."
+    df = spark.createDataFrame([(1, text)], "k int, text string")
+    got = {how: K.summarise(df, "k", "text", how, chunk=2, per_chunk=2, n=2).first()["summary"] for how in ("map_reduce", "refine")}
+    assert got == {"map_reduce": "Red fox runs. Red fox runs.", "refine": "Red fox runs. Blue."}
+
+
 def test_no_exchange_carries_texts_or_words(spark, sf_dir):
     from ledgerline.plans import text as X
 
