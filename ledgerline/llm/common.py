@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,6 +13,26 @@ from pyspark.sql import functions as F
 
 from ledgerline.tables import fresh_path
 
+_resident: list = []
+
+
+def resident(key: tuple, make: Callable[[], object]):
+    """What a worker process keeps for its next task: one thing at a time.
+
+    Spark reuses workers across stages, so tables that one operator has filled would still be there when the next one
+    needs the memory. The old thing goes, and its memory goes back to the system, before the new one is made.
+    """
+    if not _resident or _resident[0] != key:
+        if _resident:
+            _resident.clear()
+            gc.collect()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim is not None:
+                trim(0)
+        _resident.extend((key, make()))
+    return _resident[1]
+
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 

@@ -7,6 +7,8 @@ import re
 
 import numpy as np
 
+from .common import resident
+
 #: A space between two characters that no tokenizer rule takes for white space: a word boundary of every rule here.
 CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 #: Stretches that may be encoded side by side in one string.
@@ -105,14 +107,9 @@ class Encoder:
         return [head + b"".join([known[p] if d is None else d for p, d in zip(parts, ids, strict=True)] if None in ids else ids) for head, parts, ids in zip(heads, cut, found, strict=True)]
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, dtype: str = "<u4") -> Encoder:
     """One for each worker process: what one task has encoded, the next need not."""
-    if (path, dtype) not in _encoders:
-        _encoders[path, dtype] = Encoder(path, dtype)
-    return _encoders[path, dtype]
+    return resident(("encoder", path, dtype), lambda: Encoder(path, dtype))
 
 
 def vocabulary(path: str) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from concurrent.futures import ProcessPoolExecutor
@@ -15,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, resident
 
 WORD = re.compile(r"[^\W_]+")
 BITS = 18
@@ -116,9 +117,7 @@ class Scorer:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.own: list[float] = []
-        self.before: list[float] = []
-        self.after: list[float] = []
+        self.own, self.before, self.after = array("d"), array("d"), array("d")
 
     def numbers(self, tokens: list[str]) -> np.ndarray:
         if len(self.known) > self.most:
@@ -139,9 +138,9 @@ class Scorer:
         at = self.numbers(tokens)
         first = np.zeros(len(tokens), bool)
         first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-        score = np.array(self.own)[at] + self.model.bias
-        score[1:] += np.where(first[1:], 0.0, np.array(self.before)[at[:-1]])
-        score[:-1] += np.where(first[1:], 0.0, np.array(self.after)[at[1:]])
+        score = np.frombuffer(self.own)[at] + self.model.bias
+        score[1:] += np.where(first[1:], 0.0, np.frombuffer(self.before)[at[:-1]])
+        score[:-1] += np.where(first[1:], 0.0, np.frombuffer(self.after)[at[1:]])
         ahead, back = forward_backward(score, first, self.model.trans)
         return np.log(ahead) + np.log(back)
 
@@ -289,6 +288,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         yield pa.RecordBatch.from_pylist([{"weights": model.weights.astype("<f4").tobytes(), "trans": model.trans.tolist(), "bias": float(model.bias), "document": model.document.tolist()}], names_of(MODEL))
 
     row = got.repartition(1).sortWithinPartitions("at", "id", "text").mapInArrow(learn, MODEL).first()
+    if row is None:  # no labelled text: nothing ran
+        return fit([], np.zeros(0, int), np.zeros(0))
     return Model(np.frombuffer(row["weights"], "<f4"), np.array(row["trans"]), row["bias"], np.array(row["document"]))
 
 
@@ -313,13 +314,11 @@ def fit_sample(batches: Iterator[pa.RecordBatch], count: dict[int, int], most_by
     toxic = np.array(y, int)
     share = np.where(toxic == 1, count.get(1, 0) / max(1, int((toxic == 1).sum())), count.get(0, 0) / max(1, int((toxic == 0).sum())))
     # In a process of its own: what fitting takes goes back to the system, and later tasks of this worker have it.
+    resident(("toxicity fit",), lambda: None)  # what an earlier stage has left goes first
     with ProcessPoolExecutor(1, mp_context=get_context("fork")) as apart:
         return apart.submit(fit, text, toxic, share).result()
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", span_from: float = 0.5, carry: bool = False) -> DataFrame:
     """(doc_id, score, spans) of every document; spans are stretches of tokens with a marginal of at least ``span_from``.
 
@@ -332,10 +331,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(shared.value)
-        scorer = _scorers[key]
+        scorer = resident(("toxicity", key), lambda: Scorer(shared.value))
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("p", pa.float64())]))
         for whole in batches:
             if carry:

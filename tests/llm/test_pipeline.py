@@ -43,3 +43,23 @@ def test_stages_keep_the_columns_of_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf_dir).dtypes == docs.dtypes
+
+
+def test_toxic_rows_go_one_by_one(spark, sf_dir):
+    """A toxic row takes no other row with it, whether ids are null, shared or repeated; nulls and empty texts stay."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = score_toxicity(docs, train(docs, labels), carry=True)
+    assert scored.select("row.*").schema.simpleString() == docs.schema.simpleString()
+    toxic, clean = (scored.where(c).orderBy(o).first()["row"]["text"] for c, o in (("score > 0.95", "doc_id"), ("score < 0.05", "doc_id")))
+    rows = [(None, toxic), (None, clean), (2, toxic), (2, clean), (2, clean), (-1, None), (-2, "")]
+    made = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], docs.schema)
+    kept = corpus_pipeline.toxicity(spark, docs.unionByName(made), sf_dir).where("doc_id is null or doc_id in (2, -1, -2)")
+    plain = docs.where("doc_id = 2").first()["text"]
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect() if r["text"] != plain or r["text"] in (toxic, clean)), key=repr)
+    assert got == sorted([(None, clean), (2, clean), (2, clean), (-1, None), (-2, "")], key=repr)
+
+
+def test_stages_on_empty_tables(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf_dir).count() == 0
