@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.quantiles import quantile_row
+
 from .common import Scratch
 
 # Usual notices of each licence family.
@@ -86,35 +88,43 @@ def hashed(df: DataFrame, features: int = 1 << 14) -> DataFrame:
     return HashingTF(inputCol="grams", outputCol="features", numFeatures=features, binary=True).transform(df)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 4000) -> tuple[LogisticRegressionModel, float]:
-    """(classifier, threshold) from the templates and about ``sample`` ordinary paragraphs of ``docs``.
+def ordinary(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, para, grams, held): every paragraph that holds less than half of each template; a quarter is held out.
 
-    The sample is drawn by a hash of document and line, so every paragraph may be in it; paragraphs that hold half of a
-    template stay out. Three quarters teach the unknown class. The rest calibrates it: the threshold is the chance of a
-    family that all but one in a thousand of them stay below, at least one half.
+    Templates are compared with those n-grams of a paragraph that stand in any template: the others cannot agree.
+    Where these are fewer than half of the smallest template, nothing is compared.
     """
-    spark = docs.sparkSession
-    n = docs.agg(F.sum(F.length(F.col(text_col)) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
-    bucket = F.xxhash64("doc_id", "para", F.lit("licence"))
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("para", "line"))
-    lines = lines.where(F.pmod(bucket, F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, n)))).select("doc_id", "para", words(F.col("line")).alias("w"))
-    pool = once(once(lines, "w").where(F.size("w") > 0).select("doc_id", "para", grams(F.col("w")).alias("grams")), "grams")
-    plain = pool.where(agreement(F.col("grams"), None) < 0.5).select(F.lit(UNKNOWN).alias("label"), "grams", (F.pmod(bucket, F.lit(4)) == 0).alias("held"))
-    plain = Scratch(spark, "licences").write(plain.coalesce(8), "plain")
-    known = template_table(spark).select("label", "grams", F.lit(False).alias("held"))
+    held = F.pmod(F.xxhash64("doc_id", "para", F.lit("licence")), F.lit(4)) == 0
+    known = [_plain_grams(t) for f in FAMILIES for t in TEMPLATES[f]]
+    any_of, least = sorted(set().union(*known)), min(map(len, known))
+    pool = once(paragraphs(docs, id_col, text_col), "grams").select("*", F.array_intersect("grams", F.array(*map(F.lit, any_of))).alias("shared"))
+    part = F.when(F.size("shared") * 2 < least, F.lit(0.0)).otherwise(agreement(F.col("shared"), None))
+    return once(pool, "shared").where(part < 0.5).select("doc_id", "para", "grams", held.alias("held"))
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[LogisticRegressionModel, float]:
+    """(classifier, threshold) from the templates and every ordinary paragraph of ``docs``.
+
+    Paragraphs that hold half of a template stay out. Three quarters of the others teach the unknown class, the rest
+    calibrates it: the threshold is the chance of a family that all but one in a thousand of them stay below, at least
+    one half. Paragraphs are written once as hashed n-grams, about half the size of the texts.
+    """
+    spark, pool = docs.sparkSession, ordinary(docs, id_col, text_col)
+    plain = Scratch(spark, "licences").write(hashed(pool).select(F.lit(UNKNOWN).alias("label"), "features", "held"), "plain")
+    known = template_table(spark).select("label", "grams")
     # A notice often has words of its own around it: each template also teaches with an ordinary paragraph behind it.
-    behind = F.broadcast(plain.where(~F.col("held")).limit(8).select(F.col("grams").alias("more")))
-    mixed = known.join(behind, F.lit(True)).select("label", F.array_union("grams", F.slice("more", 1, 60)).alias("grams"), "held")
-    shown = known.unionByName(mixed).unionByName(plain.where(~F.col("held")))
+    behind = F.broadcast(pool.where(~F.col("held")).select(F.col("grams").alias("more")).limit(8))
+    mixed = known.join(behind, F.lit(True)).select("label", F.array_union("grams", F.slice("more", 1, 60)).alias("grams"))
+    # The last class has to be seen even where no paragraph is ordinary.
+    blank = spark.createDataFrame([(UNKNOWN, ["-"])], "label double, grams array<string>")
     unknown = max(1, plain.where(~F.col("held")).count())
     each = unknown / (len(FAMILIES) * 10)
-    shown = hashed(shown).withColumn("weight", F.when(F.col("label") == UNKNOWN, F.lit(1.0)).otherwise(F.lit(max(1.0, each))))
-    # The last class has to be seen even where the sample is empty.
-    shown = shown.unionByName(hashed(spark.createDataFrame([(UNKNOWN, ["-"], False)], "label double, grams array<string>, held boolean")).withColumn("weight", F.lit(1.0)))
-    model = LogisticRegression(family="multinomial", regParam=1e-3, weightCol="weight", maxIter=30).fit(shown.coalesce(2))
+    shown = hashed(known.unionByName(mixed).unionByName(blank)).select("label", "features").coalesce(1).unionByName(plain.where(~F.col("held")).select("label", "features"))
+    shown = shown.withColumn("weight", F.when(F.col("label") == UNKNOWN, F.lit(1.0)).otherwise(F.lit(max(1.0, each))))
+    model = LogisticRegression(family="multinomial", regParam=1e-3, weightCol="weight", maxIter=30).fit(shown)
     chance = 1 - F.get(vector_to_array("probability"), F.lit(int(UNKNOWN)))
-    level = model.transform(hashed(plain.where("held"))).select(chance.alias("p")).agg(F.percentile_approx("p", 0.999, 10_000)).first()[0]
-    return model, max(0.5, min(0.95, level or 0.5))
+    level = quantile_row(model.transform(plain.where("held")).select(chance.alias("p")), ["p"], [0.999]).first()["p_q"]
+    return model, max(0.5, min(0.95, level[0] if level else 0.5))
 
 
 def agreement(found: Column, family: Column | None) -> Column:
@@ -122,13 +132,17 @@ def agreement(found: Column, family: Column | None) -> Column:
     shares = []
     for f in FAMILIES:
         for t in TEMPLATES[f]:
-            w = [x for x in _plain_words(t)]
-            g = sorted({*w, *(" ".join(p) for p in zip(w, w[1:], strict=False))})
+            g = _plain_grams(t)
             share = F.size(F.array_intersect(F.array(*map(F.lit, g)), found)) / F.lit(float(len(g)))
             shares.append(share if family is None else F.when(family == f, share).otherwise(0.0))
     return F.greatest(*shares)
 
 
+def _plain_grams(text: str) -> list[str]:
+    w = _plain_words(text)
+    return sorted({*w, *(" ".join(p) for p in zip(w, w[1:], strict=False))})
+
+
 def _plain_words(text: str) -> list[str]:
     return "".join(c.lower() if c.isalnum() else " " for c in text).split()
 

@@ -173,6 +173,22 @@ def test_licences(spark):
     assert licences.scan_licences(documents(spark, ODD), model, level).count() == 0
 
 
+def test_licences_learn_from_every_paragraph(spark, monkeypatch):
+    shown = []
+
+    class Fit(licences.LogisticRegression):
+        def fit(self, df):
+            shown.append(df.where(F.col("label") == licences.UNKNOWN).count())
+            return super().fit(df)
+
+    monkeypatch.setattr(licences, "LogisticRegression", Fit)
+    rows = [(i, f"alpha{i} beta\nplain words of line {i}") for i in range(4000)] + [(5000, "Released under the MIT License."), (5001, None)]
+    docs = documents(spark, rows)
+    licences.train(docs)
+    plain = docs.where("doc_id < 4000").select("doc_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("para"))
+    assert shown == [1 + plain.where(F.pmod(F.xxhash64("doc_id", "para", F.lit("licence")), F.lit(4)) != 0).count()]
+
+
 def test_top_k_against_brute_force(spark):
     rnd = random.Random(4)
     rows = [(i, [rnd.gauss(0, 1) * (1 + i % 5) for _ in range(6)]) for i in range(300)] + [(1000 + i, [0.5] * 6) for i in range(100)]
