@@ -28,7 +28,7 @@ from ledgerline.plans.preparation import RFM_COLS, combined_frame
 from ledgerline.plans.series import GW, mart
 from ledgerline.plans.text import norm_sql
 from ledgerline.registry import query
-from ledgerline.tables import fresh_path, materialise, table
+from ledgerline.tables import fresh_path, in_pieces, materialise, table
 
 MART_FEATURES = (
     "hour_of_day", "day_of_week", "is_weekend", "is_rush_hour", "is_holiday", "is_downtown", "temperature", "humidity", "rain",
@@ -139,7 +139,7 @@ def m07(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_frame(spark: SparkSession, sf_dir: str, size: int = 5000) -> DataFrame:
-    """doc_id, vector, both labels and a balancing weight, written once."""
+    """doc_id, vector, both labels and a balancing weight, written once and read in pieces of about 2000 rows."""
     marks = table(spark, sf_dir, "labels")
     share = marks.agg((F.count_if(F.col("toxic") == 0) / F.count_if(F.col("toxic") == 1)).alias("w")).scalar()
     rows = combined_frame(spark, sf_dir, size, only=marks).join(marks, "doc_id").withColumns(
@@ -149,11 +149,12 @@ def labelled_frame(spark: SparkSession, sf_dir: str, size: int = 5000) -> DataFr
             "holdout": F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) >= "c",
         }
     )
-    return materialise(rows, "labelled")
+    return in_pieces(materialise(rows, "labelled"), 2000, "doc_id")
 
 
 def class_row(model, test: DataFrame, name: str) -> DataFrame:
-    scored = M.probability(model.transform(test))
+    # Written first: each use of a prediction in a later expression would run the model again.
+    scored = materialise(M.probability(model.transform(test)).select("label", "prediction", "p"), "scored")
     c = E.binary_counts(scored, F.col("label"), F.col("prediction"))
     quality = E.ranking_quality(scored, "label", "p").select("roc_auc")
     return c.select(

@@ -311,3 +311,32 @@ def test_tuning_scores_and_choice(spark):
         assert mine["d"].tolist() == [days[-1] + dt.timedelta(days=i) for i in range(1, 21)]
         assert set(mine["point"]) == set(part.loc[part["chosen"], "point"])
         assert np.abs(mine["yhat"] - (20 + 3 * np.sin(2 * np.pi * np.arange(500, 520) / 7) + np.arange(500, 520) / 50)).max() < 3
+
+
+def test_classifier_scores_each_row_once(spark):
+    from ledgerline.plans.models import class_row
+    from pyspark.ml.functions import array_to_vector
+
+    runs = spark.sparkContext.accumulator(0)
+
+    class Model:
+        def transform(self, df):
+            def chance(x: float) -> float:
+                runs.add(1)
+                return x
+
+            p = F.udf(chance, "double").asNondeterministic()("x")
+            return df.withColumn("c", p).withColumn("probability", array_to_vector(F.array(1 - F.col("c"), "c"))).withColumn("prediction", (F.col("c") > 0.5).cast("double"))
+
+    test = spark.createDataFrame([(i / 40, float(i % 2)) for i in range(40)], "x double, label double")
+    row = class_row(Model(), test, "m").first()
+    assert row.n == 40 and runs.value == 40
+
+
+def test_stored_rows_in_pieces(spark):
+    from ledgerline.tables import in_pieces
+
+    rows = spark.range(1000).coalesce(1)
+    cut = in_pieces(rows, 100, "id")
+    assert cut.rdd.getNumPartitions() == 10 and sorted(r.id for r in cut.collect()) == list(range(1000))
+    assert in_pieces(rows, 1000, "id").rdd.getNumPartitions() == 1
