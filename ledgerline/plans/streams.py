@@ -19,6 +19,8 @@ from ledgerline.tables import fresh_path, table
 # Rows arrive in this many stretches of time, one after the other; a row may be as late as one stretch is long.
 WAVES = 6
 DELAY = "6 days"
+# Each batch reports the state of every shuffle partition to the driver, so their number must not grow with the input.
+MOST_BATCHES = 12
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,9 +28,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arriving(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000) -> DataFrame:
-    """The events as a file stream."""
+    """The events as a file stream; more files a batch where there would be more than ``MOST_BATCHES``."""
     ev = events(spark, sf_dir)
-    return J.read_stream(spark, J.land(ev, "ts", waves=WAVES), ev.schema, files_per_batch)
+    path = J.land(ev, "ts", waves=WAVES)
+    return J.read_stream(spark, path, ev.schema, max(files_per_batch, -(-J.landed(spark, path) // MOST_BATCHES)))
 
 
 @query("st01_file_stream", "select * from events")

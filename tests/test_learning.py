@@ -340,3 +340,56 @@ def test_stored_rows_in_pieces(spark):
     cut = in_pieces(rows, 100, "id")
     assert cut.rdd.getNumPartitions() == 10 and sorted(r.id for r in cut.collect()) == list(range(1000))
     assert in_pieces(rows, 1000, "id").rdd.getNumPartitions() == 1
+
+
+def test_bags_are_counted_in_pieces(spark):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([["a"] * 3, None, ["b"] * 9, ["c"]])], names=["k", "words"])
+    assert [p.num_rows for p in K.word_pieces(batch, 1, most=4)] == [2, 1, 1]
+    rows = spark.createDataFrame([(k, ["a", "b", "z", "a"] * 70_000 if k == 1 else ["b"]) for k in range(4)], "k long, words array<string>").coalesce(1)
+    vocab = spark.createDataFrame([("a", 1), ("b", 2)], "token string, rank int")
+    assert sorted(map(tuple, K.bag_of_words(rows, vocab, ["k"]).collect())) == [(0, 2, 1), (1, 1, 140_000), (1, 2, 70_000), (2, 2, 1), (3, 2, 1)]
+
+
+def test_words_are_counted_before_the_join(spark, sf_dir):
+    from ledgerline.plans.preparation import combined_frame
+
+    plan = combined_frame(spark, sf_dir, 50)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line)
+    assert not any("tokens" in line for line in plan.splitlines()[:join])
+
+
+def test_cleaner_works_in_small_pieces(spark, tmp_path, monkeypatch):
+    from ledgerline.functions import text as X
+    from ledgerline.plans import models
+
+    texts = [None, "", "Go http://x.y Now!"] * 301
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.clean for r in models.ud02(spark, str(tmp_path)).collect()}
+    none = "".join(c for c in X.NO_TEXT if c.isalpha())
+    assert [got[i] for i in range(len(texts))] == [none, none, "go  now"] * 301
+
+
+def test_sales_levels_hold_nulls_and_double_orders(spark, tmp_path):
+    from ledgerline.plans.series import level_sums
+
+    cells = [{"s": 1.0, "c": 1, "d": "x"}, {"s": None, "c": 2, "d": "x"}, {"s": None, "c": 1, "d": None}]
+    row = spark.createDataFrame([(cells,)], "cells array<struct<s:double,c:bigint,d:string>>")
+    got = {(r.dimension, r.level, r.s, r.c) for r in row.select(F.inline(level_sums("cells", "d"))).collect()}
+    assert got == {("d", "x", 1.0, 3), ("d", None, None, 1)}
+
+
+def test_number_of_batches_is_bounded(spark, tmp_path):
+    from ledgerline.plans import streams
+
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(600)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz").write.parquet(f"{tmp_path}/events.parquet")
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        seen = []
+        run = streams.J.drain_batches(streams.arriving(spark, str(tmp_path), 2), lambda batch, i: seen.append(batch.count()), "append")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert run.exception() is None and len(seen) <= streams.MOST_BATCHES and sum(seen) == 600
