@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import recode, round_hour
@@ -322,6 +322,19 @@ def q13(spark: SparkSession, sf_dir: str) -> DataFrame:
 SALES_DIMS = ("segment", "nation", "p_type", "brand", "year")
 
 
+def level_sums(cells: str, dim: str) -> Column:
+    """Array of (dimension, level, s, c): the sums of a row's cells by level of ``dim``; null cells do not count."""
+
+    def total(of: Column, name: str, kind: str) -> Column:
+        return F.aggregate(of, F.lit(None).cast(kind), lambda t, x: F.coalesce(t + x[name], t, x[name]))
+
+    def row(level: Column) -> Column:
+        of = F.filter(cells, lambda x: x[dim].eqNullSafe(level))
+        return F.struct(F.lit(dim).alias("dimension"), level.alias("level"), total(of, "s", "double").alias("s"), total(of, "c", "bigint").alias("c"))
+
+    return F.transform(F.array_distinct(F.transform(cells, lambda x: x[dim])), row)
+
+
 @query(
     "q14_sales_overview",
     """with s as (select l_orderkey, l_extendedprice, p_type, p_brand as brand, c_mktsegment as segment, n_name as nation, year(o_orderdate)::varchar as year, o_custkey
@@ -344,8 +357,9 @@ def q14(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = attach(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("string").alias("year")), people, "o_custkey", "c_custkey", ["segment", "nation"], "inner")
     rich = attach(leaf, orders, "l_orderkey", "o_orderkey", ["segment", "nation", "year"], "inner")
-    cells = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("level")) for d in SALES_DIMS])
-    per_order = rich.select("l_orderkey", "s", "c", F.inline(cells)).groupBy("dimension", "level", "l_orderkey").agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+    # An order's cells (one per type and brand) stand in one row: its levels are summed there, no group per order and level is kept.
+    per = rich.groupBy("l_orderkey").agg(F.collect_list(F.struct("s", "c", *SALES_DIMS)).alias("cells"))
+    per_order = per.select(F.inline(F.concat(*[level_sums("cells", d) for d in SALES_DIMS])))
     return per_order.groupBy("dimension", "level").agg(
         F.round(F.sum("s"), 2).alias("sales"), F.sum("c").alias("lines"), F.count("*").alias("orders"), F.round(F.sum("s") / F.count("*"), 4).alias("asp")
     )
