@@ -31,6 +31,19 @@ def word_rows(df: DataFrame, keys: Sequence[str], words: Column) -> DataFrame:
     return df.select(*keys, F.coalesce(words, F.array().cast("array<string>")).alias("words"))
 
 
+def word_pieces(batch: pa.RecordBatch, at: int, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that a piece holds about ``most`` items in its array column; a longer row is a piece of its own."""
+    sizes = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_pylist()
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def looked_up(rows: DataFrame, words: str, entries: DataFrame, out: str, most: int = 100_000) -> DataFrame:
     """Adds ``out``: for each word of an array column its value in ``entries`` (token, value), null where it has none.
 
@@ -45,7 +58,7 @@ def looked_up(rows: DataFrame, words: str, entries: DataFrame, out: str, most: i
     at = rows.columns.index(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for b in batches for piece in word_pieces(b, at)):
             column = batch.column(at)
             flat = column.flatten()
             found = values.take(pc.index_in(flat, value_set=tokens.cast(flat.type)))
@@ -61,14 +74,14 @@ def bag_of_words(rows: DataFrame, vocab: DataFrame, keys: Sequence[str]) -> Data
     ranked = looked_up(rows, "words", vocab.select("token", "rank"), "ranks")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for b in batches for piece in word_pieces(b, len(keys))):
             column = batch.column(len(keys))
             sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
             ranks = column.flatten().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(len(sizes)), sizes)
-            pairs, counts = np.unique(np.stack([row, ranks.astype(np.int64)]), axis=1, return_counts=True)
-            picked = pa.array(pairs[0])
-            yield pa.RecordBatch.from_arrays([*(c.take(picked) for c in batch.columns[: len(keys)]), pa.array(pairs[1], pa.int32()), pa.array(counts, pa.int64())], names=[*keys, "rank", "count"])
+            pairs, counts = np.unique(row << 32 | ranks.astype(np.int64), return_counts=True)  # one number a pair
+            picked = pa.array(pairs >> 32)
+            yield pa.RecordBatch.from_arrays([*(c.take(picked) for c in batch.columns[: len(keys)]), pa.array(pairs & 0xFFFFFFFF, pa.int32()), pa.array(counts, pa.int64())], names=[*keys, "rank", "count"])
 
     known = ranked.select(*keys, F.array_compact("ranks").alias("ranks"))
     fields = [*rows.select(*keys).schema.fields, T.StructField("rank", T.IntegerType()), T.StructField("count", T.LongType())]
