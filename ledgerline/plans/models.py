@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -448,10 +450,16 @@ def ud01(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ud02(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's own pandas cleaner, sent in Arrow batches; the built-in one is ``normalize_text``."""
 
+    def bare(texts: pd.Series) -> pd.Series:
+        known = texts.replace("", X.NO_TEXT).fillna(X.NO_TEXT).str.replace(r"http\S+|www\S+|[\U0001F600-\U0001F64F]", "", regex=True)
+        return known.str.lower().str.replace(r"[^a-z \t\n\r\f\v]", "", regex=True)
+
     @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        bare = texts.replace("", X.NO_TEXT).fillna(X.NO_TEXT).str.replace(r"http\S+|www\S+|[\U0001F600-\U0001F64F]", "", regex=True)
-        return bare.str.lower().str.replace(r"[^a-z \t\n\r\f\v]", "", regex=True)
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # Every step copies its texts, so a batch is cleaned in small pieces.
+        for texts in batches:
+            for at in range(0, len(texts), 200):
+                yield bare(texts.iloc[at : at + 200])
 
     return table(spark, sf_dir, "documents").select("doc_id", clean("text").alias("clean"))
 
