@@ -96,9 +96,11 @@ def combined_frame(spark: SparkSession, sf_dir: str, size: int = 5000, only: Dat
     base = spread(picked.select("doc_id", "lang", F.col("n_chars").cast("double"), "text")).withColumn("tokens", X.tokenize(X.normalize_text(F.col("text"))))
     base = base if "text" in carry else base.drop("text")
     base = P.one_hot(base, "lang", P.levels(raw, "lang")).withColumn("n_words", F.size("tokens").cast("double"))
+    # Words are counted before the join: a bag moves, not the words.
+    counted = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="bag").transform(base).drop("tokens")
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("e"))
-    wide = base.join(vectors, "doc_id", "left").withColumn("e", F.coalesce("e", F.array_repeat(F.lit(0.0), 64)))
-    counted = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="bag").transform(wide.withColumn("dense", array_to_vector("e")))
+    wide = counted.join(vectors, "doc_id", "left").withColumn("e", F.coalesce("e", F.array_repeat(F.lit(0.0), 64)))
+    counted = wide.withColumn("dense", array_to_vector("e"))
     langs = [c for c in counted.columns if c.startswith("lang_")]
     return VectorAssembler(inputCols=["n_chars", "n_words", *langs, "dense", "bag"], outputCol="features").transform(counted).select("doc_id", "features", *carry)
 
