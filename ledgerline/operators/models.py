@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
@@ -12,12 +13,14 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.util import inheritable_thread_target
 
 from ledgerline.operators.evaluation import regression_metrics
@@ -105,6 +108,57 @@ def out_of_fold(make: Callable[[], Estimator], df: DataFrame, fold: str, folds:
         return stack_rows(pool.map(inheritable_thread_target(df.sparkSession)(run), range(folds)))
 
 
+def _moment_points(n: float, first: np.ndarray, second: np.ndarray) -> list[tuple[float, list[float], float]]:
+    """(label, features, weight) of a few points with exactly the count, means and covariances of rows (features, label).
+
+    From the sums of the rows and of their products: a point on each side of the mean for every direction.
+    """
+    mean = first / n
+    spread = second / n - np.outer(mean, mean)
+    scale = np.sqrt(np.maximum(np.diag(spread), 0))
+    known = np.where(scale > 0, scale, 1.0)
+    values, vectors = np.linalg.eigh(spread / np.outer(known, known))
+    steps = known[:, None] * vectors * np.sqrt(np.maximum(values, 0) * len(mean))
+    return [(float(z[-1]), z[:-1].tolist(), float(n) / (2 * len(mean))) for step in steps.T for z in (mean + step, mean - step)]
+
+
+def linear_grid_cv(df: DataFrame, label: str, grid: Sequence[Mapping], folds: int, seed: int = 42, parallelism: int = 4) -> list[float]:
+    """Cross-validated RMSE of the linear model at every grid point, in one pass over the rows.
+
+    A linear fit, plain or regularised, and its squared error depend on the rows only by their count, means and
+    covariances. These are added up per fold, and each fit and error is taken from those of its folds: the models are
+    those of a fit on the rows themselves. ``df`` is a stored table with a ``features`` vector; rows without a label
+    are an error.
+    """
+    spark, z = df.sparkSession, F.concat(vector_to_array("features"), F.array(F.col(label).cast("double")))
+    width = len(df.select(z.alias("z")).first()["z"])
+    rows = df.select(z.alias("z"), F.floor(F.rand(seed) * folds).cast("int").alias("fold"))
+    cells = [(i, j) for i in range(width) for j in range(i + 1)]
+    sums = [F.sum(F.col("z")[i]).alias(f"s{i}") for i in range(width)] + [F.sum(F.col("z")[i] * F.col("z")[j]).alias(f"p{i}_{j}") for i, j in cells]
+    found = {r["fold"]: r for r in rows.groupBy("fold").agg(F.count("*").alias("n"), F.count(F.col("z")[width - 1]).alias("labels"), *sums).collect()}
+    if any(r["n"] != r["labels"] for r in found.values()):
+        raise ValueError(f"rows without {label}")
+    n, first, second = np.zeros(folds), np.zeros((folds, width)), np.zeros((folds, width, width))
+    for k, r in found.items():
+        n[k], first[k] = r["n"], [r[f"s{i}"] for i in range(width)]
+        for i, j in cells:
+            second[k, i, j] = second[k, j, i] = r[f"p{i}_{j}"]
+
+    def error(job: tuple[Mapping, int]) -> float:
+        params, k = job
+        points = [(y, Vectors.dense(x), w) for y, x, w in _moment_points(n.sum() - n[k], first.sum(0) - first[k], second.sum(0) - second[k])]
+        shown = spark.createDataFrame(points, StructType().add(label, "double").add("features", VectorUDT()).add("w", "double")).coalesce(1)
+        model = linear(label, weightCol="w", **params).fit(shown)
+        v = np.append(-model.coefficients.toArray(), 1.0)
+        square = (v @ second[k] @ v - 2 * model.intercept * (v @ first[k])) / n[k] + model.intercept**2
+        return float(np.sqrt(max(square, 0.0)))
+
+    jobs = [(params, k) for params in grid for k in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        errors = pool.map(inheritable_thread_target(spark)(error), jobs)
+    return [float(np.mean(errors[i * folds : (i + 1) * folds])) for i in range(len(grid))]
+
+
 def best_point(runs: DataFrame, params: Sequence[str]) -> dict:
     """The grid point with the lowest error; the run table has one row per point."""
     return runs.orderBy("cv_mae", *params).first().asDict()

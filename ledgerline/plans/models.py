@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -91,11 +91,9 @@ def m03(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ridge, lasso and elastic net: cross-validated RMSE of every (alpha, share of L1)."""
     train, _ = key_split(line_rows(spark, sf_dir), "l_orderkey")
     data = materialise(M.assemble(train, LINE_FEATURES).select("features", "l_extendedprice"), "lines")
-    lr = M.linear("l_extendedprice")
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.1, 1.0, 10.0]).addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).build()
-    judge = RegressionEvaluator(labelCol="l_extendedprice", metricName="rmse")
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=judge, numFolds=10, seed=42, parallelism=4).fit(data)
-    rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(e)) for p, e in zip(grid, cv.avgMetrics)]
+    grid = [{"regParam": a, "elasticNetParam": share} for a in (0.1, 1.0, 10.0) for share in (0.0, 0.5, 1.0)]
+    errors = M.linear_grid_cv(data, "l_extendedprice", grid, folds=10, seed=42)
+    rows = [(p["regParam"], p["elasticNetParam"], e) for p, e in zip(grid, errors, strict=True)]
     return spark.createDataFrame(rows, "alpha double, l1_share double, cv_rmse double")
 
 

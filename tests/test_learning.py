@@ -393,3 +393,21 @@ def test_number_of_batches_is_bounded(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
     assert run.exception() is None and len(seen) <= streams.MOST_BATCHES and sum(seen) == 600
+
+
+def test_linear_grid_equals_cross_validation_on_the_rows(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from ledgerline.tables import materialise
+
+    rnd = np.random.default_rng(5)
+    x = rnd.uniform(0, [50, 0.1, 1], (400, 3))
+    rows = [(*map(float, r), float(900 * r[0] + 3000 * r[1] + 500 * rnd.normal())) for r in x]
+    data = materialise(M.assemble(spark.createDataFrame(rows, "a double, b double, c double, y double"), ["a", "b", "c"]).select("features", "y"), "lines")
+    lr = M.linear("y")
+    points = ParamGridBuilder().addGrid(lr.regParam, [1.0, 100.0]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
+    want = CrossValidator(estimator=lr, estimatorParamMaps=points, evaluator=RegressionEvaluator(labelCol="y"), numFolds=3, seed=42).fit(data).avgMetrics
+    got = M.linear_grid_cv(data, "y", [{k.name: v for k, v in p.items()} for p in points], 3)
+    assert got == pytest.approx(want, rel=1e-6)
+    with pytest.raises(ValueError, match="without y"):
+        M.linear_grid_cv(data.withColumn("y", F.when(F.rand(1) < 0.9, F.col("y"))), "y", [{}], 3)
