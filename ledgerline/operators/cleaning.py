@@ -166,7 +166,8 @@ def histogram_by(df: DataFrame, col: str, by: str, bins: int) -> DataFrame:
     known = df.where(F.col(col).isNotNull() & F.col(by).isNotNull())
     edges = known.agg(F.struct(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi")).alias("e")).scalar()
     lo, hi = edges.getField("lo"), edges.getField("hi")
-    place = F.coalesce(F.least(F.floor(F.try_divide(F.col(col) - lo, hi - lo) * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+    at = F.coalesce(F.floor(F.try_divide(F.col(col) - lo, hi - lo) * bins), F.lit(0))  # one value only: the first bin
+    place = F.least(at, F.lit(bins - 1)).cast("int")
     counts = known.groupBy(by, place.alias("bin")).agg(F.count("*").alias("n"))
     # One row a class: its counts as a map, unfolded over all bins.
     held = counts.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"), F.sum("n").alias("t"))

@@ -349,7 +349,7 @@ def oversample_interpolated(
     copies = F.floor(wanted / few) + (F.col("pos") <= wanted % few).cast("long")
     ranked = hashed_position(small, key).select(F.col(key).alias("origin"), "v", copies.alias("copies")).where("copies > 0")
     points = materialise(small.groupBy("v").agg(F.min(key).alias("point")), "points")
-    near = points.join(near_neighbours(points, "point", k, block_rows), "point").select("v", F.col("near").alias("l"))
+    near = points.join(near_neighbours(points, "point", k, block_rows), "point").select("v", F.col("near").alias("l")).where(F.size("l") > 0)
     rows = ranked.join(near, "v").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     h = F.md5(F.concat_ws(":", F.col("origin").cast("string"), F.col("copy").cast("string")))
     number = [F.conv(F.substring(h, at, 8), 16, 10).cast("long") for at in (1, 9)]
