@@ -127,7 +127,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "
         held = 0
         for whole in batches:
             for batch in pieces(whole, "text"):
-                for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
                     group.append((doc_id, ids + end))
                     held += len(ids) // step + 1
                 if held >= group_tokens:

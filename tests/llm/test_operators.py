@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("ledgerline.llm")
@@ -233,6 +234,19 @@ def test_encoder_equals_whole_texts(file):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_looks_each_stretch_up_once(monkeypatch):
+    path, asked = public_tokenizers.path("byte_bpe_50k.json"), []
+    encoder = Encoder(path)
+    look_up = encoder.look_up
+    monkeypatch.setattr(encoder, "look_up", lambda parts: asked.append(sorted(parts)) or look_up(parts))
+    texts = pa.array(["skipped", "the key\nthe mot", None, "the  key", "", "mot the key"])
+    got = encoder.encode(texts.slice(1))
+    whole = Tokenizer.from_file(path)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()[1:]]
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) and "skipped" not in asked[0]
+    assert encoder.encode(texts.slice(0, 0)) == []
+
+
 def test_leaks(spark):
     item = "Anna drove 120 km to Berlin in 3 hours. How fast did Anna drive on the long way to Berlin on that day?"
     items = spark.createDataFrame([(7, item), (8, "too short"), (9, None)], "item_id long, text string")
