@@ -115,7 +115,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
                     files, place = fs.FileSystem.from_uri(uri)
                     out = Writer(files.open_output_stream(place), length, dtype, rows)
                 starts, sizes = [], []
-                for ids in encode(batch.column(1).to_pylist()):
+                for ids in encode(batch.column(1)):
                     out.add(ids + end)
                     starts.append(at)
                     sizes.append(len(ids) // len(end) + 1)
