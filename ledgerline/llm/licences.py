@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.models import logistic
 from ledgerline.operators.quantiles import quantile_row
 
 from .common import Scratch
@@ -62,15 +64,15 @@ def words(paragraph: Column) -> Column:
 
 
 def grams(w: Column) -> Column:
-    """Words and pairs of neighbours, each once."""
-    pairs = F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat(F.get(w, i), F.lit(" "), F.get(w, i + 1)))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(w, pairs))
+    """64-bit hashes of words and of pairs of neighbours, each once, from the words' hashes."""
+    return F.array_distinct(F.concat(w, F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.size(w)), lambda a, b: F.xxhash64(a, b))))
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, para, grams): the lines of each text that hold a word, with their n-grams."""
     lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("para", "line"))
-    return once(lines.select("doc_id", "para", words(F.col("line")).alias("w")), "w").where(F.size("w") > 0).select("doc_id", "para", grams(F.col("w")).alias("grams"))
+    hashes = F.transform(words(F.col("line")), lambda w: F.xxhash64(w))
+    return once(lines.select("doc_id", "para", hashes.alias("w")), "w").where(F.size("w") > 0).select("doc_id", "para", grams(F.col("w")).alias("grams"))
 
 
 def once(df: DataFrame, column: str) -> DataFrame:
@@ -81,83 +83,87 @@ def once(df: DataFrame, column: str) -> DataFrame:
 def template_table(spark) -> DataFrame:
     """(family, label, grams) of every template: as many rows as the list above."""
     rows = [(f, float(FAMILIES.index(f)), t) for f in FAMILIES for t in TEMPLATES[f]]
-    return spark.createDataFrame(rows, "family string, label double, text string").select("family", "label", grams(words(F.col("text"))).alias("grams"))
+    return spark.createDataFrame(rows, "family string, label double, text string").select("family", "label", grams(F.transform(words(F.col("text")), lambda w: F.xxhash64(w))).alias("grams"))
 
 
 def hashed(df: DataFrame, features: int = 1 << 14) -> DataFrame:
     return HashingTF(inputCol="grams", outputCol="features", numFeatures=features, binary=True).transform(df)
 
 
-def ordinary(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, para, grams, held): every paragraph that holds less than half of each template; a quarter is held out.
+def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """(doc_id, para, held, agreements, grams) of every paragraph; a quarter is held out.
 
-    Templates are compared with those n-grams of a paragraph that stand in any template: the others cannot agree.
-    Where these are fewer than half of the smallest template, nothing is compared.
+    ``agreements`` has, for each family, the largest share of a template's n-grams that stand in the paragraph. It is
+    null where none reaches ``least``: at one half, for an ordinary paragraph. Templates are compared with those n-grams
+    of a paragraph that stand in any template, and only where these are enough for that share of the template.
     """
     held = F.pmod(F.xxhash64("doc_id", "para", F.lit("licence")), F.lit(4)) == 0
-    known = [_plain_grams(t) for f in FAMILIES for t in TEMPLATES[f]]
-    any_of, least = sorted(set().union(*known)), min(map(len, known))
+    known: dict[str, list[list[int]]] = {f: [] for f in FAMILIES}
+    for r in template_table(docs.sparkSession).collect():  # as many rows as there are templates
+        known[r["family"]].append(r["grams"])
+    any_of = sorted({g for templates in known.values() for t in templates for g in t})
+
+    def share(t: list[int]) -> Column:
+        common = F.size(F.array_intersect(F.array(*map(F.lit, t)), F.col("shared")))
+        return F.when(F.size("shared") >= least * len(t), common / F.lit(float(len(t)))).otherwise(F.lit(0.0))
+
+    best = F.array(*[F.greatest(*map(share, known[f]), F.lit(0.0)) for f in FAMILIES])
     pool = once(paragraphs(docs, id_col, text_col), "grams").select("*", F.array_intersect("grams", F.array(*map(F.lit, any_of))).alias("shared"))
-    part = F.when(F.size("shared") * 2 < least, F.lit(0.0)).otherwise(agreement(F.col("shared"), None))
-    return once(pool, "shared").where(part < 0.5).select("doc_id", "para", "grams", held.alias("held"))
+    pool = once(once(pool, "shared").withColumn("best", best), "best")
+    return pool.select("doc_id", "para", held.alias("held"), F.when(F.array_max("best") >= least, F.col("best")).alias("agreements"), "grams")
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[LogisticRegressionModel, float]:
+def featured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """(doc_id, para, held, agreements, features): what ``train`` and ``scan_licences`` read of every paragraph.
+
+    Whoever calls both writes it once; it takes about the size of the texts.
+    """
+    return hashed(compared(docs, id_col, text_col, least)).drop("grams")
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seen: DataFrame | None = None) -> tuple[PipelineModel, float]:
     """(classifier, threshold) from the templates and every ordinary paragraph of ``docs``.
 
-    Paragraphs that hold half of a template stay out. Three quarters of the others teach the unknown class, the rest
-    calibrates it: the threshold is the chance of a family that all but one in a thousand of them stay below, at least
-    one half. Paragraphs are written once as hashed n-grams, about half the size of the texts.
+    Two regressions on the same n-grams: one tells the unknown class from all families and learns from every ordinary
+    paragraph but the quarter held out; one tells the families apart and learns from the templates. Paragraphs that hold
+    half of a template stay out. The quarter held out calibrates: the threshold is the chance of a family that all but
+    one in a thousand of its paragraphs stay below, at least one half. ``seen`` is what ``featured`` makes of ``docs``,
+    written; without it, it is written here.
     """
-    spark, pool = docs.sparkSession, ordinary(docs, id_col, text_col)
-    plain = Scratch(spark, "licences").write(hashed(pool).select(F.lit(UNKNOWN).alias("label"), "features", "held"), "plain")
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "licences")
+    seen = scratch.write(featured(docs, id_col, text_col), "seen") if seen is None else seen
+    plain = seen.where(F.col("agreements").isNull())
+    taught = plain.where(~F.col("held")).select(F.lit(UNKNOWN).alias("label"), "features")
     known = template_table(spark).select("label", "grams")
     # A notice often has words of its own around it: each template also teaches with an ordinary paragraph behind it.
-    behind = F.broadcast(pool.where(~F.col("held")).select(F.col("grams").alias("more")).limit(8))
+    behind = F.broadcast(compared(docs, id_col, text_col).where(F.col("agreements").isNull() & ~F.col("held")).select(F.col("grams").alias("more")).limit(8))
     mixed = known.join(behind, F.lit(True)).select("label", F.array_union("grams", F.slice("more", 1, 60)).alias("grams"))
+    notices = scratch.write(hashed(known.unionByName(mixed)).select("label", "features").coalesce(1), "notices")
     # The last class has to be seen even where no paragraph is ordinary.
-    blank = spark.createDataFrame([(UNKNOWN, ["-"])], "label double, grams array<string>")
-    unknown = max(1, plain.where(~F.col("held")).count())
-    each = unknown / (len(FAMILIES) * 10)
-    shown = hashed(known.unionByName(mixed).unionByName(blank)).select("label", "features").coalesce(1).unionByName(plain.where(~F.col("held")).select("label", "features"))
-    shown = shown.withColumn("weight", F.when(F.col("label") == UNKNOWN, F.lit(1.0)).otherwise(F.lit(max(1.0, each))))
-    model = LogisticRegression(family="multinomial", regParam=1e-3, weightCol="weight", maxIter=30).fit(shown)
-    chance = 1 - F.get(vector_to_array("probability"), F.lit(int(UNKNOWN)))
-    level = quantile_row(model.transform(plain.where("held")).select(chance.alias("p")), ["p"], [0.999]).first()["p_q"]
-    return model, max(0.5, min(0.95, level[0] if level else 0.5))
-
-
-def agreement(found: Column, family: Column | None) -> Column:
-    """Largest share of a template's n-grams that stand in the paragraph, over the templates of a family or of all."""
-    shares = []
-    for f in FAMILIES:
-        for t in TEMPLATES[f]:
-            g = _plain_grams(t)
-            share = F.size(F.array_intersect(F.array(*map(F.lit, g)), found)) / F.lit(float(len(g)))
-            shares.append(share if family is None else F.when(family == f, share).otherwise(0.0))
-    return F.greatest(*shares)
-
-
-def _plain_grams(text: str) -> list[str]:
-    w = _plain_words(text)
-    return sorted({*w, *(" ".join(p) for p in zip(w, w[1:], strict=False))})
-
-
-def _plain_words(text: str) -> list[str]:
-    return "".join(c.lower() if c.isalnum() else " " for c in text).split()
-
-
-def scan_licences(docs: DataFrame, model: LogisticRegressionModel, threshold: float, id_col: str = "doc_id", text_col: str = "text", confirm: float = 0.8) -> DataFrame:
+    blank = hashed(spark.range(1).select(F.lit(UNKNOWN).alias("label"), F.array(F.xxhash64(F.lit("-"))).alias("grams"))).select("label", "features")
+    each = max(1, taught.count()) / (len(FAMILIES) * 10)
+    is_known = F.col("label") != UNKNOWN
+    shown = notices.unionByName(blank).coalesce(1).unionByName(taught)
+    shown = shown.select("*", is_known.cast("double").alias("known"), F.when(is_known, F.lit(max(1.0, each))).otherwise(F.lit(1.0)).alias("weight"))
+    any_family = LogisticRegression(family="binomial", labelCol="known", weightCol="weight", regParam=1e-3, maxIter=30, probabilityCol="chances", rawPredictionCol="odds", predictionCol="is_known").fit(shown)
+    which = logistic("label", family="multinomial", regParam=1e-3, maxIter=30, probabilityCol="shares", rawPredictionCol="margins", predictionCol="likeliest").fit(notices)
+    chances = scratch.write(any_family.transform(plain.where("held").select("features")).select(F.get(vector_to_array("chances"), F.lit(1)).alias("p")), "chances")
+    level = quantile_row(chances, ["p"], [0.999], stored=True).first()["p_q"]
+    return PipelineModel([any_family, which]), max(0.5, min(0.95, level[0] if level else 0.5))
+
+
+def scan_licences(docs: DataFrame, model: PipelineModel, threshold: float, id_col: str = "doc_id", text_col: str = "text", confirm: float = 0.8, seen: DataFrame | None = None) -> DataFrame:
     """(doc_id, para, family, p, agreement): paragraphs whose family the classifier names and a template confirms.
 
     A paragraph is named if the chance that it is of any family reaches ``threshold``; its family is the likeliest one.
     It is confirmed if ``confirm`` of the n-grams of one of that family's templates stand in it. Null, empty and blank
-    texts have no paragraphs; repeated rows are scanned each for itself. Nothing is shuffled.
+    texts have no paragraphs; repeated rows are scanned each for itself. Nothing is shuffled. ``seen`` is what
+    ``featured`` makes of ``docs`` for a ``least`` of at most ``confirm``, if it is written already.
     """
-    scored = model.transform(hashed(once(paragraphs(docs, id_col, text_col), "grams")))
-    p = vector_to_array("probability")
-    scored = once(scored.select("doc_id", "para", "grams", p.alias("p")), "p").where(1 - F.get("p", F.lit(int(UNKNOWN))) >= threshold)
-    best = F.array_max(F.slice("p", 1, int(UNKNOWN)))
-    named = scored.select("doc_id", "para", "grams", best.alias("p"), F.get(F.array(*map(F.lit, FAMILIES)), F.array_position("p", best).cast("int") - 1).alias("family"))
-    named = named.withColumn("agreement", agreement(F.col("grams"), F.col("family")))
-    return named.where(F.col("agreement") >= confirm).select("doc_id", "para", "family", "p", "agreement")
+    scored = model.transform(featured(docs, id_col, text_col, confirm) if seen is None else seen)
+    scored = once(scored.select("doc_id", "para", "agreements", F.get(vector_to_array("chances"), F.lit(1)).alias("chance"), vector_to_array("shares").alias("shares")), "chance")
+    named = once(scored.where(F.col("chance") >= threshold), "shares")
+    best = F.array_max("shares")
+    place = F.array_position("shares", best).cast("int") - 1
+    named = named.select("doc_id", "para", F.get(F.array(*map(F.lit, FAMILIES)), place).alias("family"), (F.col("chance") * best).alias("p"), F.get("agreements", place).alias("agreement"))
+    return named.where(F.col("agreement") >= confirm)

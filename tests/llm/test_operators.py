@@ -224,6 +224,17 @@ def test_token_files(spark):
     assert read_digests(spark, path).count() == 0
 
 
+def test_licences_read_texts_once(spark):
+    docs = documents(spark, [(1, "Released under the MIT License.\nThe cat is under the table."), (2, None), (2, "the of\n\nSPDX-License-Identifier: MIT"), (None, "word")])
+    seen = licences.featured(docs)
+    got = {(r.doc_id, r.para): r.agreements and dict(zip(licences.FAMILIES, r.agreements, strict=True)) for r in seen.collect()}
+    assert set(got) == {(1, 0), (1, 1), (2, 0), (2, 2), (None, 0)} and got[1, 1] is got[2, 0] is got[None, 0] is None
+    assert got[1, 0]["MIT"] == got[2, 2]["MIT"] == 1.0 and got[1, 0]["GPL"] < 0.5 < got[1, 0]["BSD"] < 0.8
+    model, level = licences.train(docs, seen=seen)
+    plain, kept = (sorted(map(tuple, licences.scan_licences(docs, model, level, seen=x).collect())) for x in (None, seen))
+    assert plain == kept and {r[0] for r in kept} <= {1, 2}
+
+
 @pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_encoder_equals_whole_texts(file):
     rnd, path = random.Random(8), public_tokenizers.path(file)
