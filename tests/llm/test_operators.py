@@ -78,6 +78,28 @@ def test_jaccard_against_all_pairs(spark, k, num, den):
     assert sorted(map(tuple, got)) == brute_components(rows, k, num, den)
 
 
+def test_jaccard_keeps_members_outside_a_hub_in_their_rows(spark, monkeypatch):
+    plans = {}
+
+    class Watched(J.Scratch):
+        def write(self, df, name):
+            plans[name] = df._jdf.queryExecution().toString()
+            return super().write(df, name)
+
+    monkeypatch.setattr(J, "Scratch", Watched)
+    rnd = random.Random(3)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(60):  # families of three around one passage: near each other, far from the hub
+        own = [f"f{i // 3}w{j}" for j in range(24)]
+        own[rnd.randrange(24)] = f"x{i}"
+        rows.append((i, " ".join(passage + own)))
+    got = J.jaccard_components(documents(spark, rows), J.Rule(1, 4, 5), frequent_from=4, rounds=1, direct_most=6).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == brute_components(rows, 1, 4, 5)
+    assert "known" in plans
+    assert not [name for name, plan in plans.items() if "explode(outside" in plan]
+
+
 def test_small_sets_link_by_subsets():
     rule = J.Rule(1, 4, 5)
     sizes = {n: 10 for n in range(1, 40)}
