@@ -142,9 +142,9 @@ class Encoder:
         return [out[i] for i in order.tolist()]
 
 
-def encoder(path: str, dtype: str = "<u4") -> Encoder:
+def encoder(path: str, dtype: str = "<u4", most: int = 10_000_000) -> Encoder:
     """One for each worker process: what one task has encoded, the next need not."""
-    return resident(("encoder", path, dtype), lambda: Encoder(path, dtype))
+    return resident(("encoder", path, dtype, most), lambda: Encoder(path, dtype, most))
 
 
 def vocabulary(path: str) -> int:

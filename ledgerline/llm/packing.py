@@ -95,13 +95,14 @@ def pack(sizes: list[int], most: int = 2048, linear: float = 1.0, quadratic: flo
     return out
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", most: int = 2048, group_tokens: int = 4_000_000, linear: float = 1.0, quadratic: float = 1.0 / 1024, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", most: int = 2048, group_tokens: int = 4_000_000, linear: float = 1.0, quadratic: float = 1.0 / 1024, with_ids: bool = False, remember: int = 10_000_000) -> DataFrame:
     """One row per piece: its document, place, CRC-32 of its ids, sequence and offset; ``ids`` too if asked for.
 
     A task reads its share of the documents as they come and packs them in groups of about ``group_tokens`` ids, so
     nothing is shuffled and memory is bounded; each group's sequences end full, so groups cost no padding. A sequence's
     number is its task's and its place there: a lost task that runs again gives the same rows. Ids of a null or empty
     text are ``end_id`` alone. Rows that repeat a doc_id are packed each for itself. An empty table gives no rows.
+    A worker remembers the ids of at most twice ``remember`` characters of stretches: less memory, more encoding.
     """
     step = np.dtype("<u4").itemsize
     end = np.array([end_id], "<u4").tobytes()
@@ -122,7 +123,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "
         return pa.RecordBatch.from_arrays(arrays, names=names), len(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, base = encoder(tokenizer).encode, TaskContext.get().partitionId() << 40
+        encode, base = encoder(tokenizer, most=remember).encode, TaskContext.get().partitionId() << 40
         group: list[tuple[int | None, bytes]] = []
         held = 0
         for whole in batches:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from concurrent.futures import ProcessPoolExecutor
@@ -21,6 +20,7 @@ from .common import pieces, resident
 WORD = re.compile(r"[^\W_]+")
 BITS = 18
 ROW = 64  # tokens that the scan takes in one step of numpy
+PIECE = 1 << 20  # bytes of text scored at once: a token takes some 200 bytes meanwhile
 SCHEMA = "doc_id long, score double, spans array<struct<start:long,stop:long,p:double>>"
 
 
@@ -109,38 +109,46 @@ def evidence(logit: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """Emission scores by token, remembered while a process lasts."""
+    """Emission scores by token, remembered while a process lasts: 64 bits of hash and three numbers a token, no texts."""
 
     def __init__(self, model: Model, most: int = 400_000) -> None:
         self.model, self.most = model, most
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.own, self.before, self.after = array("d"), array("d"), array("d")
+        self.known, self.scores = np.empty(0, np.uint64), np.empty((0, 3))
 
-    def numbers(self, tokens: list[str]) -> np.ndarray:
+    def look_up(self, tokens: list[str]) -> np.ndarray:
+        """Scores of each of some distinct tokens: its own, as the one before, as the one after."""
         if len(self.known) > self.most:
             self.clear()
-        w = self.model.weights
-        for token in set(tokens).difference(self.known):
-            own, before, after = slots(token)
-            self.known[token] = len(self.own)
-            self.own.append(float(w[own].sum()))
-            self.before.append(float(w[before]))
-            self.after.append(float(w[after]))
-        return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+        key = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
+        at = np.searchsorted(self.known, key)
+        found = at < len(self.known)
+        found[found] = self.known[at[found]] == key[found]
+        out = np.empty((len(tokens), 3))
+        out[found] = self.scores[at[found]]
+        w, new = self.model.weights, np.flatnonzero(~found)
+        for i in new.tolist():
+            own, before, after = slots(tokens[i])
+            out[i] = float(w[own].sum()), w[before], w[after]
+        new = new[np.argsort(key[new])]
+        self.known = np.insert(self.known, at[new], key[new])
+        self.scores = np.insert(self.scores, at[new], out[new], axis=0)
+        return out
 
     def logits(self, tokens: list[str], sizes: np.ndarray) -> np.ndarray:
         """Log odds that each token is toxic, from the marginals of its document's chain."""
         if not tokens:
             return np.empty(0)
-        at = self.numbers(tokens)
+        place = {t: i for i, t in enumerate(dict.fromkeys(tokens))}
+        at = np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))
+        own, before, after = self.look_up(list(place)).T
         first = np.zeros(len(tokens), bool)
         first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-        score = np.frombuffer(self.own)[at] + self.model.bias
-        score[1:] += np.where(first[1:], 0.0, np.frombuffer(self.before)[at[:-1]])
-        score[:-1] += np.where(first[1:], 0.0, np.frombuffer(self.after)[at[1:]])
+        score = own[at] + self.model.bias
+        score[1:] += np.where(first[1:], 0.0, before[at[:-1]])
+        score[:-1] += np.where(first[1:], 0.0, after[at[1:]])
         ahead, back = forward_backward(score, first, self.model.trans)
         return np.log(ahead) + np.log(back)
 
@@ -337,7 +345,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
             if carry:
                 row = whole.column(1)
                 whole = pa.RecordBatch.from_arrays([whole.column(0), row.field(row.type.get_field_index(text_col)), row], names=["doc_id", "text", "row"])
-            for batch in pieces(whole, "text"):
+            for batch in pieces(whole, "text", PIECE):
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 words = [WORD.findall(t) for t in texts]
                 sizes = np.array([len(w) for w in words], np.int64)
