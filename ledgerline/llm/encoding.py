@@ -11,38 +11,54 @@ import pyarrow.compute as pc
 
 from .common import resident
 
-#: A space between two characters that no tokenizer rule takes for white space: a word boundary of every rule here.
-CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 #: Stretches that may be encoded side by side in one string.
-PLAIN = re.compile(r"[!-}\w]+")
-#: Letters, then marks: every rule here parts the two, so their ids stand side by side. No apostrophe, which may join.
-MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*,.:;?]+)")
+PLAIN = re.compile(r" ?[!-}\w]+")
 #: What parts stretches in such a string: each is one id that no plain stretch can yield, whether white space counts or not.
 PARTERS = ("\n", " ~ ")
 TOGETHER = 400
-#: White space of ``str.split`` other than single spaces and line ends between words, as RE2 writes it.
-UNEVEN = "[" + "".join(f"\\x{{{i:x}}}" for i in range(0x3001) if chr(i).isspace() and chr(i) not in " \n") + r"]|[ \n][ \n]|\A[ \n]|[ \n]\z"
-
-
-def stretches(text: str) -> list[str]:
-    """The text cut at lone spaces, which are left out, and before lone line ends, which stay.
-
-    Where all white space is single spaces and line ends between words, each is one; else only spaces between
-    characters that are surely no white space.
+#: What a byte of UTF-8 is: visible (those of longer characters count, see ``WIDE``), an ASCII letter, a mark that no rule
+#: joins to a letter before it (an apostrophe may join), a space, tab or line end.
+SEEN, LETTER, MARK, BLANK = 1, 2, 4, 8
+KINDS = np.zeros(256, np.uint8)
+KINDS[0x21:0x7F] = KINDS[0x80:] = SEEN
+KINDS[[i for i in range(128) if chr(i).isalpha()]] |= LETTER
+KINDS[list(b"!#$%&*,.:;?")] |= MARK
+KINDS[list(b" \t\n\r")] = BLANK
+#: White space beyond ASCII by its first byte.
+WIDE: dict[int, list[bytes]] = {}
+for _c in (chr(i).encode() for i in range(0x80, 0x3001) if chr(i).isspace()):
+    WIDE.setdefault(_c[0], []).append(_c)
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where a stretch starts, one flag for each byte of UTF-8.
+
+    That is at a blank behind a visible character, behind such a line end if it stands alone, and at a mark behind a
+    letter: every rule here parts these, and looks at nothing before the parting.
     """
-    # Words joined by single spaces give the text back only where nothing else parts them.
-    if " ".join(text.split()) != text.replace("\n", " "):
-        return CUT.split(text)
-    return text.replace("\n", " \n").split(" ")
+    kinds = KINDS[data]
+    for first, chars in WIDE.items():
+        at = np.flatnonzero(data == first)
+        for char in chars:
+            found = at[at <= len(data) - len(char)]
+            for i in range(1, len(char)):
+                found = found[data[found + i] == char[i]]
+            for i in range(len(char)):
+                kinds[found + i] = 0
+    out = np.zeros(len(data), bool)
+    # By the kinds of two neighbours: a blank behind what is seen (8 and 1), a mark behind a letter (4 and 2).
+    out[1:] = (kinds[1:] >> 3) & kinds[:-1] | (kinds[1:] >> 1) & kinds[:-1] & LETTER
+    ends = np.flatnonzero(out[:-1] & (data[:-1] == 10)) + 1
+    out[ends[kinds[ends] & SEEN != 0]] = True
+    return out
 
 
 class Encoder:
     """ids of whole texts by a ``tokenizers`` file, as unsigned integers of ``dtype``.
 
-    Both files used here part words before a lone space (one keeps it on the next word, one drops it), so a text's ids
-    are those of its stretches in a row: the first as it is, the others with a space before them. Stretches repeat, so
-    each is encoded once while it is remembered. Memory holds two generations of at most ``most`` characters; what is
-    used again moves to the newer one. Texts are encoded whole, never cut short.
+    Both files used here part texts at ``cuts``, so a text's ids are those of its stretches in a row. Stretches keep
+    their white space and repeat, so each is encoded once while it is remembered. Memory holds two generations of at
+    most ``most`` characters; what is used again moves to the newer one. Texts are encoded whole, never cut short.
     """
 
     def __init__(self, path: str, dtype: str = "<u4", most: int = 10_000_000) -> None:
@@ -52,7 +68,6 @@ class Encoder:
         self.tokenizer, self.dtype, self.most = Tokenizer.from_file(path), dtype, most
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
         self.held = 0
         self.parter, self.part_id = next((p, ids[0]) for p in PARTERS if len(ids := self.ids([p])[0]) == 1)
 
@@ -62,21 +77,12 @@ class Encoder:
     def data(self, texts: list[str]) -> list[bytes]:
         return [np.array(ids, self.dtype).tobytes() for ids in self.ids(texts)]
 
-    def learn(self, new: set[str]) -> None:
-        plain, other, marked = set(filter(str.isalpha, new)), [], []
-        for p in new.difference(plain):
-            if m := MARKED.fullmatch(p):
-                marked.append((p, m[1], m[2]))
-                if m[1] not in self.known:
-                    plain.add(m[1])
-            elif PLAIN.fullmatch(p):
-                plain.add(p)
-            else:
-                other.append(p)
-        plain = list(plain)
+    def learn(self, new: list[str]) -> None:
+        plain, other = [], []
+        for p in new:
+            (plain if PLAIN.fullmatch(p) else other).append(p)
         groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        between = self.parter + " "
-        for group, ids in zip(groups, self.ids([" " + between.join(g) for g in groups]), strict=True):
+        for group, ids in zip(groups, self.ids([self.parter.join(g) for g in groups]), strict=True):
             array = np.array(ids, self.dtype)
             ends = np.flatnonzero(array == self.part_id)
             if len(ends) != len(group) - 1:
@@ -86,28 +92,25 @@ class Encoder:
             self.known.update(zip(group, (data[a:b] for a, b in zip(starts, stops, strict=True)), strict=True))
         for i in range(0, len(other), 10_000):
             part = other[i : i + 10_000]
-            self.known.update(zip(part, self.data([p if p[0] == "\n" else " " + p for p in part]), strict=True))
-
-        tails = list({tail for _, _, tail in marked}.difference(self.tails))
-        self.tails.update(zip(tails, self.data(tails), strict=True))
-        for p, stem, tail in marked:
-            self.known[p] = self.known[stem] + self.tails[tail]
+            self.known.update(zip(part, self.data(part), strict=True))
 
     def look_up(self, parts: list[str]) -> list[bytes]:
-        """The ids of each of some distinct stretches with a space before it."""
+        """The ids of each of some distinct stretches."""
         found = list(map(self.known.get, parts))
-        if None not in found:
+        lost = [i for i, d in enumerate(found) if d is None]
+        if not lost:
             return found
-        missing = {p for p, d in zip(parts, found, strict=True) if d is None}
+        missing = [parts[i] for i in lost]
+        again = {p: d for p, d in zip(missing, map(self.older.get, missing), strict=True) if d is not None}
         size = sum(map(len, missing))
         if self.held + size > self.most:
-            self.known, self.older, self.tails, self.held = {}, self.known, {}, 0
+            self.known, self.older, self.held = {}, self.known, 0
         self.held += size
-        again = missing.intersection(self.older)
-        self.known.update((p, self.older[p]) for p in again)
-        self.learn(missing.difference(again))
-        known = self.known
-        return [known[p] if d is None else d for p, d in zip(parts, found, strict=True)]
+        self.known.update(again)
+        self.learn([p for p in missing if p not in again])
+        for i, p in zip(lost, missing, strict=True):
+            found[i] = self.known[p]
+        return found
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian bytes; null counts as empty.
@@ -117,29 +120,23 @@ class Encoder:
         if isinstance(texts, list):
             texts = pa.array(texts, pa.string())
         texts = pc.fill_null(texts, "").cast(pa.large_string())
-        uneven = pc.match_substring_regex(texts, UNEVEN)
-        cut = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(uneven)), "\n", " \n"), " ")
-        odd = [stretches(text) for text in texts.filter(uneven).to_pylist()]
-        flat = pa.concat_arrays([cut.flatten(), pa.array([p for parts in odd for p in parts], pa.large_string())]).dictionary_encode()
-        # The texts' places in ``flat``: even ones first, odd ones behind.
-        sizes = np.concatenate([np.diff(cut.offsets.to_numpy()), np.array([len(parts) for parts in odd], np.int64)])
-        ends = np.cumsum(sizes)
-        first, codes = ends - sizes, flat.indices.to_numpy().astype(np.int64)
-        words = flat.dictionary
-        heads = self.data(words.take(pa.array(codes[first])).to_pylist())
-        # A text's first stretch has no space before it: its ids stand behind those of the others.
-        codes[first] = len(words) + np.arange(len(first))
-        used = np.zeros(len(words) + len(first), bool)
-        used[codes] = True
-        place = np.cumsum(used) - 1
-        ids = self.look_up(words.filter(pa.array(used[: len(words)])).to_numpy(zero_copy_only=False).tolist()) + heads
-        joined = pa.array(ids, pa.large_binary()).take(pa.array(place[codes]))
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
+        first, size = int(bounds[0]), int(bounds[-1] - bounds[0])
+        if not size:
+            return [b""] * len(texts)
+        data, bounds = data.slice(first, size), bounds - first
+        start = cuts(np.frombuffer(data, np.uint8))
+        start[bounds[bounds < size]] = True
+        # Stretches follow each other without a gap, so they lie in the texts' own buffer.
+        places = np.append(np.flatnonzero(start), size)
+        flat = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places), data).dictionary_encode()
+        ids = self.look_up(flat.dictionary.to_numpy(zero_copy_only=False).tolist())
+        joined = pa.array(ids, pa.large_binary()).take(flat.indices)
         _, offsets, data = joined.buffers()
-        bounds = np.frombuffer(offsets, np.int64, len(joined) + 1, joined.offset * 8)[np.concatenate([first, ends[-1:]])].tolist()
+        ends = np.frombuffer(offsets, np.int64, len(joined) + 1, joined.offset * 8)[np.searchsorted(places, bounds)].tolist()
         whole = memoryview(data) if data is not None else memoryview(b"")
-        out = [bytes(whole[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-        order = np.argsort(np.concatenate([np.flatnonzero(~(u := uneven.to_numpy(zero_copy_only=False))), np.flatnonzero(u)]), kind="stable")
-        return [out[i] for i in order.tolist()]
+        return [bytes(whole[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def encoder(path: str, dtype: str = "<u4", most: int = 10_000_000) -> Encoder:

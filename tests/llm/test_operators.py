@@ -268,6 +268,29 @@ def test_encoder_equals_whole_texts(file):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_cuts_only_where_rules_part(file):
+    rnd, path = random.Random(9), public_tokenizers.path(file)
+    bits = ["a", "Key", "it's", "'ll", "'", "HI", "12", "é", "e\u0301", "\u0301", "h\u0331", "中", "ก", "\u0e33", "한", "ﬀ", "~", "<|endoftext|>", "<|", "=\u0338", "👍🏽", "\x00", "\x7f", "\u180e", "\ufeff"]
+    bits += list("!#$%&*,.:;?-_@/()[]\"") + [" "] * 12 + ["\n"] * 6 + ["  ", "\n\n", "\n ", " \n", "\t", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x85", "\u00a0", "\u1680", "\u2009", "\u2028", "\u202f", "\u205f", "\u3000"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(0, 40))) for _ in range(6000)]
+    whole, encoder, got = Tokenizer.from_file(path), Encoder(path, most=2000), []
+    for i in range(0, len(texts), 1500):  # most is small: remembered stretches are dropped between calls
+        got += encoder.encode(pa.array(texts[: i + 1500]).slice(i))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_encoder_learns_a_word_once_for_all_marks_and_lines(monkeypatch):
+    words = ["".join(x) for x in itertools.product("bcd", "aeiou", "lmnr")]
+    texts = [f"the {w}{mark} to {w}\n{w}{mark}\nof {w}" for w in words for mark in "!#$%&*,.:;?"]
+    for file in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        encoder, learned = Encoder(public_tokenizers.path(file)), []
+        learn = encoder.learn
+        monkeypatch.setattr(encoder, "learn", lambda new, learn=learn, learned=learned: learned.extend(new) or learn(new))
+        encoder.encode(texts)
+        assert len(learned) == len(set(learned)) <= 2 * len(words) + 11 + 4
+
+
 def test_encoder_looks_each_stretch_up_once(monkeypatch):
     path, asked = public_tokenizers.path("byte_bpe_50k.json"), []
     encoder = Encoder(path)
